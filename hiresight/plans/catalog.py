@@ -113,3 +113,119 @@ def q_orders_priority_summary(spark, sf):
 @query("grade_city_median_pivot")
 def q_pivot(spark, sf):
     return S.pivot_stat(V(spark, sf), "grade", "city_tier", M, "median")
+
+
+# ------------------------------------------------------------ flag shares --
+@query("remote_share_by_role")
+def q_remote_share(spark, sf):
+    return S.remote_share_by_role(V(spark, sf))
+
+
+@query("junior_friendly_share")
+def q_junior_friendly(spark, sf):
+    return S.junior_friendly_share(V(spark, sf), "primary_role")
+
+
+@query("junior_flags_by_segment")
+def q_junior_flags(spark, sf):
+    return S.flag_shares_by_segment(V(spark, sf))
+
+
+@query("skill_frequency")
+def q_skill_frequency(spark, sf):
+    return S.skill_frequency(V(spark, sf), top_n=15)
+
+
+@query("skill_share_by_grade")
+def q_skill_share_by_grade(spark, sf):
+    return S.skill_share_by_grade(V(spark, sf), grade_col="grade")
+
+
+@query("benefits_by_company")
+def q_benefits_by_company(spark, sf):
+    return S.benefits_summary_by_company(V(spark, sf), "company", 10)
+
+
+@query("benefits_by_grade")
+def q_benefits_by_grade(spark, sf):
+    return S.benefits_summary_by_grade(V(spark, sf), "grade")
+
+
+@query("benefits_by_employer")
+def q_benefits_by_employer(spark, sf):
+    return S.benefits_by_employer(V(spark, sf), "company", 10)
+
+
+@query("soft_skill_totals")
+def q_soft_totals(spark, sf):
+    return S.flag_totals(V(spark, sf), "soft_", "soft_skill")
+
+
+@query("soft_skills_by_employer")
+def q_soft_by_employer(spark, sf):
+    return S.soft_skills_by_employer(V(spark, sf), "company", 10)
+
+
+@query("top_employers")
+def q_top_employers(spark, sf):
+    return S.top_employers(V(spark, sf), "company", M, "employer_rating", 15)
+
+
+@query("lineitem_correlation")
+def q_corr(spark, sf):
+    return S.correlation_matrix(table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+
+
+@query("soft_skills_correlation")
+def q_soft_corr(spark, sf):
+    return S.soft_skills_correlation(V(spark, sf))
+
+
+@query("order_priority_counts")
+def q_value_counts(spark, sf):
+    return S.value_counts(table(spark, sf, "orders"), "o_orderpriority", 15, normalize=True)
+
+
+@query("skill_premium")
+def q_skill_premium(spark, sf):
+    v = V(spark, sf)
+    return S.skill_premium(v, S.hard_skill_columns(v), M, 30)
+
+
+# --------------------------------------------------------------- orders --
+def orders_requirements(spark, sf):
+    o = table(spark, sf, "orders")
+    pr, st = F.col("o_orderpriority"), F.col("o_orderstatus")
+    return o.select(
+        "o_orderkey", "o_totalprice",
+        F.when(pr == "1-URGENT", "advanced").when(pr == "2-HIGH", "Upper-Intermediate")
+         .when(pr == "3-MEDIUM", " b1 ").when(pr == "5-LOW", "basic").alias("lang_english_level"),
+        (st != "F").alias("lang_english_required"),
+        F.when(pr == "1-URGENT", "master_or_higher").when(pr == "2-HIGH", "bachelor_or_higher")
+         .when(pr == "3-MEDIUM", "partial_higher").when(pr == "5-LOW", "none").alias("edu_level"),
+        (st == "O").alias("edu_required"),
+        F.when(st == "P", F.lit(True)).alias("edu_technical"))
+
+
+@query("english_requirement_stats")
+def q_english(spark, sf):
+    return S.english_requirement_stats(orders_requirements(spark, sf), "o_totalprice")
+
+
+@query("education_requirement_stats")
+def q_education(spark, sf):
+    return S.education_requirement_stats(orders_requirements(spark, sf), "o_totalprice")
+
+
+# ------------------------------------------------------------ market view --
+@query("market_view")
+def q_market_view(spark, sf):
+    from ..operators.market import build_market_view
+    return build_market_view(V(spark, sf), M)
+
+
+@query("market_view_grid")
+def q_market_view_grid(spark, sf):
+    from ..operators.market import build_market_view
+    return build_market_view(V(spark, sf), M, keys=("primary_role", "grade", "city_tier"), domain_prefix="no_domain_",
+                             complete_grid=True)

@@ -78,3 +78,148 @@ SELECT grade,
   {', '.join(f"round(max(m) FILTER (WHERE city_tier = '{t}'), 6) AS \"{t}\"" for t in ['AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST'])}
 FROM (SELECT grade, city_tier, quantile_cont({M}, 0.5) AS m FROM v
       WHERE grade IS NOT NULL AND city_tier IS NOT NULL GROUP BY ALL) GROUP BY grade"""
+
+# ------------------------------------------------------------ flag shares --
+SKILLS = ["has_bulk", "has_discount", "has_tax", "skill_blue", "skill_cold", "skill_hot", "skill_large", "skill_new",
+          "skill_old", "skill_red", "skill_small"]
+SKILLS_COLUMN_ORDER = ["has_discount", "has_tax", "has_bulk", "skill_small", "skill_hot", "skill_red", "skill_blue",
+                       "skill_large", "skill_old", "skill_cold", "skill_new"]
+BENEFITS = ["benefit_low_tax", "benefit_big_discount", "benefit_small_order"]
+SOFT = ["soft_rich", "soft_debt", "soft_even"]
+
+
+def share(c: str, null_as_false: bool = True) -> str:
+    return r(f"avg(CAST(coalesce({c}, false) AS INTEGER))") if null_as_false else r(f"avg(CAST({c} AS INTEGER))")
+
+
+ORACLES["remote_share_by_role"] = V + f"""
+SELECT primary_role, {share('is_remote', False)} AS remote_share FROM v WHERE primary_role IS NOT NULL GROUP BY 1"""
+ORACLES["junior_friendly_share"] = V + f"""
+SELECT primary_role, {share('is_junior_friendly')} AS is_junior_friendly, {share('battle_experience')} AS battle_experience
+FROM v WHERE primary_role IS NOT NULL GROUP BY 1"""
+_JF = ["is_for_juniors", "allows_students", "has_mentoring", "has_test_task"]
+ORACLES["junior_flags_by_segment"] = V + f"""
+, w AS (SELECT primary_role, grade, {', '.join(f"{share(c, False)} AS {c}" for c in _JF)}
+        FROM v WHERE primary_role IS NOT NULL AND grade IS NOT NULL GROUP BY ALL)
+SELECT primary_role, grade, flag, share FROM w UNPIVOT INCLUDE NULLS (share FOR flag IN ({', '.join(_JF)}))"""
+ORACLES["skill_frequency"] = V + f"""
+, w AS (SELECT {', '.join(f"{share(c, False)} AS {c}" for c in SKILLS)} FROM v)
+SELECT skill, share FROM w UNPIVOT INCLUDE NULLS (share FOR skill IN ({', '.join(SKILLS)}))
+ORDER BY share DESC NULLS LAST, skill LIMIT 15"""
+ORACLES["skill_share_by_grade"] = V + f"""
+, w AS (SELECT grade, {', '.join(f"{share(c)} AS {c}" for c in SKILLS)} FROM v WHERE grade IS NOT NULL GROUP BY 1)
+SELECT skill, grade, share FROM w UNPIVOT INCLUDE NULLS (share FOR skill IN ({', '.join(SKILLS)}))"""
+
+
+def top_sql(src: str, key: str, n: int) -> str:
+    return (f"(SELECT {key} FROM {src} WHERE {key} IS NOT NULL GROUP BY 1 "
+            f"ORDER BY count(*) DESC, {key} LIMIT {n})")
+
+
+def per_vacancy(flags) -> str:
+    return r("avg(" + " + ".join(f"CAST(coalesce({c}, false) AS INTEGER)" for c in flags) + ")")
+
+
+ORACLES["benefits_by_company"] = V + f"""
+SELECT company, {', '.join(f"{share(c)} AS {c}" for c in BENEFITS)}, {per_vacancy(BENEFITS)} AS benefits_per_vacancy,
+       count(*) AS n_vacancies
+FROM v WHERE company IN {top_sql('v', 'company', 10)} GROUP BY 1"""
+ORACLES["benefits_by_grade"] = V + f"""
+SELECT grade, {', '.join(f"{share(c)} AS {c}" for c in BENEFITS)}, {per_vacancy(BENEFITS)} AS benefits_per_vacancy,
+       count(*) AS n_vacancies
+FROM v WHERE grade IS NOT NULL GROUP BY 1"""
+ORACLES["benefits_by_employer"] = V + f"""
+SELECT company, {', '.join(f"{share(c)} AS {c}" for c in BENEFITS)}, count(*) AS n_vacancies
+FROM v WHERE company IN {top_sql('v', 'company', 10)} GROUP BY 1"""
+ORACLES["soft_skill_totals"] = V + " UNION ALL ".join(
+    f"SELECT '{c}' AS soft_skill, CAST(sum(CAST(coalesce({c}, false) AS INTEGER)) AS BIGINT) AS count, "
+    f"{share(c)} AS share FROM v" for c in SOFT)
+ORACLES["soft_skills_by_employer"] = V + f"""
+SELECT company, {', '.join(f"{share(c)} AS {c}" for c in SOFT)}, count(*) AS n_vacancies
+FROM v WHERE company IN {top_sql('v', 'company', 10)} GROUP BY 1"""
+ORACLES["top_employers"] = V + f"""
+, tot AS (SELECT count(*) AS total FROM v)
+SELECT company, {r(f'quantile_cont({M}, 0.5)')} AS salary_median, count(*) AS vacancy_count,
+       {r('avg(employer_rating)')} AS rating_mean, {r('count(*) / max(tot.total)')} AS share
+FROM v, tot WHERE company IN {top_sql('v', 'company', 15)} GROUP BY 1"""
+
+
+def corr_sql(src: str, cols: list[str], cast=lambda c: c) -> str:
+    parts = []
+    for a in cols:
+        for b in cols:
+            parts.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, {r(f'corr({cast(b)}, {cast(a)})')} AS corr FROM {src}")
+    return " UNION ALL ".join(parts)
+
+
+ORACLES["lineitem_correlation"] = corr_sql("lineitem", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+ORACLES["soft_skills_correlation"] = V + corr_sql("v", SOFT, lambda c: f"CAST(coalesce({c}, false) AS DOUBLE)")
+ORACLES["order_priority_counts"] = """
+SELECT o_orderpriority, count(*) AS count, round(count(*) / (SELECT count(*) FROM orders WHERE o_orderpriority IS NOT NULL), 6) AS share
+FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15"""
+ORACLES["skill_premium"] = V + " UNION ALL ".join(f"""
+SELECT * FROM (SELECT '{c}' AS skill,
+  {r(f'quantile_cont({M}, 0.5) FILTER (WHERE coalesce({c}, false))')} AS median_with,
+  {r(f'quantile_cont({M}, 0.5) FILTER (WHERE NOT coalesce({c}, false))')} AS median_without,
+  {r(f'quantile_cont({M}, 0.5) FILTER (WHERE coalesce({c}, false)) - quantile_cont({M}, 0.5) FILTER (WHERE NOT coalesce({c}, false))')} AS premium_abs,
+  {r(f'(quantile_cont({M}, 0.5) FILTER (WHERE coalesce({c}, false)) - quantile_cont({M}, 0.5) FILTER (WHERE NOT coalesce({c}, false))) / nullif(quantile_cont({M}, 0.5) FILTER (WHERE NOT coalesce({c}, false)), 0)')} AS premium_pct,
+  CAST(sum(CAST(coalesce({c}, false) AS INTEGER)) AS BIGINT) AS count_with_skill FROM v) WHERE count_with_skill >= 30"""
+                                                   for c in SKILLS)
+
+# --------------------------------------------------------------- orders --
+ORDERS_REQ = """WITH o AS (
+  SELECT o_orderkey, o_totalprice,
+    CASE o_orderpriority WHEN '1-URGENT' THEN 'advanced' WHEN '2-HIGH' THEN 'Upper-Intermediate'
+         WHEN '3-MEDIUM' THEN ' b1 ' WHEN '5-LOW' THEN 'basic' END AS lang_english_level,
+    o_orderstatus <> 'F' AS lang_english_required,
+    CASE o_orderpriority WHEN '1-URGENT' THEN 'master_or_higher' WHEN '2-HIGH' THEN 'bachelor_or_higher'
+         WHEN '3-MEDIUM' THEN 'partial_higher' WHEN '5-LOW' THEN 'none' END AS edu_level,
+    o_orderstatus = 'O' AS edu_required,
+    CASE WHEN o_orderstatus = 'P' THEN true END AS edu_technical
+  FROM orders)"""
+_ENG_MAP = ("CASE WHEN lang_english_required = false THEN 'no_english' ELSE CASE lower(trim(lang_english_level)) "
+            "WHEN 'none' THEN 'no_english' WHEN 'basic' THEN 'A2' WHEN 'a2' THEN 'A2' WHEN 'elementary' THEN 'A2' "
+            "WHEN 'pre-intermediate' THEN 'A2' WHEN 'intermediate' THEN 'B1' WHEN 'b1' THEN 'B1' "
+            "WHEN 'upper_intermediate' THEN 'B2' WHEN 'upper-intermediate' THEN 'B2' WHEN 'b2' THEN 'B2' "
+            "WHEN 'advanced' THEN 'C1_plus' WHEN 'fluent' THEN 'C1_plus' WHEN 'c1' THEN 'C1_plus' "
+            "WHEN 'c2' THEN 'C1_plus' WHEN 'native' THEN 'C1_plus' WHEN 'proficient' THEN 'C1_plus' "
+            "ELSE 'no_english' END END")
+_EDU_MAP = ("CASE WHEN lower(trim(edu_level)) = 'master_or_higher' THEN 'master_phd' "
+            "WHEN coalesce(edu_technical, false) THEN 'technical_only' "
+            "WHEN coalesce(edu_required, false) OR coalesce(lower(trim(edu_level)) IN ('any_he', 'bachelor_or_higher', "
+            "'partial_higher'), false) THEN 'any_degree' ELSE 'no_degree_required' END")
+ORACLES["english_requirement_stats"] = ORDERS_REQ + requirement_sql("o", _ENG_MAP, "english_level", "o_totalprice")
+ORACLES["education_requirement_stats"] = ORDERS_REQ + requirement_sql("o", _EDU_MAP, "education_level", "o_totalprice")
+
+# ------------------------------------------------------------ market view --
+_MV_KEYS = "primary_role, grade, city_tier, domain"
+
+
+def market_sql(keys: str, skills=SKILLS_COLUMN_ORDER) -> str:
+    nn = " AND ".join(f"{k.strip()} IS NOT NULL" for k in keys.split(","))
+    return f"""
+, t AS (SELECT * FROM v WHERE {nn}),
+g AS (SELECT {keys}, count({M}) AS vacancy_count, {r(f'quantile_cont({M}, 0.5)')} AS salary_median,
+        {r(f'quantile_cont({M}, 0.25)')} AS salary_q25, {r(f'quantile_cont({M}, 0.75)')} AS salary_q75,
+        {share('is_junior_friendly')} AS junior_friendly_share, {share('is_remote')} AS remote_share,
+        {r('quantile_cont(tech_stack_size, 0.5)')} AS median_tech_stack_size
+      FROM t GROUP BY ALL),
+w AS (SELECT {keys}, {', '.join(f"avg(CAST(coalesce({c}, false) AS INTEGER)) AS {c}" for c in skills)} FROM t GROUP BY ALL),
+u AS (SELECT {keys}, regexp_replace(skill, '^(skill_|has_)', '') AS name, share
+      FROM (UNPIVOT w ON {', '.join(skills)} INTO NAME skill VALUE share) WHERE share > 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY share DESC, name) AS rn FROM u),
+ts AS (SELECT {keys}, string_agg(name || ' (' || printf('%.0f', share * 100) || '%)', ', ' ORDER BY rn) AS top_skills
+       FROM ranked WHERE rn <= 5 GROUP BY ALL)
+"""
+
+
+ORACLES["market_view"] = V + market_sql(_MV_KEYS) + f"""
+SELECT g.*, coalesce(ts.top_skills, '') AS top_skills FROM g LEFT JOIN ts USING ({_MV_KEYS})"""
+_GK = "primary_role, grade, city_tier"
+ORACLES["market_view_grid"] = V + market_sql(_GK) + f"""
+, grid AS (SELECT * FROM (SELECT DISTINCT primary_role FROM t) CROSS JOIN (SELECT DISTINCT grade FROM t)
+           CROSS JOIN (SELECT DISTINCT city_tier FROM t))
+SELECT grid.*, coalesce(g.vacancy_count, 0) AS vacancy_count, g.salary_median, g.salary_q25, g.salary_q75,
+       g.junior_friendly_share, g.remote_share, g.median_tech_stack_size,
+       CASE WHEN g.vacancy_count IS NULL THEN NULL ELSE coalesce(ts.top_skills, '') END AS top_skills
+FROM grid LEFT JOIN g USING ({_GK}) LEFT JOIN ts USING ({_GK})"""
