@@ -80,7 +80,7 @@ def add_time_features(df: DataFrame, date_col: str = "published_at_iso", scraped
 
 def age_days(start: Column, end: Column) -> Column:
     """Whole days of (end - start), floored like pandas ``timedelta.days``."""
-    micros = F.timestampdiff("MICROSECOND", start.cast("timestamp"), end.cast("timestamp"))
+    micros = F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
     return F.floor(micros / F.lit(86_400_000_000)).cast("long")
 
 

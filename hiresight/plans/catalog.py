@@ -229,3 +229,142 @@ def q_market_view_grid(spark, sf):
     from ..operators.market import build_market_view
     return build_market_view(V(spark, sf), M, keys=("primary_role", "grade", "city_tier"), domain_prefix="no_domain_",
                              complete_grid=True)
+
+
+# --------------------------------------------------------------- cleaning --
+ORDER_MARKERS = list(__import__("hiresight.config", fromlist=["x"]).UNKNOWN_MARKERS) + ["4-NOT SPECIFIED"]
+
+
+def orders_raw(spark, sf):
+    """Orders with string columns of the kinds the cleaning stage handles."""
+    o = table(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    return o.select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
+        F.when(F.col("o_orderpriority") == "1-URGENT", "Yes")
+         .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "n/a").otherwise("no").alias("is_urgent"),
+        F.when(F.col("o_orderstatus") == "O", "junior").when(F.col("o_orderstatus") == "F", " - ").alias("grade"),
+        F.when(k % 3 == 0, F.lit(None)).otherwise(k % 5).cast("long").alias("rush_count"),
+        F.when(k % 50 == 0, "vip").alias("note"),
+        F.when(k % 3 == 0, "true").when(k % 3 == 1, "FALSE").otherwise("maybe").alias("has_gift"))
+
+
+@query("orders_unknown_markers")
+def q_markers(spark, sf):
+    from ..operators.cleaning import standardize_unknown_markers
+    return standardize_unknown_markers(table(spark, sf, "orders"), ORDER_MARKERS)
+
+
+@query("orders_missingness")
+def q_missingness(spark, sf):
+    from ..operators.cleaning import handle_missingness
+    return handle_missingness(orders_raw(spark, sf), 0.95, ORDER_MARKERS).df
+
+
+@query("order_ship_age_days")
+def q_ship_age(spark, sf):
+    from ..operators.cleaning import parse_dates
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    j = li.join(o, li.l_orderkey == o.o_orderkey)
+    out = parse_dates(j, "o_orderdate", "l_shipdate")
+    return out.select("l_orderkey", "l_linenumber", "vacancy_age_days")
+
+
+@query("salary_prepare")
+def q_salary_prepare(spark, sf):
+    from ..operators.cleaning import salary_prepare
+    from .binding import vacancy_raw
+    out = salary_prepare(vacancy_raw(spark, sf), "salary_mid", "currency", "RUB")
+    return out.select("vacancy_id", "salary_mid_rub", "salary_known", "salary_mid_rub_capped")
+
+
+@query("events_latest_per_user")
+def q_dedup(spark, sf):
+    from ..operators.cleaning import deduplicate
+    return deduplicate(table(spark, sf, "events"), "user_id", "ts", ["event_id"])
+
+
+@query("vacancy_feature_columns")
+def q_features(spark, sf):
+    return V(spark, sf).select("vacancy_id", "work_mode", "primary_role", "grade_from_experience", "grade_final",
+                               "is_junior_friendly", "battle_experience", "tech_stack_size", "benefits_count",
+                               "soft_skills_count", "hard_stack_count", "skills_count", "role_count", "domain")
+
+
+@query("salary_bucket")
+def q_salary_bucket(spark, sf):
+    from ..operators.features import add_salary_bucket
+    return add_salary_bucket(V(spark, sf), M).select("vacancy_id", "salary_bucket")
+
+
+@query("event_time_features")
+def q_time(spark, sf):
+    from ..operators.features import add_time_features
+    e = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("published_at_iso"))
+    return add_time_features(e).select("event_id", "published_weekday", "published_month", "is_weekend_post")
+
+
+@query("customer_city_tier")
+def q_city_tier(spark, sf):
+    from ..operators.features import add_city_tier
+    c = table(spark, sf, "customer").join(F.broadcast(table(spark, sf, "nation")),
+                                          F.col("c_nationkey") == F.col("n_nationkey"))
+    return add_city_tier(c.select("c_custkey", F.col("n_name").alias("city")), "city")
+
+
+@query("part_experience_grade")
+def q_part_grade(spark, sf):
+    from ..operators.features import add_grade_from_experience
+    p = table(spark, sf, "part").select(
+        "p_partkey", (F.col("p_size") % 10).cast("long").alias("exp_min_years"),
+        (F.col("p_size") < 3).alias("exp_is_no_experience"),
+        F.when(F.col("p_size") % 10 == 0, F.lit(None)).otherwise(F.col("p_size") % 10).alias("exp_min_years2"))
+    p = p.drop("exp_min_years").withColumnRenamed("exp_min_years2", "exp_min_years")
+    return add_grade_from_experience(p).select("p_partkey", "grade_from_experience")
+
+
+# ------------------------------------------------------------------- text --
+LANG_HINTS = {"hint_english": [" the ", " and "], "hint_german": [" und ", " der "],
+              "hint_french": [" le ", " la "], "hint_spanish": [" el ", " los "]}
+
+
+def _doc_dicts():
+    from .. import config as C
+    return {**C.ROLE_KEYWORDS, **C.SOFT_SKILL_KEYWORDS, **C.DOMAIN_KEYWORDS, **LANG_HINTS}
+
+
+@query("document_keyword_flags")
+def q_doc_flags(spark, sf):
+    from ..functions.text import keyword_flags
+    d = table(spark, sf, "documents")
+    flags = keyword_flags(F.col("text"), _doc_dicts())
+    return d.select("doc_id", *[c.alias(n) for n, c in flags.items()])
+
+
+@query("document_grade_labels")
+def q_doc_grade(spark, sf):
+    from ..functions.text import first_regex_label
+    d = table(spark, sf, "documents")
+    return d.select("doc_id", first_regex_label(F.col("text")).alias("grade"))
+
+
+@query("document_text_stats")
+def q_doc_stats(spark, sf):
+    from ..functions.text import description_stats
+    d = table(spark, sf, "documents")
+    return d.select("doc_id", description_stats(F.col("text")).alias("s")).select("doc_id", "s.*")
+
+
+@query("page_links")
+def q_page_links(spark, sf):
+    from ..sources.pages import result_links
+    return result_links(table(spark, sf, "pages"), host="https://example.com")
+
+
+@query("page_titles")
+def q_page_titles(spark, sf):
+    from ..functions.text import html_title, regex_group
+    p = table(spark, sf, "pages")
+    return p.select("page_id", html_title(F.col("html")).alias("title"),
+                    regex_group(F.col("url"), r"/(\d+)", 1).alias("url_id"))

@@ -223,3 +223,114 @@ SELECT grid.*, coalesce(g.vacancy_count, 0) AS vacancy_count, g.salary_median, g
        g.junior_friendly_share, g.remote_share, g.median_tech_stack_size,
        CASE WHEN g.vacancy_count IS NULL THEN NULL ELSE coalesce(ts.top_skills, '') END AS top_skills
 FROM grid LEFT JOIN g USING ({_GK}) LEFT JOIN ts USING ({_GK})"""
+
+# --------------------------------------------------------------- cleaning --
+_MK = "('unknown', 'не указано', 'неизвестно', '', 'n/a', 'nan', '-', '—', '4-not specified')"
+
+
+def unmark(c: str) -> str:
+    return f"CASE WHEN lower(trim({c})) IN {_MK} THEN NULL ELSE {c} END"
+
+
+ORACLES["orders_unknown_markers"] = f"""
+SELECT o_orderkey, o_custkey, {unmark('o_orderstatus')} AS o_orderstatus, o_totalprice, o_orderdate,
+       {unmark('o_orderpriority')} AS o_orderpriority FROM orders"""
+ORACLES["orders_missingness"] = f"""
+WITH r AS (SELECT *, CASE WHEN o_orderpriority = '1-URGENT' THEN 'Yes' WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'n/a'
+                          ELSE 'no' END AS is_urgent,
+       CASE WHEN o_orderstatus = 'O' THEN 'junior' WHEN o_orderstatus = 'F' THEN ' - ' END AS grade,
+       CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderkey % 5 END AS rush_count,
+       CASE WHEN o_orderkey % 3 = 0 THEN 'true' WHEN o_orderkey % 3 = 1 THEN 'FALSE' ELSE 'maybe' END AS has_gift
+  FROM orders)
+SELECT o_orderkey, o_custkey, {unmark('o_orderstatus')} AS o_orderstatus, o_totalprice, o_orderdate,
+       {unmark('o_orderpriority')} AS o_orderpriority,
+       CASE lower(trim(is_urgent)) WHEN 'yes' THEN true WHEN 'no' THEN false END AS is_urgent,
+       coalesce({unmark('grade')}, 'unknown') AS grade,
+       coalesce(rush_count, 0) AS rush_count,
+       CASE lower(trim(has_gift)) WHEN 'true' THEN true WHEN 'false' THEN false END AS has_gift
+FROM r"""
+ORACLES["order_ship_age_days"] = """
+SELECT l_orderkey, l_linenumber,
+       CAST(floor((epoch_us(l_shipdate) - epoch_us(o_orderdate)) / 86400000000.0) AS BIGINT) AS vacancy_age_days
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+ORACLES["salary_prepare"] = V + f"""
+SELECT vacancy_id, {r('salary_mid_rub')} AS salary_mid_rub, salary_known, {r(M)} AS {M} FROM v"""
+ORACLES["events_latest_per_user"] = """
+SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC) AS rn FROM events)
+WHERE rn = 1"""
+ORACLES["vacancy_feature_columns"] = V + """
+SELECT vacancy_id, work_mode, primary_role, grade_from_experience, grade_final, is_junior_friendly, battle_experience,
+       tech_stack_size, benefits_count, soft_skills_count, hard_stack_count, skills_count, role_count, domain FROM v"""
+ORACLES["salary_bucket"] = V + f"""
+, e AS (SELECT quantile_cont({M}, 1/3) AS e1, quantile_cont({M}, 2/3) AS e2, count({M}) AS nv FROM v)
+SELECT vacancy_id, CASE WHEN nv < 3 OR {M} IS NULL THEN NULL WHEN {M} <= e1 THEN 'low' WHEN {M} <= e2 THEN 'mid'
+                        ELSE 'high' END AS salary_bucket FROM v, e"""
+ORACLES["event_time_features"] = """
+SELECT event_id, CAST(isodow(ts) - 1 AS INTEGER) AS published_weekday, CAST(month(ts) AS INTEGER) AS published_month,
+       isodow(ts) IN (6, 7) AS is_weekend_post FROM events"""
+_MP = ", ".join(f"'{c}'" for c in __import__("hiresight.config", fromlist=["x"]).CITY_MILLION_PLUS)
+ORACLES["customer_city_tier"] = f"""
+SELECT c_custkey, n_name AS city,
+  CASE WHEN n_name IS NULL THEN 'unknown'
+       WHEN contains(lower(n_name), 'moscow') OR contains(lower(n_name), 'моск') THEN 'Moscow'
+       WHEN contains(lower(n_name), 'spb') OR contains(lower(n_name), 'петербург') OR contains(lower(n_name), 'санкт') THEN 'SPb'
+       WHEN lower(n_name) IN ({_MP}) THEN 'Million+'
+       WHEN contains(lower(n_name), 'kazakhstan') OR contains(lower(n_name), 'kazakh') OR contains(lower(n_name), 'kz')
+         OR contains(lower(n_name), 'алматы') OR contains(lower(n_name), 'нур-султан') OR contains(lower(n_name), 'астана') THEN 'KZ/Other'
+       ELSE 'Other RU' END AS city_tier
+FROM customer JOIN nation ON c_nationkey = n_nationkey"""
+ORACLES["part_experience_grade"] = """
+SELECT p_partkey, CASE WHEN p_size < 3 THEN 'intern'
+  WHEN p_size % 10 = 0 THEN 'unknown' WHEN p_size % 10 < 1 THEN 'intern' WHEN p_size % 10 < 3 THEN 'junior'
+  WHEN p_size % 10 < 5 THEN 'middle' WHEN p_size % 10 < 8 THEN 'senior' ELSE 'lead' END AS grade_from_experience
+FROM part"""
+
+# ------------------------------------------------------------------- text --
+from .. import config as _C  # noqa: E402
+
+_DOC_DICTS = {**_C.ROLE_KEYWORDS, **_C.SOFT_SKILL_KEYWORDS, **_C.DOMAIN_KEYWORDS,
+              "hint_english": [" the ", " and "], "hint_german": [" und ", " der "],
+              "hint_french": [" le ", " la "], "hint_spanish": [" el ", " los "]}
+
+
+def _sq(s: str) -> str:
+    return s.replace("'", "''")
+
+
+ORACLES["document_keyword_flags"] = "SELECT doc_id, " + ", ".join(
+    "(" + " OR ".join(f"contains(lower(coalesce(text, '')), '{_sq(p.lower())}')" for p in pats) + f") AS {flag}"
+    for flag, pats in _DOC_DICTS.items()) + " FROM documents"
+
+
+def _grade_sql() -> str:
+    t = "lower(coalesce(text, ''))"
+    for s in _C.LEAD_STOPWORDS:
+        t = f"replace({t}, '{s}', '')"
+    cases = " ".join(f"WHEN regexp_matches({t}, '{'|'.join(f'(?:{p})' for p in pats)}') THEN '{g}'"
+                     for g, pats in _C.GRADE_KEYWORDS.items())
+    return f"CASE {cases} ELSE 'unknown' END"
+
+
+ORACLES["document_grade_labels"] = f"SELECT doc_id, {_grade_sql()} AS grade FROM documents"
+ORACLES["document_text_stats"] = r"""
+SELECT doc_id, CAST(length(coalesce(text, '')) AS BIGINT) AS description_len_chars,
+  CAST(CASE WHEN trim(coalesce(text, '')) = '' THEN 0
+       ELSE len(regexp_split_to_array(regexp_replace(coalesce(text, ''), '^\s+|\s+$', '', 'g'), '\s+')) END AS BIGINT)
+    AS description_len_words,
+  CAST(len(list_filter(string_split(coalesce(text, ''), chr(10)),
+       lambda l: regexp_matches(regexp_replace(l, '^\s+', ''), '^[-*•]'))) AS BIGINT) AS description_bullets_count,
+  CAST(greatest(len(list_filter(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1),
+       lambda i: trim(string_split(coalesce(text, ''), chr(10))[i]) <> '' AND
+            (i = 1 OR trim(string_split(coalesce(text, ''), chr(10))[i - 1]) = ''))),
+       CASE WHEN coalesce(text, '') <> '' THEN 1 ELSE 0 END) AS BIGINT) AS description_paragraphs_count
+FROM documents"""
+ORACLES["page_links"] = r"""
+SELECT page_id, CAST(pos AS INTEGER) AS pos,
+  split_part(CASE WHEN starts_with(href, '/') THEN 'https://example.com' || href ELSE href END, '?', 1) AS link
+FROM (SELECT page_id, unnest(regexp_extract_all(html, '(?i)<a\s[^>]*href="([^"]*)"', 1)) AS href,
+             generate_subscripts(regexp_extract_all(html, '(?i)<a\s[^>]*href="([^"]*)"', 1), 1) - 1 AS pos
+      FROM pages) WHERE href <> ''"""
+ORACLES["page_titles"] = r"""
+SELECT page_id, trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)) AS title,
+       regexp_extract(url, '/(\d+)', 1) AS url_id FROM pages"""
