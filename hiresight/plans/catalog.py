@@ -368,3 +368,35 @@ def q_page_titles(spark, sf):
     p = table(spark, sf, "pages")
     return p.select("page_id", html_title(F.col("html")).alias("title"),
                     regex_group(F.col("url"), r"/(\d+)", 1).alias("url_id"))
+
+
+# --------------------------------------------------------------- personas --
+def binding_personas():
+    from ..operators.personas import Persona
+    return [
+        Persona("gear_junior", "junior gear maker in Europe", ["skill_red", "skill_small", "has_discount"], "gear",
+                "junior", "EUROPE", "remote", {"company": "Brand#1"}),
+        Persona("bolt_switcher", "switcher to bolts", ["skill_blue"], "bolt", "senior"),
+        Persona("ring_mid", "middle ring maker, hybrid", ["skill_hot", "has_tax", "skill_new"], "ring", "middle",
+                None, "hybrid"),
+    ]
+
+
+@query("persona_skill_gap")
+def q_persona_gap(spark, sf):
+    from ..operators.personas import skill_gap_for_persona
+    gap, _ = skill_gap_for_persona(V(spark, sf), binding_personas()[0], min_share=0.1, top_n=20)
+    return gap
+
+
+@query("persona_market_summary")
+def q_persona_summary(spark, sf):
+    from ..operators.personas import filter_by_target, segment_summary_row
+    res = filter_by_target(V(spark, sf), binding_personas()[0])
+    return segment_summary_row(res.filtered_df, M)
+
+
+@query("persona_batch_gaps")
+def q_persona_batch(spark, sf):
+    from ..operators.personas import batch_skill_gaps
+    return batch_skill_gaps(V(spark, sf), binding_personas(), min_share=0.1, top_n=20)

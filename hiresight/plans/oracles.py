@@ -334,3 +334,60 @@ FROM (SELECT page_id, unnest(regexp_extract_all(html, '(?i)<a\s[^>]*href="([^"]*
 ORACLES["page_titles"] = r"""
 SELECT page_id, trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)) AS title,
        regexp_extract(url, '/(\d+)', 1) AS url_id FROM pages"""
+
+# --------------------------------------------------------------- personas --
+def _persona_sql_parts(persona, columns, thr=80):
+    from ..operators.personas import levels_for_columns
+    levels, _, _, _ = levels_for_columns(columns, persona)
+
+    def cond(lv):
+        if not lv:
+            return "true"
+        return "coalesce(" + " AND ".join(f"{c} = '{_sq(str(v))}'" for c, v in lv) + ", false)"
+    conds = [cond(lv) for lv in levels]
+    counts = ", ".join(f"count(*) FILTER (WHERE {c}) AS n{i}" for i, c in enumerate(conds))
+    pick = ("CASE WHEN total < {t} OR n0 >= {t} THEN 0 ".format(t=thr)
+            + " ".join(f"WHEN n{i} >= {thr} THEN {i}" for i in range(1, len(conds)))
+            + f" ELSE {len(conds) - 1} END")
+    seg = " OR ".join(f"(lvl = {i} AND {c})" for i, c in enumerate(conds))
+    return counts, pick, seg
+
+
+def _v_columns():
+    """Columns of the feature view that persona filters may name."""
+    return ["vacancy_id", "primary_role", "grade", "grade_final", "city_tier", "work_mode", "company"]
+
+
+def _personas():
+    from .catalog import binding_personas
+    return binding_personas()
+
+
+PERSONA_SKILLS = SKILLS
+
+
+def persona_gap_sql(persona, min_share=0.1, top_n=20, tag=False):
+    counts, pick, seg = _persona_sql_parts(persona, _v_columns())
+    has = ", ".join(f"'{s}'" for s in persona.current_skills) or "NULL"
+    pname = f"'{persona.name}' AS persona, " if tag else ""
+    return f"""(WITH lv AS (SELECT count(*) AS total, {counts} FROM v),
+pick AS (SELECT {pick} AS lvl FROM lv),
+seg AS (SELECT v.* FROM v, pick WHERE {seg}),
+w AS (SELECT {', '.join(f"avg(CAST(coalesce({c}, false) AS INTEGER)) AS {c}" for c in PERSONA_SKILLS)} FROM seg),
+u AS (SELECT skill, share FROM w UNPIVOT INCLUDE NULLS (share FOR skill IN ({', '.join(PERSONA_SKILLS)})))
+SELECT {pname}skill AS skill_name, round(share, 6) AS market_share, skill IN ({has}) AS persona_has,
+       (NOT skill IN ({has})) AND share >= {min_share} AS gap
+FROM u WHERE share >= {min_share}
+ORDER BY gap DESC, share DESC, skill LIMIT {top_n})"""
+
+
+ORACLES["persona_skill_gap"] = V + "SELECT * FROM " + persona_gap_sql(_personas()[0])
+_p0_counts, _p0_pick, _p0_seg = _persona_sql_parts(_personas()[0], _v_columns())
+ORACLES["persona_market_summary"] = V + f"""
+, lv AS (SELECT count(*) AS total, {_p0_counts} FROM v), pick AS (SELECT {_p0_pick} AS lvl FROM lv),
+seg AS (SELECT v.* FROM v, pick WHERE {_p0_seg})
+SELECT count(*) AS vacancy_count, {share('is_remote')} AS remote_share, {share('is_junior_friendly')} AS junior_friendly_share,
+       {r(f'quantile_cont({M}, 0.5)')} AS salary_median, {r(f'quantile_cont({M}, 0.25)')} AS salary_q25,
+       {r(f'quantile_cont({M}, 0.75)')} AS salary_q75 FROM seg"""
+ORACLES["persona_batch_gaps"] = V + " UNION ALL ".join(
+    "SELECT * FROM " + persona_gap_sql(p, tag=True) for p in _personas())
