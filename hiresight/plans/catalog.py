@@ -400,3 +400,106 @@ def q_persona_summary(spark, sf):
 def q_persona_batch(spark, sf):
     from ..operators.personas import batch_skill_gaps
     return batch_skill_gaps(V(spark, sf), binding_personas(), min_share=0.1, top_n=20)
+
+
+# ---------------------------------------------------------------- quality --
+@query("orders_missing_share")
+def q_missing(spark, sf):
+    from ..operators.quality import missing_share
+    return missing_share(orders_raw(spark, sf), 20)
+
+
+@query("orders_data_health")
+def q_health(spark, sf):
+    from ..operators.quality import data_health
+    return data_health(orders_raw(spark, sf), "", ORDER_MARKERS)
+
+
+@query("customer_key_uniqueness")
+def q_unique(spark, sf):
+    from ..operators.quality import check_unique_id
+    return check_unique_id(table(spark, sf, "orders"), "o_custkey")
+
+
+@query("lineitem_duplicate_rows")
+def q_dup_rows(spark, sf):
+    from ..operators.quality import duplicate_rows
+    return duplicate_rows(table(spark, sf, "lineitem"), ["l_partkey", "l_suppkey", "l_quantity"])
+
+
+@query("lineitem_describe")
+def q_describe(spark, sf):
+    return S.numeric_describe(table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+
+
+@query("stage_summary")
+def q_stage(spark, sf):
+    from ..operators.quality import stage_table
+    from .binding import vacancy_raw
+    return stage_table([("raw", vacancy_raw(spark, sf)), ("features", V(spark, sf))],
+                       unknown_cols=["grade", "work_mode"])
+
+
+@query("clean_validation")
+def q_validate(spark, sf):
+    from ..operators.quality import validate_clean
+    return validate_clean(V(spark, sf), ["is_remote"], "vacancy_id", "exp_max_years")
+
+
+# ----------------------------------------------------------------- charts --
+@query("grade_box_stats")
+def q_box(spark, sf):
+    from ..operators.charts import box_stats
+    return box_stats(V(spark, sf), "grade", M)
+
+
+@query("city_work_mode_shares")
+def q_crosstab(spark, sf):
+    from ..operators.charts import crosstab_shares
+    return crosstab_shares(V(spark, sf), "city_tier", "work_mode")
+
+
+@query("top_skills_for_role")
+def q_top_skills_role(spark, sf):
+    from ..operators.charts import top_skills_for_role
+    return top_skills_for_role(V(spark, sf), "G", top_n=15)
+
+
+@query("skill_heatmap_by_grade")
+def q_heatmap(spark, sf):
+    from ..operators.charts import skill_heatmap
+    return skill_heatmap(V(spark, sf), "grade", top_n=5)
+
+
+@query("benefit_employer_heatmap")
+def q_benefit_heatmap(spark, sf):
+    from ..operators.charts import employer_flag_heatmap
+    return employer_flag_heatmap(V(spark, sf), "company", "benefit_", 10, 2)
+
+
+@query("grade_mean_and_count")
+def q_mean_count(spark, sf):
+    from ..operators.charts import mean_and_count
+    from .. import config as C
+    return mean_and_count(V(spark, sf), "grade", M, 10, C.GRADE_ORDER)
+
+
+@query("stack_bucket_chart")
+def q_stack_chart(spark, sf):
+    from ..operators.charts import mean_and_count, stack_bucket_chart
+    v = V(spark, sf).withColumn("stack_bucket", stack_bucket_chart(F.col("tech_stack_size")))
+    return mean_and_count(v, "stack_bucket", M, 10)
+
+
+@query("price_histogram")
+def q_hist(spark, sf):
+    from ..operators.charts import histogram
+    return histogram(table(spark, sf, "lineitem"), "l_extendedprice", 30)
+
+
+@query("persona_gap_chart")
+def q_gap_chart(spark, sf):
+    from ..operators.charts import persona_gap_chart
+    from ..operators.personas import skill_gap_for_persona
+    gap, _ = skill_gap_for_persona(V(spark, sf), binding_personas()[2], min_share=0.05, top_n=20)
+    return persona_gap_chart(gap)

@@ -366,7 +366,7 @@ def _personas():
 PERSONA_SKILLS = SKILLS
 
 
-def persona_gap_sql(persona, min_share=0.1, top_n=20, tag=False):
+def persona_gap_sql(persona, min_share=0.1, top_n=20, tag=False, round_share=True):
     counts, pick, seg = _persona_sql_parts(persona, _v_columns())
     has = ", ".join(f"'{s}'" for s in persona.current_skills) or "NULL"
     pname = f"'{persona.name}' AS persona, " if tag else ""
@@ -375,7 +375,7 @@ pick AS (SELECT {pick} AS lvl FROM lv),
 seg AS (SELECT v.* FROM v, pick WHERE {seg}),
 w AS (SELECT {', '.join(f"avg(CAST(coalesce({c}, false) AS INTEGER)) AS {c}" for c in PERSONA_SKILLS)} FROM seg),
 u AS (SELECT skill, share FROM w UNPIVOT INCLUDE NULLS (share FOR skill IN ({', '.join(PERSONA_SKILLS)})))
-SELECT {pname}skill AS skill_name, round(share, 6) AS market_share, skill IN ({has}) AS persona_has,
+SELECT {pname}skill AS skill_name, {'round(share, 6)' if round_share else 'share'} AS market_share, skill IN ({has}) AS persona_has,
        (NOT skill IN ({has})) AND share >= {min_share} AS gap
 FROM u WHERE share >= {min_share}
 ORDER BY gap DESC, share DESC, skill LIMIT {top_n})"""
@@ -391,3 +391,124 @@ SELECT count(*) AS vacancy_count, {share('is_remote')} AS remote_share, {share('
        {r(f'quantile_cont({M}, 0.75)')} AS salary_q75 FROM seg"""
 ORACLES["persona_batch_gaps"] = V + " UNION ALL ".join(
     "SELECT * FROM " + persona_gap_sql(p, tag=True) for p in _personas())
+
+# ---------------------------------------------------------------- quality --
+ORDERS_RAW = """WITH r AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+   CASE WHEN o_orderpriority = '1-URGENT' THEN 'Yes' WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'n/a'
+        ELSE 'no' END AS is_urgent,
+   CASE WHEN o_orderstatus = 'O' THEN 'junior' WHEN o_orderstatus = 'F' THEN ' - ' END AS grade,
+   CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderkey % 5 END AS rush_count,
+   CASE WHEN o_orderkey % 50 = 0 THEN 'vip' END AS note,
+   CASE WHEN o_orderkey % 3 = 0 THEN 'true' WHEN o_orderkey % 3 = 1 THEN 'FALSE' ELSE 'maybe' END AS has_gift
+ FROM orders)
+"""
+_RAW_COLS = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"), ("o_totalprice", "double"),
+             ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string"), ("is_urgent", "string"),
+             ("grade", "string"), ("rush_count", "bigint"), ("note", "string"), ("has_gift", "string")]
+ORACLES["orders_missing_share"] = ORDERS_RAW + "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", round(avg(CAST({c} IS NULL AS DOUBLE)), 6) AS share FROM r" for c, _ in _RAW_COLS) + \
+    ") ORDER BY share DESC, \"column\" LIMIT 20"
+
+
+def _health_row(c: str, t: str) -> str:
+    from .. import config as C
+    base = C.KEY_COLUMN_COMMENTS.get(c)
+    mk = f"avg(CAST(coalesce(lower(trim({c})) IN {_MK}, false) AS DOUBLE))" if t == "string" else "0.0"
+    nan = f"avg(CAST({c} IS NULL AS DOUBLE))"
+    base_sql = f"'{_sq(base)}'" if base else "NULL"
+    return f"""SELECT '{c}' AS "column", '{t}' AS dtype, round({nan}, 6) AS share_nan, round({mk}, 6) AS share_unknown_marker,
+  coalesce(nullif(concat_ws('; ', {base_sql},
+    CASE WHEN {nan} > 0 THEN 'NaN ' || printf('%.1f', {nan} * 100) || '%' END,
+    CASE WHEN {mk} > 0 THEN 'text marker ' || printf('%.1f', {mk} * 100) || '%' END), ''), 'clean') AS comment FROM r"""
+
+
+ORACLES["orders_data_health"] = ORDERS_RAW + " UNION ALL ".join(_health_row(c, t) for c, t in _RAW_COLS)
+ORACLES["customer_key_uniqueness"] = """
+SELECT (count(*) - count(DISTINCT o_custkey) - max(CAST(o_custkey IS NULL AS BIGINT))) = 0 AS is_unique,
+       CAST(count(*) - count(DISTINCT o_custkey) - max(CAST(o_custkey IS NULL AS BIGINT)) AS BIGINT) AS duplicate_count
+FROM orders"""
+ORACLES["lineitem_duplicate_rows"] = """
+SELECT CAST(sum(c) AS BIGINT) AS rows, count(*) AS distinct_rows, CAST(sum(c) - count(*) AS BIGINT) AS duplicate_rows
+FROM (SELECT l_partkey, l_suppkey, l_quantity, count(*) AS c FROM lineitem GROUP BY ALL)"""
+ORACLES["lineitem_describe"] = " UNION ALL ".join(f"""
+SELECT '{c}' AS "column", count({c}) AS count, {r(f'avg({c})')} AS mean, {r(f'stddev_samp({c})')} AS std,
+  {r(f'min({c})')} AS min, {r(f'quantile_cont({c}, 0.25)')} AS q25, {r(f'quantile_cont({c}, 0.5)')} AS median,
+  {r(f'quantile_cont({c}, 0.75)')} AS q75, {r(f'max({c})')} AS max FROM lineitem"""
+                                                  for c in ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+
+
+def _stage_sql(name: str, src: str, ncols: str) -> str:
+    unk = " + ".join(f"avg(CAST(lower(coalesce({c}, 'unknown')) = 'unknown' AS DOUBLE))" for c in ["grade", "work_mode"])
+    unk_raw = "avg(CAST(lower(coalesce(grade, 'unknown')) = 'unknown' AS DOUBLE))"
+    return f"""SELECT '{name}' AS stage, count(*) AS rows, {ncols} AS columns,
+  {r('avg(CAST(salary_mid IS NOT NULL AS DOUBLE))')} AS salary_share,
+  {r("avg(CAST(coalesce(currency, '') <> 'RUB' AS DOUBLE))")} AS non_rub_share,
+  {share('is_remote')} AS remote_share,
+  {r(f'({unk}) / 2') if name == 'features' else r(unk_raw)} AS unknown_share FROM {src}"""
+
+
+ORACLES["stage_summary"] = V + ", raw0 AS (" + __import__("hiresight.plans.binding", fromlist=["x"]).VACANCY_RAW_SQL + ")\n" + \
+    _stage_sql("raw", "raw0", "(SELECT count(*) FROM (DESCRIBE raw0))") + " UNION ALL " + \
+    _stage_sql("features", "v", "(SELECT count(*) FROM (DESCRIBE v))")
+ORACLES["clean_validation"] = V + """
+SELECT count(*) AS rows, CAST(sum(""" + " + ".join(
+    f"CAST(coalesce(lower(trim({c})) IN ('unknown', 'не указано', 'неизвестно', '', 'n/a', 'nan', '-', '—'), false) AS BIGINT)"
+    for c in ["title", "company", "city", "city_tier", "currency", "grade", "work_mode", "grade_from_experience",
+              "grade_final", "primary_role", "domain"]) + """) AS BIGINT) AS markers_left,
+  count(exp_max_years) > 0 AS age_present, """ + r("avg(CAST(coalesce(currency, '') <> 'RUB' AS DOUBLE))") + """ AS non_rub_share,
+  CAST(count(*) - count(DISTINCT vacancy_id) AS BIGINT) AS duplicate_ids, true AS booleans_ok FROM v"""
+
+# ----------------------------------------------------------------- charts --
+ORACLES["grade_box_stats"] = V + f"""
+, q AS (SELECT grade, quantile_cont({M}, 0.25) AS q1, quantile_cont({M}, 0.5) AS median, quantile_cont({M}, 0.75) AS q3
+        FROM v WHERE grade IS NOT NULL GROUP BY 1)
+SELECT q.grade, round(q.q1, 6) AS q1, round(q.median, 6) AS median, round(q.q3, 6) AS q3,
+  round(min({M}) FILTER (WHERE {M} BETWEEN q.q1 - 1.5 * (q.q3 - q.q1) AND q.q3 + 1.5 * (q.q3 - q.q1)), 6) AS whisker_low,
+  round(max({M}) FILTER (WHERE {M} BETWEEN q.q1 - 1.5 * (q.q3 - q.q1) AND q.q3 + 1.5 * (q.q3 - q.q1)), 6) AS whisker_high,
+  count(*) FILTER (WHERE NOT ({M} BETWEEN q.q1 - 1.5 * (q.q3 - q.q1) AND q.q3 + 1.5 * (q.q3 - q.q1))) AS outliers,
+  count(*) AS n
+FROM v JOIN q USING (grade) WHERE {M} IS NOT NULL GROUP BY q.grade, q.q1, q.median, q.q3"""
+ORACLES["city_work_mode_shares"] = V + """
+SELECT city_tier, work_mode, round(n / sum(n) OVER (PARTITION BY city_tier), 6) AS share
+FROM (SELECT city_tier, work_mode, count(*) AS n FROM v WHERE city_tier IS NOT NULL AND work_mode IS NOT NULL GROUP BY ALL)"""
+ORACLES["top_skills_for_role"] = V + f"""
+, sub AS (SELECT * FROM v WHERE coalesce(contains(lower(primary_role), 'g'), false))
+SELECT skill, count, round(count / (SELECT count(*) FROM sub), 6) AS share FROM (""" + " UNION ALL ".join(
+    f"SELECT '{c}' AS skill, CAST(sum(CAST(coalesce({c}, false) AS INTEGER)) AS BIGINT) AS count FROM sub" for c in SKILLS) + \
+    ") ORDER BY count DESC, skill LIMIT 15"
+ORACLES["skill_heatmap_by_grade"] = V + f"""
+, m AS (SELECT skill, share AS m FROM (SELECT {', '.join(f"avg(CAST({c} AS INTEGER)) AS {c}" for c in SKILLS)} FROM v)
+        UNPIVOT INCLUDE NULLS (share FOR skill IN ({', '.join(SKILLS)})) ORDER BY m DESC NULLS LAST, skill LIMIT 5),
+w AS (SELECT grade, {', '.join(f"avg(CAST({c} AS INTEGER)) AS {c}" for c in SKILLS)} FROM v WHERE grade IS NOT NULL GROUP BY 1),
+u AS (SELECT grade, skill, share FROM w UNPIVOT INCLUDE NULLS (share FOR skill IN ({', '.join(SKILLS)})))
+SELECT grade, skill, round(coalesce(share, 0.0), 6) AS share FROM u WHERE skill IN (SELECT skill FROM m)"""
+ORACLES["benefit_employer_heatmap"] = V + f"""
+, w AS (SELECT company, {', '.join(f"avg(CAST(coalesce({c}, false) AS INTEGER)) AS {c}" for c in BENEFITS)}
+        FROM v WHERE company IN {top_sql('v', 'company', 10)} GROUP BY 1),
+u AS (SELECT company, flag, share FROM w UNPIVOT INCLUDE NULLS (share FOR flag IN ({', '.join(BENEFITS)}))),
+rk AS (SELECT flag FROM u GROUP BY flag ORDER BY avg(share) DESC, flag LIMIT 2)
+SELECT company, flag, round(share, 6) AS share FROM u WHERE flag IN (SELECT flag FROM rk)"""
+ORACLES["grade_mean_and_count"] = V + f"""
+SELECT * FROM ({summary_sql('v', ['grade'], M, ['median', 'mean', 'count'])}) ORDER BY count DESC, grade LIMIT 10"""
+ORACLES["stack_bucket_chart"] = V + f"""
+, b AS (SELECT *, CASE WHEN coalesce(tech_stack_size, 0) <= 2.5 THEN '0-2' WHEN coalesce(tech_stack_size, 0) <= 5.5 THEN '3-5'
+                       WHEN coalesce(tech_stack_size, 0) <= 10.5 THEN '6-10' ELSE '10+' END AS stack_bucket FROM v)
+SELECT * FROM ({summary_sql('b', ['stack_bucket'], M, ['median', 'mean', 'count'])}) ORDER BY count DESC, stack_bucket LIMIT 10"""
+ORACLES["price_histogram"] = """
+WITH t AS (SELECT CAST(l_extendedprice AS DOUBLE) AS x FROM lineitem WHERE l_extendedprice IS NOT NULL),
+rg AS (SELECT min(x) AS lo, max(x) AS hi FROM t)
+SELECT CAST(CASE WHEN hi - lo = 0 THEN 0 ELSE least(floor((x - lo) / (hi - lo) * 30), 29) END AS INTEGER) AS bin,
+       count(*) AS count, round(min(lo), 6) AS range_min, round(max(hi), 6) AS range_max
+FROM t, rg GROUP BY 1"""
+
+
+def _humanize_sql(c: str) -> str:
+    return (f"array_to_string(list_transform(string_split(regexp_replace({c}, '^(skill_|has_)', ''), '_'), "
+            "lambda w: CASE lower(w) WHEN 'sql' THEN 'SQL' WHEN 'python' THEN 'Python' WHEN 'excel' THEN 'Excel' "
+            "WHEN 'powerbi' THEN 'Power BI' WHEN 'ml' THEN 'ML' WHEN 'ai' THEN 'AI' WHEN 'qa' THEN 'QA' "
+            "ELSE CASE WHEN length(w) > 3 THEN upper(w[1]) || lower(w[2:]) ELSE upper(w) END END), ' ')")
+
+
+ORACLES["persona_gap_chart"] = V + f"""
+SELECT {_humanize_sql('skill_name')} AS label, skill_name, round(market_share * 100, 6) AS share_pct
+FROM {persona_gap_sql(_personas()[2], min_share=0.05, round_share=False)} WHERE gap"""
