@@ -503,3 +503,13 @@ def q_gap_chart(spark, sf):
     from ..operators.personas import skill_gap_for_persona
     gap, _ = skill_gap_for_persona(V(spark, sf), binding_personas()[2], min_share=0.05, top_n=20)
     return persona_gap_chart(gap)
+
+
+# -------------------------------------------------------------- streaming --
+@query("events_stream_latest")
+def q_stream(spark, sf):
+    from ..streaming.intake import current_table, run_intake
+    schema = table(spark, sf, "events").schema
+    log = run_intake(spark, sf, schema, "user_id", "ts", ["event_id"], glob="events.parquet")
+    out = current_table(spark, log, "user_id", "ts", ["event_id"])
+    return out.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type", "value", "props")

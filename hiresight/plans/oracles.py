@@ -512,3 +512,5 @@ def _humanize_sql(c: str) -> str:
 ORACLES["persona_gap_chart"] = V + f"""
 SELECT {_humanize_sql('skill_name')} AS label, skill_name, round(market_share * 100, 6) AS share_pct
 FROM {persona_gap_sql(_personas()[2], min_share=0.05, round_share=False)} WHERE gap"""
+
+ORACLES["events_stream_latest"] = ORACLES["events_latest_per_user"]
