@@ -106,9 +106,9 @@ def stack_bucket_chart(size) -> F.Column:
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     """Equal-width histogram (numpy edges; the maximum falls in the last
     bin; a constant column gives one bin).  Non-numeric values are NULL."""
-    v = F.try_cast(F.col(column).cast("string"), "double") if not isinstance(df.schema[column].dataType,
-                                                                              __import__("pyspark.sql.types", fromlist=["x"]).NumericType) \
-        else F.col(column).cast("double")
+    from pyspark.sql.types import NumericType
+    v = F.col(column).cast("double") if isinstance(df.schema[column].dataType, NumericType) \
+        else F.col(column).cast("string").try_cast("double")
     t = df.select(v.alias("_v")).where(F.col("_v").isNotNull())
     rng = t.agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     j = join_on_keys(t, rng, [])

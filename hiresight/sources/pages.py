@@ -73,9 +73,9 @@ def employer_rows(pages: DataFrame, url_col: str = "url", html_col: str = "html"
     rating_raw = F.coalesce(
         F.nullif(F.get_json_object(F.regexp_extract(h, r'(?s)"aggregateRating"\s*:\s*(\{[^}]*\})', 1), "$.ratingValue"), F.lit("")),
         F.nullif(F.regexp_extract(h, r'(?is)data-qa="[^"]*rating[^"]*"[^>]*>\s*([0-9]+[.,]?[0-9]*)', 1), F.lit("")))
-    rating = F.try_cast(F.replace(rating_raw, F.lit(","), F.lit(".")), "double")
+    rating = F.replace(rating_raw, F.lit(","), F.lit(".")).try_cast("double")
     reviews_raw = F.regexp_extract(h, r'(?is)([0-9][0-9\s ]*)\s*отзыв', 1)
-    reviews = F.try_cast(F.regexp_replace(reviews_raw, r"\D", ""), "long")
+    reviews = F.regexp_replace(reviews_raw, r"\D", "").try_cast("long")
     return pages.select(
         F.col(url_col).alias("employer_url"),
         F.when((rating >= 0) & (rating <= 5), rating).alias("employer_rating"),

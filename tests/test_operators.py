@@ -148,3 +148,16 @@ def test_humanize_and_top_skills_text(spark):
     one = spark.range(1).select(top_skills_text([("skill_sql", F.lit(0.8)), ("has_python", F.lit(0.125)),
                                                   ("skill_r", F.lit(0.0))]).alias("t")).first().t
     assert one == "sql (80%), python (12%)"
+
+
+def test_raw_csv_multiline_and_schema(spark, tmp_path):
+    from hiresight.sources.raw import load_raw, raw_schema
+    assert len(raw_schema().fields) == 151
+    p = tmp_path / "raw.csv"
+    p.write_text('vacancy_id,title,description,salary_from,salary_gross\n'
+                 '1,A,"line one\nline ""two""",100000,yes\n2,B,plain,abc,unknown\n', encoding="utf-8")
+    df = load_raw(spark, str(p))
+    rows = df.select("vacancy_id", "description", "salary_from", "salary_gross").orderBy("vacancy_id").collect()
+    assert len(rows) == 2
+    assert rows[0].description == 'line one\nline "two"' and rows[0].salary_from == 100000 and rows[0].salary_gross is True
+    assert rows[1].salary_from is None and rows[1].salary_gross is None
