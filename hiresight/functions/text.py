@@ -71,7 +71,7 @@ def parse_salary(text: Column, strip_tax_phrase: bool = False) -> Column:
         cond = cleaned.contains(hint)
         cur = F.when(cond, code) if cur is None else cur.when(cond, code)
     nums = F.transform(F.regexp_extract_all(cleaned, F.lit(r"\d[\d ]*"), 0),
-                       lambda s: F.regexp_replace(s, r"\D", "").cast("long"))
+                       lambda s: F.regexp_replace(s, r"\D", "").try_cast("long"))
     bounds = F.regexp_replace(cleaned, "до вычета", "") if strip_tax_phrase else cleaned
     has_from, has_to = bounds.contains("от"), bounds.contains("до")
     n = F.size(nums)

@@ -513,3 +513,10 @@ def q_stream(spark, sf):
     log = run_intake(spark, sf, schema, "user_id", "ts", ["event_id"], glob="events.parquet")
     out = current_table(spark, log, "user_id", "ts", ["event_id"])
     return out.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type", "value", "props")
+
+
+@query("document_salary_text")
+def q_doc_salary(spark, sf):
+    from ..functions.text import parse_salary
+    d = table(spark, sf, "documents")
+    return d.select("doc_id", parse_salary(F.col("text")).alias("s")).select("doc_id", "s.*")

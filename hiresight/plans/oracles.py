@@ -514,3 +514,22 @@ SELECT {_humanize_sql('skill_name')} AS label, skill_name, round(market_share *
 FROM {persona_gap_sql(_personas()[2], min_share=0.05, round_share=False)} WHERE gap"""
 
 ORACLES["events_stream_latest"] = ORACLES["events_latest_per_user"]
+
+ORACLES["document_salary_text"] = r"""
+WITH t AS (SELECT doc_id, replace(replace(coalesce(text, ''), chr(160), ' '), chr(8239), ' ') AS c FROM documents),
+n AS (SELECT doc_id, c, list_transform(regexp_extract_all(c, '\d[\d ]*'),
+                                       lambda s: TRY_CAST(regexp_replace(s, '\D', '', 'g') AS BIGINT)) AS nums FROM t)
+SELECT doc_id,
+  CASE WHEN len(nums) = 0 THEN NULL
+       WHEN contains(c, 'от') AND contains(c, 'до') AND len(nums) >= 2 THEN nums[1]
+       WHEN contains(c, 'от') THEN nums[1] WHEN contains(c, 'до') THEN NULL
+       WHEN len(nums) = 2 THEN nums[1] WHEN len(nums) = 1 THEN nums[1] END AS salary_from,
+  CASE WHEN len(nums) = 0 THEN NULL
+       WHEN contains(c, 'от') AND contains(c, 'до') AND len(nums) >= 2 THEN nums[2]
+       WHEN contains(c, 'от') THEN NULL WHEN contains(c, 'до') THEN nums[1]
+       WHEN len(nums) = 2 THEN nums[2] END AS salary_to,
+  CASE WHEN contains(c, 'руб') THEN 'RUB' WHEN contains(c, '₽') THEN 'RUB' WHEN contains(c, 'USD') THEN 'USD'
+       WHEN contains(c, 'EUR') THEN 'EUR' WHEN contains(c, '$') THEN 'USD' WHEN contains(c, '€') THEN 'EUR'
+       WHEN contains(c, 'KZT') THEN 'KZT' END AS currency,
+  CASE WHEN contains(lower(c), 'на руки') THEN false WHEN contains(lower(c), 'до вычета') THEN true END AS salary_gross
+FROM n"""

@@ -161,3 +161,24 @@ def test_raw_csv_multiline_and_schema(spark, tmp_path):
     assert len(rows) == 2
     assert rows[0].description == 'line one\nline "two"' and rows[0].salary_from == 100000 and rows[0].salary_gross is True
     assert rows[1].salary_from is None and rows[1].salary_gross is None
+
+
+def test_stage_chain_end_to_end(spark, tmp_path):
+    from hiresight.plans.stages import run_stages
+    rows = []
+    for i in range(40):
+        rows.append((str(i % 30), f"Junior Python developer {i}", "Acme" if i % 2 else "Beta", "RUB" if i % 5 else "USD",
+                     float(100000 + 1000 * i), "Москва" if i % 3 else "Казань", "true" if i % 4 == 0 else "false",
+                     "yes" if i % 7 == 0 else "no", "2025-11-2%dT10:00:00+03:00" % (i % 9),
+                     "2025-11-30T12:00:00+00:00", "junior" if i % 2 else "unknown", "Не указано"))
+    raw = spark.createDataFrame(rows, "vacancy_id string, title string, company string, currency string, salary_mid double, "
+                                      "city string, has_python string, skill_sql string, published_at_iso string, "
+                                      "scraped_at_utc string, grade string, schedule string")
+    res = run_stages(raw, str(tmp_path / "out"))
+    assert res.clean.count() == 30
+    assert "schedule" not in res.clean.columns  # all markers → NULL → dropped
+    f = res.features.select("city_tier", "grade_final", "tech_stack_size", "salary_bucket").collect()
+    assert {r.city_tier for r in f} == {"Moscow", "Million+"}
+    mv = res.market.collect()
+    assert sum(r.vacancy_count for r in mv) == res.clean.where("salary_mid_rub_capped is not null").count()
+    assert all(isinstance(r.top_skills, str) for r in mv)
