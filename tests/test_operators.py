@@ -182,3 +182,46 @@ def test_stage_chain_end_to_end(spark, tmp_path):
     mv = res.market.collect()
     assert sum(r.vacancy_count for r in mv) == res.clean.where("salary_mid_rub_capped is not null").count()
     assert all(isinstance(r.top_skills, str) for r in mv)
+
+
+def test_page_to_vacancy_row(spark):
+    from hiresight.sources.pages import employer_rows, vacancy_rows
+    html = ('<html><body><h1 data-qa="vacancy-title">Senior Python разработчик</h1>'
+            '<div data-qa="vacancy-salary">от 200 000 до 300 000 ₽ на руки</div>'
+            '<a data-qa="vacancy-company-name" href="/employer/1">Acme</a>'
+            '<span data-qa="vacancy-view-raw-address">Москва, м. Арбатская, район Арбат</span>'
+            '<span data-qa="vacancy-experience">3–6 лет</span><p>Полная занятость</p>'
+            '<div data-qa="vacancy-description"><p>Требования:</p><ul><li>Python</li></ul></div>'
+            '<p>Код вакансии 12345-a</p></body></html>')
+    none = '<html><body><h1 data-qa="vacancy-title">No salary</h1></body></html>'
+    pages = spark.createDataFrame([("https://x/vacancy/777?from=s", html), ("https://x/vacancy/1", none)],
+                                  "url string, html string")
+    rows = vacancy_rows(pages).collect()
+    assert len(rows) == 1
+    r = rows[0]
+    assert (r.vacancy_id, r.salary_from, r.salary_to, r.currency, r.salary_gross) == ("777", 200000, 300000, "RUB", False)
+    assert (r.salary_mid, r.city, r.exp_min_years, r.exp_max_years) == (250000.0, "Москва", 3, 6)
+    assert (r.employment_type, r.grade, r.vacancy_code) == ("Полная занятость", "senior", "12345-a")
+    emp = spark.createDataFrame([("u", '<div data-qa="employer-rating">4,3</div> 120 отзывов ДМС Прямой работодатель')],
+                                "url string, html string")
+    e = employer_rows(emp).first()
+    assert (e.employer_rating, e.employer_reviews_count, e.employer_has_med_insurance, e.employer_type) == \
+        (4.3, 120, True, "direct")
+
+
+def test_text_blocks(spark):
+    df = spark.createDataFrame([("Москва, м. Арбатская, м. Смоленская; район Арбат",
+                                 "Высшее техническое образование, бакалавр. English B2, немецкий",
+                                 "Формат работы: удалённо\nГрафик работы: 5/2",
+                                 '<span data-qa="bloko-tag__text">SQL</span><span data-qa="bloko-tag__text">sql</span>'
+                                 '<span data-qa="bloko-tag__text">Python</span>')], "a string, t string, f string, h string")
+    r = df.select(TX.address_features(F.col("a")).alias("x"), TX.education_block(F.col("t")).alias("e"),
+                  TX.language_requirements(F.col("t")).alias("l"), TX.work_format(F.col("f"), F.lit("")).alias("w"),
+                  TX.skill_list(F.col("h")).alias("s"), TX.junior_signals(F.lit("Стажёр, ментор"), F.lit(False)).alias("j")
+                  ).first()
+    assert tuple(r.x) == (True, "Арбатская", 2, True)
+    assert tuple(r.e) == (True, "bachelor_or_higher", True, None)
+    assert tuple(r.l) == (True, "upper_intermediate", 1)
+    assert (r.w.work_format, r.w.is_remote, r.w.schedule) == ("remote", True, "5/2")
+    assert r.s == "SQL, Python"
+    assert (r.j.is_for_juniors, r.j.has_mentoring) == (True, True)
