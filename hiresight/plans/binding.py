@@ -92,10 +92,12 @@ def vacancy_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(*[c.alias(n) for n, c in cols.items()])
 
 
-def vacancy_features(spark: SparkSession, sf_dir: str, salary_bucket: bool = False) -> DataFrame:
+def vacancy_features(spark: SparkSession, sf_dir: str, salary_bucket: bool = False,
+                     raw: DataFrame | None = None) -> DataFrame:
     """Feature-stage table: C11 measure, then the F-operators with the binding's
-    role priority, plus the primary domain (column order)."""
-    raw = vacancy_raw(spark, sf_dir)
+    role priority, plus the primary domain (column order).  ``raw`` lets a caller
+    pass a persisted raw frame so the clip quantiles and the stage share one join."""
+    raw = raw if raw is not None else vacancy_raw(spark, sf_dir)
     df = salary_prepare(raw, "salary_mid", "currency", "RUB")
     df = FE.add_work_mode(df)
     df = FE.add_boolean_counts(df)

@@ -44,7 +44,9 @@ def V(spark, sf):
     key = (spark.sparkContext.applicationId, sf)
     df = _STAGE_CACHE.get(key)
     if df is None:
-        df = vacancy_features(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
+        from .binding import vacancy_raw
+        raw = vacancy_raw(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
+        df = vacancy_features(spark, sf, raw=raw).persist(StorageLevel.MEMORY_AND_DISK)
         _STAGE_CACHE[key] = df
     return df
 
