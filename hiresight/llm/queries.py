@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam
+from . import decontam, langid, mixing, warc
 from .frames import table
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -14,8 +14,23 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predictions(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_mixing": op2_mixing,
+    "op5_warc": op5_warc,
+    "op9_language_id": op9_language_id,
 }
 
 SQL = {
@@ -40,4 +55,48 @@ s AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS id
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN h USING (rid) LEFT JOIN s USING (rid)""",
+
+    "op2_mixing": r"""
+WITH RECURSIVE d AS (
+  SELECT source, doc_id, coalesce(CAST(doc_id AS VARCHAR), '') AS k, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+  FROM documents),
+s0 AS (SELECT source, sum(size)::BIGINT AS source_size, count(*) AS docs FROM d GROUP BY source),
+s1 AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS number, source_size * 2 AS cap FROM s0),
+s2 AS (SELECT *, [5, 2, 1][number % 3 + 1] AS weight, sum(source_size) OVER () AS total FROM s1),
+s3 AS (SELECT *, (1.5::DOUBLE * total::BIGINT - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT)
+                 / (sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS level
+       FROM s2 WINDOW o AS (ORDER BY cap::DOUBLE / weight, number)),
+s4 AS (SELECT *, least(cap::DOUBLE, weight * max(level) OVER ()) AS target FROM s3),
+s5 AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS epochs,
+              greatest(1, ceil(docs / 64.0))::BIGINT AS blocks FROM s4),
+s AS (SELECT *, target - epochs * source_size AS rest FROM s5),
+p AS (SELECT d.*, s.number, s.source_size, s.target, s.epochs, s.rest, ('0x' || substr(md5(k), 1, 15))::BIGINT % s.blocks AS block,
+             ('0x' || substr(md5(k), 17, 15))::BIGINT AS spread
+      FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source),
+b AS (SELECT number, rest, block, sum(size) AS w, count(*) AS n FROM p GROUP BY ALL),
+br AS (SELECT *, sum(w) OVER (PARTITION BY number ORDER BY block) AS run FROM b),
+e AS (SELECT number, block AS edge, rest - (run - w) AS edge_left, ceil(n / 64.0)::BIGINT AS subs FROM br WHERE run > rest AND run - w <= rest),
+q AS (SELECT p.*, e.edge_left, spread % subs AS sub FROM p JOIN e ON p.number = e.number AND p.block = e.edge),
+qb AS (SELECT number, edge_left, sub, sum(size) AS w FROM q GROUP BY ALL),
+qr AS (SELECT *, sum(w) OVER (PARTITION BY number ORDER BY sub) AS run FROM qb),
+f AS (SELECT number, sub AS sub_edge, edge_left - (run - w) AS sub_left FROM qr WHERE run > edge_left AND run - w <= edge_left),
+u AS (SELECT q.number, f.sub_left, k, sum(size) AS unit FROM q JOIN f ON q.number = f.number AND q.sub = f.sub_edge GROUP BY ALL),
+ur AS (SELECT *, row_number() OVER (PARTITION BY number ORDER BY unit DESC, k) AS rn FROM u),
+g(number, rn, room, k, took) AS (
+  SELECT number, rn, CASE WHEN unit <= sub_left THEN sub_left - unit ELSE sub_left END, k, unit <= sub_left FROM ur WHERE rn = 1
+  UNION ALL
+  SELECT ur.number, ur.rn, CASE WHEN unit <= room THEN room - unit ELSE room END, ur.k, unit <= room
+  FROM g JOIN ur ON ur.number = g.number AND ur.rn = g.rn + 1)
+SELECT p.doc_id, p.size, p.source_size, p.target,
+       (p.size * (p.epochs + CASE WHEN p.block < e.edge OR p.block = e.edge AND (p.spread % e.subs < f.sub_edge OR p.spread % e.subs = f.sub_edge AND coalesce(g.took, FALSE))
+                                  THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM p LEFT JOIN e USING (number) LEFT JOIN f USING (number)
+LEFT JOIN g ON g.number = p.number AND g.k = p.k AND p.block = e.edge AND p.spread % e.subs = f.sub_edge""",
+    "op5_warc": """
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS n, sha256(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT d, min(page_id) AS first_id FROM p WHERE n >= 100 GROUP BY d HAVING count(*) > 1)
+SELECT page_id, n AS payload_bytes, d AS payload_digest,
+       CASE WHEN n >= 100 AND first_id IS NOT NULL AND page_id IS DISTINCT FROM first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND first_id IS NOT NULL AND page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+FROM p LEFT JOIN f USING (d)""",
 }
