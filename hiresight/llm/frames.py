@@ -1,9 +1,15 @@
 """Small DataFrame helpers shared by the operators."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import os
+import tempfile
+import zipfile
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_shipped: set[str] = set()
+
 
 def fresh(columns: list[str], name: str) -> str:
     """``name``, or ``name`` with underscores appended until no column (in any
@@ -25,5 +31,24 @@ def hash_share(columns: list[Column], share: float | Column, seed: int = 1) -> C
     return u < share
 
 
-def table(spark, sf_dir: str, name: str) -> DataFrame:
+def ship_package(spark: SparkSession) -> None:
+    """Give the workers this package (once per application), unless they find it
+    on PYTHONPATH."""
+    sc, package = spark.sparkContext, os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    root = os.path.dirname(package)
+    if sc.applicationId in _shipped or root in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    name = os.path.join(tempfile.mkdtemp(prefix="package-"), f"{os.path.basename(package)}.zip")
+    with zipfile.ZipFile(name, "w") as z:
+        for folder, _, files in os.walk(package):
+            for f in files:
+                if f.endswith(".py"):
+                    path = os.path.join(folder, f)
+                    z.write(path, os.path.relpath(path, root))
+    sc.addPyFile(name)
+    _shipped.add(sc.applicationId)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

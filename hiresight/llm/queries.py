@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, mixing, warc
+from . import ann, decontam, hmm, htmltext, langid, mixing, nearjoin, quality, toxicity, warc
 from .frames import table
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -18,20 +18,41 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearjoin.near_components(table(spark, sf_dir, "documents"))
+
+
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predictions(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {
-    "op1_decontamination": op1_decontamination,
-    "op2_mixing": op2_mixing,
-    "op5_warc": op5_warc,
-    "op9_language_id": op9_language_id,
-}
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.scores(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_decontamination, op2_mixing, op3_quality, op4_toxicity, op5_warc, op6_html_text, op7_jaccard_join, op8_nearest,
+    op9_language_id, op10_lm_score)}
 
 SQL = {
     "op1_decontamination": rf"""
@@ -99,4 +120,19 @@ SELECT page_id, n AS payload_bytes, d AS payload_digest,
        CASE WHEN n >= 100 AND first_id IS NOT NULL AND page_id IS DISTINCT FROM first_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN n >= 100 AND first_id IS NOT NULL AND page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
 FROM p LEFT JOIN f USING (d)""",
+    "op7_jaccard_join": rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+sh AS (
+  SELECT DISTINCT rid, array_to_string(ws[p : p + 2], ' ') AS s
+  FROM d, unnest(range(1, greatest(len(ws) - 2, 1) + 1)) AS t(p) WHERE len(ws) > 0),
+n AS (SELECT rid, count(*) AS n FROM sh GROUP BY rid),
+two AS (SELECT a.rid AS x, b.rid AS y, count(*) AS common FROM sh a JOIN sh b USING (s) WHERE a.rid < b.rid GROUP BY ALL),
+l AS (SELECT x, y FROM two JOIN n a ON a.rid = x JOIN n b ON b.rid = y WHERE 100 * common >= 90 * (a.n + b.n - common)),
+e AS (SELECT a.doc_id AS u, b.doc_id AS v FROM l JOIN d a ON a.rid = x JOIN d b ON b.rid = y),
+r(u, v) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.u, w.v FROM r JOIN (SELECT u, v FROM e UNION SELECT v, u FROM e) w ON r.v = w.u)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least_id AS component_id
+FROM d LEFT JOIN n USING (rid) LEFT JOIN (SELECT u, min(v) AS least_id FROM r GROUP BY u) c ON c.u = doc_id""",
 }

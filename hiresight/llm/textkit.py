@@ -6,6 +6,7 @@ calls per document and no per-word Python objects.
 from __future__ import annotations
 
 import binascii
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -58,12 +59,18 @@ def words(text: bytes | None, table: bytes = LOWER) -> list[bytes]:
     return text.translate(table).split() if text else []
 
 
-def _hash_spans(a: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    up, down = _power_tables(len(a))
-    with np.errstate(over="ignore"):
-        pre = np.zeros(len(a) + 1, np.uint64)
-        np.cumsum(_BYTE[a] * up[: len(a)], out=pre[1:])
-        return mix64((pre[ends] - pre[starts]) * down[starts])
+class Spans:
+    """Hashes of any byte runs of ``a``, from one running sum."""
+
+    def __init__(self, a: np.ndarray):
+        up, self.down = _power_tables(len(a))
+        with np.errstate(over="ignore"):
+            self.run = np.zeros(len(a) + 1, np.uint64)
+            np.cumsum(_BYTE[a] * up[: len(a)], out=self.run[1:])
+
+    def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return mix64((self.run[ends] - self.run[starts]) * self.down[starts])
 
 
 def shingle_hashes(ws: list[bytes], k: int) -> np.ndarray:
@@ -91,7 +98,18 @@ def _piece(ws: list[bytes], lengths: np.ndarray, k: int) -> np.ndarray:
     a = np.frombuffer(b" ".join(ws), np.uint8)
     ends = np.cumsum(lengths + 1) - 1
     starts = ends - lengths
-    return _hash_spans(a, starts[: len(ws) - k + 1], ends[k - 1:])
+    return Spans(a).hashes(starts[: len(ws) - k + 1], ends[k - 1:])
+
+
+def pieces(ws: list[bytes]) -> Iterator[tuple[Spans, np.ndarray, np.ndarray]]:
+    """Bounded runs of the words: their bytes' hasher, starts and ends."""
+    lengths = np.fromiter(map(len, ws), np.int64, len(ws))
+    until, at = np.cumsum(lengths + 1), 0
+    while at < len(ws):
+        stop = max(at + 1, int(np.searchsorted(until, (until[at - 1] if at else 0) + _PIECE)))
+        ends = until[at:stop] - (until[at - 1] if at else 0) - 1
+        yield Spans(np.frombuffer(b" ".join(ws[at:stop]), np.uint8)), ends - lengths[at:stop], ends
+        at = stop
 
 
 def word_hashes(ws: list[bytes]) -> np.ndarray:
