@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..session import reliable_checkpoint
 from .frames import fresh
-from .textkit import ALNUM_LOWER, words
+from .textkit import ALNUM_LOWER, each_text, words
 
 WORD = re.compile("[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 #: Benchmark bytes that go into one automaton; a larger benchmark is scanned in
@@ -106,7 +106,7 @@ def scan_texts(docs: DataFrame, items: list[tuple[str, bytes]], text_col: str, o
         automaton = build(held.value, width)
         for batch in batches:
             rows = []
-            for text in batch.cast(pa.large_binary()).to_pylist():
+            for text in each_text(batch):
                 n, runs, ids = scan(automaton, text)
                 rows.append({"n_words": n, "hit_words": [{"first": a, "last": b} for a, b in runs],
                              "spans": [{"start": a, "end": b} for a, b in char_spans(text.decode(), runs)] if runs else [],

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .frames import crc_remainder, fresh, hash_share
-from .textkit import shingle_hashes, word_hashes
+from .textkit import each_text, shingle_hashes, word_hashes
 
 #: Whole positive texts, and whole unlabelled texts, that train.
 SAMPLE = 8000
@@ -164,7 +164,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     @F.arrow_udf("array<float>")
     def stats(texts: pa.Array) -> pa.Array:
-        return pa.array([features(t).tolist() for t in texts.cast(pa.large_binary()).to_pylist()], pa.list_(pa.float32()))
+        return pa.array([features(t).tolist() for t in each_text(texts)], pa.list_(pa.float32()))
 
     picked = rows.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), hash_share([F.col(id_col)], share, seed=2).alias("web")) \
         .join(F.broadcast(ids), F.col("id") == F.col("positive_id"), "left").where(F.col("web") | F.col("positive_id").isNotNull())
@@ -189,7 +189,7 @@ def with_scores(docs: DataFrame, model: PuModel | None, text_col: str = "text",
     @F.arrow_udf("double")
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            x = [features(t) for t in texts.cast(pa.large_binary()).to_pylist()]
+            x = [features(t) for t in each_text(texts)]
             yield pa.array(held.value.score(np.stack(x)) if x else [], pa.float64())
 
     return docs.withColumn(out, score(F.col(text_col))), out

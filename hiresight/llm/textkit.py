@@ -49,9 +49,10 @@ def mix64(h: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(33))
 
 
-def binary_column(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
-    """The UTF-8 bytes of a string column (null stays None)."""
-    return batch.column(batch.schema.get_field_index(name)).cast(pa.large_binary()).to_pylist()
+def each_text(column: pa.Array) -> Iterator[bytes | None]:
+    """The UTF-8 bytes of a string array's values, a few at a time as Python objects."""
+    for at in range(0, len(column), 128):
+        yield from column.slice(at, 128).cast(pa.large_binary()).to_pylist()
 
 
 def words(text: bytes | None, table: bytes = LOWER) -> list[bytes]:

@@ -30,8 +30,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .frames import crc_remainder, fresh, hash_share
-from .textkit import ALNUM_LOWER, as_long, mix64, pieces, words
+from ..session import reliable_checkpoint
+from .frames import crc_remainder, hash_share
+from .textkit import ALNUM_LOWER, as_long, each_text, mix64, pieces, words
 
 #: Labelled whole texts per class that choose terms and serve as examples.
 SAMPLE = 4000
@@ -47,7 +48,8 @@ THRESHOLD = 0.7
 MIN_G, MIN_LIFT = 16.0, 3.0
 #: Weight of the base rate against the neighbours' votes.
 PULL = 0.5
-RESULT = "struct<score:double,evidence:array<struct<doc_id:bigint,similarity:double,label:int>>>"
+EVIDENCE = "array<struct<doc_id:bigint,similarity:double,label:int>>"
+RESULT = f"struct<score:double,evidence:{EVIDENCE}>"
 _TYPE = pa.struct([("score", pa.float64()), ("evidence", pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("label", pa.int32())])))])
 
 
@@ -105,9 +107,8 @@ class Terms:
         order = np.argsort(found)
         return found[order], often[order]
 
-    def vector(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
-        """Term numbers and weights, unit length (empty without a term)."""
-        found, tf = self.counts(text)
+    def vector(self, found: np.ndarray, tf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Weights of a text's terms, to unit length."""
         w = (1 + np.log(tf)) * self.idf[found]
         norm = np.sqrt((w * w).sum())
         return (found, w / norm) if norm > 0 else (np.empty(0, np.int64), np.empty(0))
@@ -130,25 +131,36 @@ class BlockMaxIndex:
         np.maximum.at(self.top, cell, weight)
         self.top = self.top.reshape(n_terms, self.blocks)
 
+    def dots(self, terms: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+        """Cosines of the query with the examples of some blocks [block, place]."""
+        cell = (terms[:, None] * self.blocks + blocks).ravel()
+        lo, n = self.start[cell], self.start[cell + 1] - self.start[cell]
+        at = np.arange(n.sum()) + np.repeat(lo - np.cumsum(n) + n, n)
+        row = np.repeat(np.tile(np.arange(len(blocks)), len(terms)), n)
+        w = np.repeat(np.repeat(weights, len(blocks)), n) * self.weight[at]
+        return np.bincount(row * BLOCK + self.doc[at] % BLOCK, w, len(blocks) * BLOCK).reshape(-1, BLOCK)
+
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of largest cosine (those above 0), best first."""
+        ids, sims, kth = np.empty(0, np.int64), np.empty(0), 0.0
         if not len(terms) or not self.size:
-            return np.empty(0, np.int64), np.empty(0)
+            return ids, sims
         bound = weights @ self.top[terms]
-        ids, sims, kth = np.empty(0, np.int64), np.empty(0), 0.0
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(ids) >= k and bound[b] + 1e-12 < kth:
-                break
-            dots = np.zeros(min(BLOCK, self.size - b * BLOCK))
-            for t, w in zip(terms, weights):
-                cell = t * self.blocks + b
-                at = slice(self.start[cell], self.start[cell + 1])
-                dots[self.doc[at] - b * BLOCK] += w * self.weight[at]
-            found = np.flatnonzero(dots > 0) + b * BLOCK
-            found = found[found != skip]
-            ids, sims = np.concatenate([ids, found]), np.concatenate([sims, dots[found - b * BLOCK]])
-            order = np.lexsort((ids, -np.round(sims, 12)))[:k]
-            ids, sims = ids[order], sims[order]
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
+        for a in range(0, len(order), 8):
+            blocks = order[a: a + 8]
+            if len(ids) >= k:
+                blocks = blocks[bound[blocks] + 1e-12 >= kth]
+                if not len(blocks):
+                    break
+            dots = self.dots(terms, weights, blocks)
+            i, j = np.nonzero(dots > 0)
+            found = blocks[i] * BLOCK + j
+            some = found != skip
+            ids, sims = np.concatenate([ids, found[some]]), np.concatenate([sims, dots[i, j][some]])
+            best = np.lexsort((ids, -np.round(sims, 12)))[:k]
+            ids, sims = ids[best], sims[best]
             kth = sims[-1] if len(ids) == k else 0.0
         return ids, sims
 
@@ -172,14 +184,14 @@ class Neighbours:
         a, b = self.slope
         return float(1 / (1 + np.exp(-np.clip(a * vote + b, -40, 40))))
 
-    def score(self, text: bytes | None, cache: dict) -> tuple[float, np.ndarray, np.ndarray]:
-        terms, weights = self.terms.vector(text)
-        if not len(terms):
+    def score(self, found: np.ndarray, tf: np.ndarray, cache: dict) -> tuple[float, np.ndarray, np.ndarray]:
+        if not len(found):
             return self.blank, np.empty(0, np.int64), np.empty(0)
-        key = (terms.tobytes(), weights.tobytes())
+        key = (found.tobytes(), tf.tobytes())
         if key not in cache:
             if len(cache) > 20_000:
                 cache.clear()
+            terms, weights = self.terms.vector(found, tf)
             ids, sims = self.index.nearest(terms, weights, self.k)
             cache[key] = (self.calibrated(self.vote(sims, self.label[ids])) if len(ids) else self.blank, ids, sims)
         return cache[key]
@@ -216,11 +228,79 @@ def telling_terms(found: DataFrame, n0: int, n1: int, max_terms: int) -> DataFra
         .where((F.col("g") >= MIN_G) & ((lift >= MIN_LIFT) | (lift <= 1 / MIN_LIFT))).orderBy(F.desc("g"), "term", "level").limit(max_terms)
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          usable: Column | None = None, sample: int = SAMPLE, max_terms: int = MAX_TERMS, k: int = K) -> Neighbours | float:
-    """The model, or the base rate alone if the usable labels hold no two classes."""
-    spark = docs.sparkSession
+def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+           usable: Column | None = None, sample: int = SAMPLE, max_terms: int = MAX_TERMS, k: int = K) -> DataFrame:
+    """doc_id, score and evidence (the neighbours) of every row of ``docs``."""
     usable = usable_rows(id_col) if usable is None else usable
+    terms = choose_terms(docs, labels, id_col, text_col, label_col, usable, sample, max_terms)
+    if isinstance(terms, float):
+        return docs.select(F.col(id_col).alias("doc_id"), F.lit(terms).alias("score"), F.array().cast(EVIDENCE).alias("evidence"))
+    terms, told, rates = terms
+    counts = reliable_checkpoint(term_table(docs, id_col, text_col, terms))
+    terms.idf = document_idf(counts, len(terms.idf))
+    model = fit(terms, counts.join(F.broadcast(told), F.col("doc_id") == F.col("label_id")), rates, k)
+    held = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.arrow_udf(RESULT)
+    def found(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        m, cache = held.value, {}
+        for ts, ns in batches:
+            rows = []
+            for t, n in zip(ts.to_pylist(), ns.to_pylist()):
+                score, ids, sims = m.score(np.array(t, np.int64), np.array(n, np.int64), cache)
+                rows.append({"score": score, "evidence": [
+                    {"doc_id": d, "similarity": s, "label": x} for d, s, x in zip(m.ids[ids].tolist(), sims.tolist(), m.label[ids].astype(int).tolist())]})
+            yield pa.array(rows, _TYPE)
+
+    return counts.select("doc_id", found("t", "n").alias("f")).select("doc_id", "f.score", "f.evidence")
+
+
+def term_table(docs: DataFrame, id_col: str, text_col: str, terms: Terms) -> DataFrame:
+    """doc_id, t (numbers of the terms a text has) and n (how often), per row."""
+    held = docs.sparkSession.sparkContext.broadcast(terms)
+
+    @F.arrow_udf("struct<t:array<int>,n:array<bigint>>")
+    def counted(texts: pa.Array) -> pa.Array:
+        got = (held.value.counts(x) for x in each_text(texts))
+        return pa.array([{"t": t, "n": n} for t, n in got], pa.struct([("t", pa.list_(pa.int32())), ("n", pa.list_(pa.int64()))]))
+
+    return docs.select(F.col(id_col).alias("doc_id"), counted(F.col(text_col)).alias("c")).select("doc_id", "c.t", "c.n")
+
+
+def document_idf(counts: DataFrame, n_terms: int) -> np.ndarray:
+    """Smoothed idf of the chosen terms over all documents."""
+    total, df = counts.count(), np.zeros(n_terms)
+    for r in counts.select(F.explode("t").alias("t")).groupBy("t").agg(F.count("*").alias("n")).collect():
+        df[r.t] = r.n
+    return np.log((1 + total) / (1 + df)) + 1
+
+
+def fit(terms: Terms, examples: DataFrame, rates: tuple[float, float], k: int) -> Neighbours:
+    """Index and calibration from the labelled examples (doc_id, t, n, label);
+    ``rates``: labelled rows that an example of each class stands for."""
+    rows = examples.select("doc_id", "label", "t", "n").toPandas().sort_values("doc_id")
+    label, blank = rows["label"].to_numpy(float), rows["t"].map(len).to_numpy() == 0
+    weight = np.where(label == 1, rates[1], rates[0])
+    rate = float((weight * label).sum() / weight.sum())
+    at_blank = float(((weight * label)[blank].sum() + rate) / (weight[blank].sum() + 1))
+    vecs = [terms.vector(np.asarray(t, np.int64), np.asarray(n, np.int64)) for t, n, b in zip(rows["t"], rows["n"], blank) if not b]
+    y, w, ids = label[~blank], weight[~blank], rows["doc_id"].to_numpy(np.int64)[~blank]
+    order = sorted(range(len(vecs)), key=lambda i: (vecs[i][0][int(np.argmax(vecs[i][1]))], -vecs[i][1].max(), ids[i]))
+    vecs, y, w, ids = [vecs[i] for i in order], y[order], w[order], ids[order]
+    model = Neighbours(terms, BlockMaxIndex(vecs, len(terms.idf)), ids, y, rate, (4.0, -2.0), at_blank, k)
+    votes = []
+    for i, (t, v) in enumerate(vecs):
+        near, sims = model.index.nearest(t, v, k, skip=i)
+        votes.append(model.vote(sims, y[near]) if len(near) else rate)
+    if votes:
+        model.slope = platt(np.array(votes), y, w)
+    return model
+
+
+def choose_terms(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, usable: Column, sample: int,
+                 max_terms: int) -> tuple[Terms, DataFrame, tuple[float, float]] | float:
+    """Terms, the bounded labelled sample (label_id, label) and how many labelled
+    rows one of each class stands for; or the base rate, without two classes."""
     told = labels.where(usable & F.col(id_col).isNotNull() & F.col(label_col).isNotNull()) \
         .groupBy(F.col(id_col).alias("label_id")).agg(F.max((F.col(label_col) == 1).cast("int")).alias("label"))
     n = {r.label: r.n for r in told.groupBy("label").agg(F.count("*").alias("n")).collect()}
@@ -231,7 +311,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def texts_with(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            every = [term_counts(t) for t in batch.column(0).cast(pa.large_binary()).to_pylist()]
+            every = [term_counts(t) for t in each_text(batch.column(0))]
             toxic = np.repeat(batch.column(1).to_numpy(), [len(h) for h, _ in every])
             h, n = np.concatenate([h for h, _ in every]), np.concatenate([n for _, n in every])
             for level in LEVELS:
@@ -248,60 +328,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     found = picked.select("text", "label").mapInArrow(texts_with, "term bigint, level int, n0 bigint, n1 bigint") \
         .groupBy("term", "level").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).where(F.col("n0") + F.col("n1") >= 3)
     chosen = [(r.term, r.level) for r in telling_terms(found, sizes[0], sizes[1], max_terms).select("term", "level").collect()]
-    terms = Terms.of(chosen)
-    terms.idf = document_idf(docs, text_col, terms)
-
-    held = spark.sparkContext.broadcast(terms)
-
-    @F.arrow_udf("struct<t:array<bigint>,w:array<double>>")
-    def vectors(texts: pa.Array) -> pa.Array:
-        got = [held.value.vector(x) for x in texts.cast(pa.large_binary()).to_pylist()]
-        return pa.array([{"t": t, "w": w} for t, w in got], pa.struct([("t", pa.list_(pa.int64())), ("w", pa.list_(pa.float64()))]))
-
-    rows = picked.select("id", "label", vectors("text").alias("v")).select("id", "label", "v.t", "v.w").toPandas().sort_values("id")
-    blank = rows["t"].map(len).to_numpy() == 0
-    label = rows["label"].to_numpy(float)
-    rate = float(n[1] / sum(n.values()))
-    weight = np.where(label == 1, n[1] / sizes[1], n[0] / sizes[0])  # what a sampled text stands for
-    at_blank = float(((weight * label)[blank].sum() + rate) / (weight[blank].sum() + 1))
-    some = rows[~blank]
-    order = sorted(range(len(some)), key=lambda i: (some["t"].iloc[i][int(np.argmax(some["w"].iloc[i]))], -max(some["w"].iloc[i]), some["id"].iloc[i]))
-    some = some.iloc[order]
-    vecs = [(np.asarray(t, np.int64), np.asarray(w, float)) for t, w in zip(some["t"], some["w"])]
-    y = some["label"].to_numpy(float)
-    model = Neighbours(terms, BlockMaxIndex(vecs, len(chosen)), some["id"].to_numpy(np.int64), y, rate, (4.0, -2.0), at_blank, k)
-    votes = []
-    for i, (t, w) in enumerate(vecs):
-        ids, sims = model.index.nearest(t, w, k, skip=i)
-        votes.append(model.vote(sims, y[ids]) if len(ids) else rate)
-    if len(votes):
-        model.slope = platt(np.array(votes), y, weight[~blank][order])
-    return model
-
-
-def document_idf(docs: DataFrame, text_col: str, terms: Terms) -> np.ndarray:
-    """Smoothed idf of the chosen terms over all documents; every task sends
-    one count per chosen term."""
-    held = docs.sparkSession.sparkContext.broadcast(terms)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t, n = held.value, 0
-        seen = np.zeros(len(t.idf), np.int64)
-        for batch in batches:
-            for text in batch.column(0).cast(pa.large_binary()).to_pylist():
-                n += 1
-                seen[t.counts(text)[0]] += 1
-        hit = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_pydict({"term": np.append(hit, -1), "n": np.append(seen[hit], n)})
-
-    got = docs.select(text_col).mapInArrow(count, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    df, total = np.zeros(len(terms.idf)), 0
-    for r in got:
-        if r.term < 0:
-            total = r.n
-        else:
-            df[r.term] = r.n
-    return np.log((1 + total) / (1 + df)) + 1
+    return Terms.of(chosen), told, (n[0] / sizes[0], n[1] / sizes[1])
 
 
 def usable_rows(id_col: str = "doc_id") -> Column:
@@ -309,29 +336,7 @@ def usable_rows(id_col: str = "doc_id") -> Column:
     return F.coalesce(crc_remainder(id_col, 3) != 1, F.lit(False))
 
 
-def with_scores(docs: DataFrame, model: Neighbours | float, text_col: str = "text", out: str = "toxicity") -> tuple[DataFrame, str]:
-    """``docs`` with one struct column (score, evidence), and its name."""
-    out = fresh(docs.columns, out)
-    if isinstance(model, float):
-        return docs.withColumn(out, F.from_json(F.lit(f'{{"score":{model},"evidence":[]}}'), RESULT)), out
-    held = docs.sparkSession.sparkContext.broadcast(model)
-
-    @F.arrow_udf(RESULT)
-    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        m, cache = held.value, {}
-        for texts in batches:
-            rows = []
-            for text in texts.cast(pa.large_binary()).to_pylist():
-                score, ids, sims = m.score(text, cache)
-                rows.append({"score": score, "evidence": [
-                    {"doc_id": d, "similarity": s, "label": x} for d, s, x in zip(m.ids[ids].tolist(), sims.tolist(), m.label[ids].astype(int).tolist())]})
-            yield pa.array(rows, _TYPE)
-
-    return docs.withColumn(out, scored(F.col(text_col))), out
-
-
 def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    found, out = with_scores(docs.select("doc_id", "text"), train(docs, labels))
-    s = F.col(out)["score"]
-    return found.select("doc_id", F.coalesce(crc_remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out"), s.alias("score"),
-                        (s >= THRESHOLD).cast("int").alias("predicted"), F.col(out)["evidence"]["doc_id"].alias("evidence"))
+    return scored(docs, labels).select(
+        "doc_id", F.coalesce(crc_remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), F.col("evidence")["doc_id"].alias("evidence"))
