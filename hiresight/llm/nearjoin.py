@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from ..session import reliable_checkpoint
 from .graph import components
-from .textkit import as_long, mix64, set_fingerprint, shingle_hashes, words
+from .textkit import as_long, each_text, mix64, set_fingerprint, shingle_hashes, words
 
 K = 3
 #: Links need 100 * intersection >= PERCENT * union.
@@ -98,7 +98,7 @@ def with_sets(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
     """doc_id, n (set size), fp (fingerprint of the set)."""
     @F.arrow_udf("struct<n:bigint,fp:bigint>")
     def sets(texts: pa.Array) -> pa.Array:
-        found = [shingle_set(t, k) for t in texts.cast(pa.large_binary()).to_pylist()]
+        found = (shingle_set(t, k) for t in each_text(texts))
         return pa.array([{"n": len(h), "fp": set_fingerprint(h)} for h in found], pa.struct([("n", pa.int64()), ("fp", pa.int64())]))
 
     return docs.select(F.col(id_col).alias("doc_id"), sets(F.col(text_col)).alias("s")).select("doc_id", "s.n", "s.fp")
@@ -109,7 +109,7 @@ def tile_keys(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, fps, seen, rows = [], [], set(), 0
-            for text in batch.column(0).cast(pa.large_binary()).to_pylist():
+            for text in each_text(batch.column(0)):
                 h = shingle_set(text, k)
                 fp = set_fingerprint(h)
                 if len(h) and fp not in seen:
@@ -226,17 +226,17 @@ def links(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str, k: int)
     ids = wanted.select(F.col("doc_id").alias("wanted_id"), F.col("fp").alias("wanted_fp"))
 
     @F.arrow_udf("binary")
-    def packed(texts: pa.Array) -> pa.Array:
-        return pa.array([shingle_set(t, k).tobytes() for t in texts.cast(pa.large_binary()).to_pylist()], pa.binary())
-
-    @F.arrow_udf("bigint")
-    def fingerprint(packs: pa.Array) -> pa.Array:
-        return pa.array([set_fingerprint(np.frombuffer(x, np.uint64)) for x in packs.to_pylist()], pa.int64())
+    def packed(texts: pa.Array, fps: pa.Array) -> pa.Array:
+        """The text's set, or null if it isn't the one wanted."""
+        out = []
+        for text, fp in zip(each_text(texts), fps.to_pylist()):
+            h = shingle_set(text, k)
+            out.append(h.tobytes() if set_fingerprint(h) == fp else None)
+        return pa.array(out, pa.binary())
 
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")) \
         .join(F.broadcast(ids) if few else ids, F.col("id") == F.col("wanted_id"))
-    arrays = texts.select("wanted_fp", packed("text").alias("set")).where(fingerprint("set") == F.col("wanted_fp")) \
-        .select(F.col("wanted_fp").alias("fp"), "set")
+    arrays = texts.select(F.col("wanted_fp").alias("fp"), packed("text", "wanted_fp").alias("set")).where(F.col("set").isNotNull())
     members = tiles.select("fp", "label", "kind", "at", "i", "j", "side").join(arrays, "fp")
     return members.groupBy("label", "kind", "at", "i", "j").applyInArrow(_tile_links, "u bigint, v bigint")
 
