@@ -3,11 +3,14 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 _shipped: set[str] = set()
 
 
@@ -49,6 +52,19 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+def new_folder(spark: SparkSession, kind: str) -> str:
+    """A folder of its own in the shared folder of ``spark.checkpoint.dir``."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, kind: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back: cuts the
+    lineage, and later steps read only the columns they need."""
+    path = f"{new_folder(df.sparkSession, kind)}/rows.parquet"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

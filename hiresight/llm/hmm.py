@@ -6,10 +6,10 @@ others fall into ``CLASSES`` classes by their last bytes, and a class gives a
 word the probability (c + 0.5) / (class tokens + 0.5 * (class words + 1)), so a
 word not seen in training is one more word of its class.
 
-Training: a mixture of unigram models on a bounded sample sets the first
-parameters; then each Baum-Welch round runs the scaled forward and backward
-recursions over the whole training part and sums the expected counts across
-partitions.  The score is the exact log10 probability of the token sequence by
+Texts become lists of symbols once.  Training: a mixture of unigram models on
+a bounded sample sets the first parameters; then each Baum-Welch round runs the
+scaled forward and backward recursions over the whole training part and sums
+the expected counts across partitions.  The score is the exact log10 probability of the token sequence by
 the scaled forward recursion.
 
 Counts of the ``head`` most frequent words are broadcast (bounded); a text's
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,18 +31,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import reliable_checkpoint
-from .frames import crc_remainder, hash_share
-from .textkit import as_long, mix64, word_hashes, words
+from .frames import crc_remainder, hash_share, written
+from .textkit import as_long, each_text, pieces, words
 
 STATES = 8
 SYMBOLS = 1 << 16
-HEAD = 1 << 19
-CLASSES = 1024
+HEAD = 1 << 18
+CLASS_BITS = 10
+CLASSES = 1 << CLASS_BITS
 ROUNDS = 2
 #: Whole training texts that set the first parameters.
-SAMPLE = 2000
-#: Tokens that go through the recursions together.
-SLICE = 1 << 20
+SAMPLE = 1000
+#: Tokens that go through the recursions together, about.
+SLICE = 1 << 18
 END = np.uint64(0x5EED0E0D)
 #: Weight of the overall symbol shares in each state's emissions.
 SMOOTH = 20.0
@@ -50,16 +52,15 @@ SMOOTH = 20.0
 def tokens(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of a text's tokens in order, the end last, and the classes of the
     words' last three bytes."""
-    ws = words(text)
-    h = np.append(word_hashes(ws), END)
-    tail = np.zeros(len(h), np.uint64)
-    if ws:
-        a = np.frombuffer(b"\0\0\0" + b" ".join(ws), np.uint8).astype(np.uint64)
-        n = np.fromiter(map(len, ws), np.int64, len(ws))
-        ends = np.cumsum(n + 1) + 1  # of the last byte, three bytes of padding before
-        for k in range(3):
-            tail[:-1] = tail[:-1] << np.uint64(8) | np.where(n > k, a[np.maximum(ends - k, 0)], np.uint64(0))
-    return h, (mix64(tail + np.uint64(1)) % np.uint64(CLASSES)).astype(np.int64)
+    hashes, classes = [], []
+    for spans, start, end in pieces(words(text)):
+        a, n = spans.bytes, end - start
+        tail = a[end - 1].astype(np.uint32)
+        for k in (1, 2):
+            tail |= np.where(n > k, a[np.maximum(end - 1 - k, 0)], np.uint8(0)).astype(np.uint32) << np.uint32(8 * k)
+        hashes.append(spans.hashes(start, end))
+        classes.append((tail * np.uint32(2654435769)) >> np.uint32(32 - CLASS_BITS))
+    return np.concatenate([*hashes, [END]]), np.concatenate([*classes, [0]]).astype(np.int64)
 
 
 @dataclass
@@ -78,9 +79,10 @@ class Vocabulary:
         c = np.concatenate([self.top_count, self.class_tokens]) + 0.5
         return c / c.sum()
 
-    def symbols(self, h: np.ndarray, cls: np.ndarray) -> np.ndarray:
-        at, hit = _look(self.top, h)
-        return np.where(hit, at, len(self.top) + cls)
+    def __post_init__(self):
+        self.log_top, self.log_head = np.log10(self.top_count + 0.5), np.log10(self.head_count + 0.5)
+        self.log_class = np.log10(self.class_tokens + 0.5 * (self.class_words + 1))
+        self.log_total = float(np.log10(self.tokens + 0.5 * (self.distinct + 1)))
 
 
 def _look(keys: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -168,13 +170,13 @@ def count_words(docs: DataFrame, text_col: str) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hs, cs, held = [], [], 0
-            for text in [*batch.column(0).cast(pa.large_binary()).to_pylist(), False]:
+            for text in chain(each_text(batch.column(0)), [False]):
                 if text is not False:
                     h, c = tokens(text)
                     hs.append(h)
                     cs.append(c)
                     held += len(h)
-                if hs and (text is False or held > 4 * SLICE):
+                if hs and (text is False or held > 8 * SLICE):
                     u, at, n = np.unique(np.concatenate(hs), return_index=True, return_counts=True)
                     yield pa.RecordBatch.from_pydict({"h": as_long(u), "cls": np.concatenate(cs)[at].astype(np.int32), "n": n.astype(np.int64)})
                     hs, cs, held = [], [], 0
@@ -182,11 +184,25 @@ def count_words(docs: DataFrame, text_col: str) -> DataFrame:
     return docs.select(text_col).mapInArrow(task, "h bigint, cls int, n bigint").groupBy("h", "cls").agg(F.sum("n").alias("n"))
 
 
+def frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The words of the highest counts, as many whole ranks of equal count as
+    come to at most ``most`` words, and the end."""
+    capped = F.least(F.col("n"), F.lit(1 << 16))
+    have, least = 0, 1 << 16
+    for r in sorted(counts.groupBy(capped.alias("n")).agg(F.count("*").alias("w")).collect(), reverse=True):
+        have += r.w
+        if have > most - 1:
+            break
+        least = r.n
+    end = F.col("h") == int(END.view(np.int64))
+    return counts.where((F.col("n") >= least) | end).withColumn("end", end)
+
+
 def vocabulary(counts: DataFrame, symbols: int = SYMBOLS, head: int = HEAD) -> Vocabulary:
     total = counts.agg(F.sum("n"), F.count("*")).first()
-    end = int(END.view(np.int64))
-    first = counts.orderBy((F.col("h") != end).cast("int"), F.col("n").desc(), "h").limit(symbols + head).toPandas()
+    first = frequent(counts, symbols + head).toPandas().sort_values(["end", "n", "h"], ascending=[False, False, True])
     h, n, cls = (first[c].to_numpy(np.int64) for c in ("h", "n", "cls"))
+    symbols = min(symbols, len(h))
     by_class = counts.groupBy("cls").agg(F.sum("n").alias("n"), F.count("*").alias("w")).toPandas()
     class_n, class_w = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
     class_n[by_class["cls"]], class_w[by_class["cls"]] = by_class["n"], by_class["w"]
@@ -205,138 +221,167 @@ def first_model(sequences: list[np.ndarray], shares: np.ndarray, states: int, se
     few Baum-Welch rounds, all on the sample."""
     r = np.random.default_rng(seed)
     stay = np.full((states, states), 0.02) + np.eye(states) * (0.98 - 0.02 * (states - 1))
+    stay /= stay.sum(1, keepdims=True)
     if not sequences:
-        return Hmm(np.full(states, 1 / states), stay / stay.sum(1, keepdims=True), np.repeat(shares[:, None], states, 1))
-    flat, starts = np.concatenate(sequences), np.concatenate([[0], np.cumsum([len(s) for s in sequences])[:-1]])
-    size = np.array([len(s) for s in sequences])
-    part = r.dirichlet(np.full(states, 0.3), len(sequences))
+        return Hmm(np.full(states, 1 / states), stay, np.repeat(shares[:, None], states, 1))
+    groups = [[sequences[i] for i in part] for part in slices(sequences)]
+    parts = [r.dirichlet(np.full(states, 0.3), len(x)) for x in groups]
     for _ in range(rounds):
-        each = np.repeat(part, size, 0)
-        emit = np.stack([np.bincount(flat, each[:, k], len(shares)) for k in range(states)], 1) + SMOOTH * shares[:, None]
+        emit = SMOOTH * np.repeat(shares[:, None], states, 1)
+        for part, x in zip(parts, groups):
+            flat, each = np.concatenate(x), np.repeat(part, [len(s) for s in x], 0)
+            for k in range(states):
+                emit[:, k] += np.bincount(flat, each[:, k], len(shares))
         emit /= emit.sum(0)
-        like = np.add.reduceat(np.log(emit)[flat], starts, 0) + np.log(part.mean(0) + 1e-6)
-        like -= like.max(1, keepdims=True)
-        part = np.exp(like)
-        part /= part.sum(1, keepdims=True)
-    model = Hmm((part.mean(0) + 1e-3) / (part.mean(0) + 1e-3).sum(), stay / stay.sum(1, keepdims=True), emit)
+        log_emit, mean = np.log(emit), np.concatenate(parts).mean(0)
+        for i, x in enumerate(groups):
+            starts = np.cumsum([0, *[len(s) for s in x[:-1]]])
+            like = np.add.reduceat(log_emit[np.concatenate(x)], starts, 0) + np.log(mean + 1e-6)
+            part = np.exp(like - like.max(1, keepdims=True))
+            parts[i] = part / part.sum(1, keepdims=True)
+    start = np.concatenate(parts).mean(0) + 1e-3
+    model = Hmm(start / start.sum(), stay, emit)
     for _ in range(3):
-        model = Hmm.from_counts(*model.expected(sequences), shares)
+        sums = [model.expected(x) for x in groups]
+        model = Hmm.from_counts(*[sum(s[i] for s in sums) for i in range(3)], shares)
     return model
 
 
-def _sliced(sequences: Iterator[np.ndarray]) -> Iterator[list[np.ndarray]]:
+def slices(sequences: list[np.ndarray], size: int = SLICE) -> Iterator[list[int]]:
+    """Numbers of sequences that go through the recursions together: those of
+    like length, about ``size`` tokens."""
     held, n = [], 0
-    for s in sequences:
-        held.append(s)
-        n += len(s)
-        if n >= SLICE:
+    for i in sorted(range(len(sequences)), key=lambda i: -len(sequences[i])):
+        held.append(i)
+        n += len(sequences[i])
+        if n >= size:
             yield held
             held, n = [], 0
     if held:
         yield held
 
 
-def baum_welch(docs: DataFrame, text_col: str, vocab, model: Hmm, shares: np.ndarray) -> Hmm:
-    """One round over all of ``docs``; tasks send their summed counts, a row per
-    symbol (and per state, below 0, for starts and moves)."""
-    spark, k = docs.sparkSession, len(model.start)
-    held = spark.sparkContext.broadcast(model)
+def symbol_lists(column: pa.Array) -> Iterator[np.ndarray]:
+    """The values of a list<int> array as numpy arrays."""
+    column = column.cast(pa.large_list(pa.int32()))
+    flat, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+    for a, b in zip(ends[:-1], ends[1:]):
+        yield flat[a:b]
+
+
+def baum_welch(rows: DataFrame, model: Hmm, shares: np.ndarray) -> Hmm:
+    """One round over the symbol lists of all ``rows``; tasks send their summed
+    counts, a row per symbol (and per state, below 0, for starts and moves)."""
+    k = len(model.start)
+    held = rows.sparkSession.sparkContext.broadcast(model)
     names = [f"s{i}" for i in range(k)]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, v = held.value, vocab.value
+        m = held.value
         start, move, emit = np.zeros(k), np.zeros((k, k)), np.zeros_like(m.emit)
-        texts = (t for b in batches for t in b.column(0).cast(pa.large_binary()).to_pylist())
-        for part in _sliced(v.symbols(*tokens(t)) for t in texts):
-            a, b, c = m.expected(part)
-            start, move, emit = start + a, move + b, emit + c
+        for batch in batches:
+            own = list(symbol_lists(batch.column(0)))
+            for part in slices(own):
+                a, b, c = m.expected([own[i] for i in part])
+                start += a
+                move += b
+                emit += c
         used = np.flatnonzero(emit.any(1))
-        rows = np.concatenate([emit[used], move, start[None]])
+        sums = np.concatenate([emit[used], move, start[None]])
         sym = np.concatenate([used, -1 - np.arange(k), [-1 - k]])
-        yield pa.RecordBatch.from_pydict({"sym": sym.astype(np.int32), **{x: rows[:, i].astype(np.float32) for i, x in enumerate(names)}})
+        yield pa.RecordBatch.from_pydict({"sym": sym.astype(np.int32), **{x: sums[:, i].astype(np.float32) for i, x in enumerate(names)}})
 
-    got = docs.select(text_col).mapInArrow(task, "sym int, " + ", ".join(f"{x} float" for x in names)) \
+    got = rows.select("symbols").mapInArrow(task, "sym int, " + ", ".join(f"{x} float" for x in names)) \
         .groupBy("sym").agg(*[F.sum(x).alias(x) for x in names]).toPandas().sort_values("sym")
-    sym, rows = got["sym"].to_numpy(), got[names].to_numpy(float)
-    table = {int(s): row for s, row in zip(sym[sym < 0], rows[sym < 0])}
+    sym, sums = got["sym"].to_numpy(), got[names].to_numpy(float)
+    table = {int(s): row for s, row in zip(sym[sym < 0], sums[sym < 0])}
     if not table:
         return model
     emit = np.zeros_like(model.emit)
-    emit[sym[sym >= 0]] = rows[sym >= 0]
+    emit[sym[sym >= 0]] = sums[sym >= 0]
     return Hmm.from_counts(table[-1 - k], np.stack([table[-1 - i] for i in range(k)]), emit, shares)
 
 
-def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", states: int = STATES,
-          symbols: int = SYMBOLS, head: int = HEAD, rounds: int = ROUNDS, sample: int = SAMPLE) -> tuple[Vocabulary, Hmm, DataFrame]:
-    """Vocabulary, model and the count table (h, n)."""
-    own = docs.where(usable)
-    counts = reliable_checkpoint(count_words(own, text_col))
-    v = vocabulary(counts, symbols, head)
-    shares = v.shares()
-    held = docs.sparkSession.sparkContext.broadcast(v)
-
-    @F.arrow_udf("array<int>")
-    def as_symbols(texts: pa.Array) -> pa.Array:
-        return pa.array([held.value.symbols(*tokens(t)).astype(np.int32) for t in texts.cast(pa.large_binary()).to_pylist()], pa.list_(pa.int32()))
-
-    share = min(1.0, sample / max(1, own.count()))
-    picked = own.where(hash_share([F.col(id_col)], share)).select(F.xxhash64(id_col, text_col).alias("k"), as_symbols(text_col).alias("s")).toPandas()
-    first = [np.asarray(s, np.int64) for s in picked.sort_values("k")["s"]]
-    model = first_model(first, shares, states)
-    for _ in range(rounds):
-        model = baum_welch(own, text_col, held, model, shares)
-    return v, model, counts.select("h", "n")
-
-
-PARTIAL = "struct<n_tokens:bigint,n_known:bigint,base:double,score:double,rare:array<struct<h:bigint,m:bigint>>>"
-_PARTIAL = pa.struct([("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()),
-                      ("rare", pa.list_(pa.struct([("h", pa.int64()), ("m", pa.int64())])))])
+PARTIAL = "struct<n_tokens:bigint,n_known:bigint,base:double,in_class:double,rare:array<struct<h:bigint,m:bigint>>,symbols:array<int>>"
 
 
-def _partial(v: Vocabulary, h: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, dict]:
-    """Symbols of a text, and its sums without log10(c + 0.5) of rare words."""
+def partial(v: Vocabulary, h: np.ndarray, cls: np.ndarray) -> dict:
+    """A text's symbols, and its sums without log10(c + 0.5) of rare words."""
     at, hit = _look(v.top, h)
-    symbols = np.where(hit, at, len(v.top) + cls)
-    known = [np.log10(v.top_count[at[hit]] + 0.5).sum()] if hit.any() else [0.0]
-    rest = h[~hit]
-    in_class = np.log10(v.class_tokens[cls[~hit]] + 0.5 * (v.class_words[cls[~hit]] + 1)).sum()
-    at, mid = _look(v.head, rest)
-    mid_sum = np.log10(v.head_count[at[mid]] + 0.5).sum() if mid.any() else 0.0
+    miss = np.flatnonzero(~hit)
+    rest, own = h[miss], cls[miss]
+    symbols = at.astype(np.int32)
+    symbols[miss] = len(v.top) + own
+    there, mid = _look(v.head, rest)
+    mid_sum = float(v.log_head[there[mid]].sum()) if len(v.head) else 0.0
     u, m = np.unique(rest[~mid], return_counts=True)
-    per_token = np.log10(v.tokens + 0.5 * (v.distinct + 1))
-    return symbols, {"n_tokens": len(h), "n_known": int(hit.sum() + mid.sum()), "base": float(known[0] + mid_sum - len(h) * per_token),
-                     "score": float(mid_sum - in_class), "rare": [{"h": a, "m": b} for a, b in zip(as_long(u).tolist(), m.tolist())]}
+    top_sum = float(v.log_top[at[hit]].sum()) if len(v.top) else 0.0
+    return {"n_tokens": len(h), "n_known": int(hit.sum() + mid.sum()), "base": top_sum + mid_sum - len(h) * v.log_total,
+            "in_class": mid_sum - float(v.log_class[own].sum()), "rare": (as_long(u), m), "symbols": symbols}
 
 
-def score(docs: DataFrame, v: Vocabulary, model: Hmm, counts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_tokens, n_known, base_score and score of every row."""
-    spark = docs.sparkSession
-    held = spark.sparkContext.broadcast((v, model))
+def prepared(docs: DataFrame, v: Vocabulary, usable: Column, id_col: str, text_col: str) -> DataFrame:
+    """A row per document (``row`` numbers them): the results of ``partial``, and
+    whether it trains; written to the shared folder."""
+    held = docs.sparkSession.sparkContext.broadcast(v)
 
     @F.arrow_udf(PARTIAL)
-    def partial(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        vocab, m = held.value
+    def parts(texts: pa.Array) -> pa.Array:
+        rows = [partial(held.value, *tokens(t)) for t in each_text(texts)]
+        h, m, symbols = ([np.empty(0, x), *y] for x, y in ((np.int64, [r["rare"][0] for r in rows]), (np.int64, [r["rare"][1] for r in rows]),
+                                                           (np.int32, [r["symbols"] for r in rows])))
+        rare = pa.StructArray.from_arrays([pa.array(np.concatenate(h)), pa.array(np.concatenate(m))], ["h", "m"])
+        ends = lambda xs: pa.array(np.cumsum([len(x) for x in xs]), pa.int32())
+        plain = [pa.array([r[c] for r in rows], t) for c, t in (("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("in_class", pa.float64()))]
+        return pa.StructArray.from_arrays([*plain, pa.ListArray.from_arrays(ends(h), rare),
+                                           pa.ListArray.from_arrays(ends(symbols), pa.array(np.concatenate(symbols)))],
+                                          ["n_tokens", "n_known", "base", "in_class", "rare", "symbols"])
+
+    return written(docs.select(F.col(id_col).alias("doc_id"), usable.alias("trains"), parts(text_col).alias("p"))
+                   .select("doc_id", "trains", F.monotonically_increasing_id().alias("row"), "p.*"), "lm")
+
+
+def train(rows: DataFrame, v: Vocabulary, states: int = STATES, rounds: int = ROUNDS, sample: int = SAMPLE) -> Hmm:
+    """The model, from the symbol lists of the rows that train."""
+    own, shares = rows.where("trains"), v.shares()
+    share = min(1.0, sample / max(1, own.count()))
+    picked = own.where(hash_share([F.col("row")], share)).select("row", "symbols").toPandas().sort_values("row")
+    model = first_model([np.asarray(s, np.int64) for s in picked["symbols"]], shares, states)
+    for _ in range(rounds):
+        model = baum_welch(own, model, shares)
+    return model
+
+
+def score(rows: DataFrame, model: Hmm, counts: DataFrame) -> DataFrame:
+    """doc_id, n_tokens, n_known, base_score and score of prepared rows."""
+    held = rows.sparkSession.sparkContext.broadcast(model)
+
+    @F.arrow_udf("double")
+    def sequence(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            rows, queue = [], []
-            for text in batch.cast(pa.large_binary()).to_pylist():
-                symbols, row = _partial(vocab, *tokens(text))
-                rows.append(row)
-                queue.append(symbols)
-            at = 0
-            for part in _sliced(iter(queue)):
-                for x in m.log_probs(part):
-                    rows[at]["score"] += float(x) / np.log(10)
-                    at += 1
-            yield pa.array(rows, _PARTIAL)
-
-    done = reliable_checkpoint(docs.select(F.col(id_col).alias("doc_id"), partial(text_col).alias("p")).select("doc_id", "p.*")) \
-        .withColumn("row", F.monotonically_increasing_id())  # stable: the rows are in the checkpoint
-    rare = done.select("row", F.explode("rare").alias("r")).select("row", "r.h", "r.m").join(counts, "h", "left") \
+            own, done = list(symbol_lists(batch)), np.zeros(len(batch))
+            for part in slices(own):
+                done[part] = held.value.log_probs([own[i] for i in part]) / np.log(10)
+            yield pa.array(done, pa.float64())
+
+    rare = rows.select("row", F.explode("rare").alias("r")).select("row", "r.h", "r.m").join(counts.select("h", "n"), "h", "left") \
         .groupBy("row").agg(F.sum(F.col("m") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("logs"),
                             F.sum(F.when(F.col("n") > 0, F.col("m")).otherwise(0)).alias("known"))
-    return done.drop("rare").join(rare, "row", "left").select(
-        "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
-        (F.col("base") + F.coalesce("logs", F.lit(0.0))).alias("base_score"), (F.col("score") + F.coalesce("logs", F.lit(0.0))).alias("score"))
+    logs = F.coalesce("logs", F.lit(0.0))
+    return rows.select("row", "doc_id", "n_tokens", "n_known", "base", "in_class", sequence("symbols").alias("sequence")) \
+        .join(rare, "row", "left").select(
+            "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
+            (F.col("base") + logs).alias("base_score"), (F.col("sequence") + F.col("in_class") + logs).alias("score"))
+
+
+def fitted_scores(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", symbols: int = SYMBOLS,
+                  head: int = HEAD, **options) -> tuple[DataFrame, Vocabulary, Hmm]:
+    """Scores of all rows under the model of those that are ``usable``."""
+    counts = reliable_checkpoint(count_words(docs.where(usable), text_col))
+    v = vocabulary(counts, symbols, head)
+    rows = prepared(docs, v, usable, id_col, text_col)
+    model = train(rows, v, **options)
+    return score(rows, model, counts), v, model
 
 
 def usable_rows(id_col: str = "doc_id") -> Column:
@@ -345,7 +390,7 @@ def usable_rows(id_col: str = "doc_id") -> Column:
 
 
 def scores(docs: DataFrame) -> DataFrame:
-    v, model, counts = train(docs, usable_rows())
-    return score(docs, v, model, counts).select(
+    found, v, _ = fitted_scores(docs, usable_rows())
+    return found.select(
         "doc_id", F.coalesce(crc_remainder("doc_id", 5) == 1, F.lit(False)).alias("held_out"), "n_tokens", "n_known",
         F.lit(v.tokens).cast("bigint").alias("train_tokens"), "base_score", "score")

@@ -33,8 +33,9 @@ from .textkit import mix64
 ORDER = 4
 #: Whole training texts per language.
 SAMPLE_DOCS = 1500
-#: Rejection: so many times the largest deviation of any training text.
-REJECT_FACTOR = 2.0
+#: Rejection: beyond so many times the largest deviation of any training text,
+#: and so many times the usual cross-entropy of the language.
+REJECT_FACTOR, REJECT_RATIO = 2.0, 2.0
 RESULT = "struct<lang:string,score:double,cross_entropy:double,n_chars:bigint,rejected:boolean>"
 _TYPE = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("cross_entropy", pa.float64()), ("n_chars", pa.int64()), ("rejected", pa.bool_())])
 _LETTER = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
@@ -186,7 +187,8 @@ class KneserNey:
             return "und", 0.0, None, 0, True
         best = int(np.argmin(h))
         p = 1.0 / float(np.exp((h[best] - h) * min(n, 50)).sum())
-        far = self.centre is not None and (h[best] - self.centre[best]) * min(np.sqrt(n), 30.0) > REJECT_FACTOR * self.spread[best]
+        far = self.centre is not None and h[best] > REJECT_RATIO * self.centre[best] \
+            and (h[best] - self.centre[best]) * min(np.sqrt(n), 30.0) > REJECT_FACTOR * self.spread[best]
         return self.langs[best], p, float(h[best]), n, bool(far)
 
 

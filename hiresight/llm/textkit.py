@@ -64,6 +64,7 @@ class Spans:
     """Hashes of any byte runs of ``a``, from one running sum."""
 
     def __init__(self, a: np.ndarray):
+        self.bytes = a
         up, self.down = _power_tables(len(a))
         with np.errstate(over="ignore"):
             self.run = np.zeros(len(a) + 1, np.uint64)

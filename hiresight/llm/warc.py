@@ -27,10 +27,11 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, reliable_checkpoint
+from ..session import reliable_checkpoint
+from .frames import new_folder
 
 MAGIC = b"\x1f\x8b\x08"
 FILE_BYTES = 128 << 20
@@ -43,10 +44,6 @@ _RECORD_TYPE = pa.schema([("path", pa.string()), ("offset", pa.int64()), ("recor
                           ("payload_digest", pa.string()), ("payload", pa.binary())])
 
 
-def new_folder(spark: SparkSession, kind: str) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
-
-
 def with_revisits(pages: DataFrame, folder: str, min_revisit: int) -> DataFrame:
     """page_id, url, payload, payload_bytes, payload_digest, refers_to (the first
     page with that payload, for later ones).  Only repeated digests are joined,
