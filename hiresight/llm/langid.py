@@ -132,6 +132,8 @@ class KneserNey:
     @classmethod
     def train(cls, rows: dict[str, tuple[np.ndarray, np.ndarray]]) -> "KneserNey":
         langs = sorted(rows)
+        if not langs:
+            return cls([], {}, {}, np.empty(0, np.float32))
         alphabet = len({int(c) for g, _ in rows.values() for c in np.unique(g)}) + 1
         models = [_One(*rows[x], alphabet) for x in langs]
         every = np.concatenate([g for g, _ in rows.values()]) if rows else np.zeros((0, ORDER), np.uint32)
