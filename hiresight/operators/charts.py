@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import exprs as X
 from ..functions.text import humanize_flag
-from .quantiles import grouped_quantiles, join_on_keys
+from .quantiles import grouped_quantiles, join_on_keys, localized
 from .segments import drop_null_keys, hard_skill_columns, restrict_to_top, segment_summary, stack_bucket
 
 
@@ -22,9 +22,10 @@ def box_stats(df: DataFrame, key: str, measure: str = C.DEFAULT_MEASURE, top_n:
     """V1: quartiles and 1.5·IQR whiskers per category (matplotlib's rule):
     whisker_low/high = min/max of values inside the fences, outliers counted.
     Quartiles are one grouped selection; the fences are joined back to the rows
-    on the key (one row per category) and a second aggregate finds whiskers."""
+    on the key (one row per category, local where they are few, so the rows aren't
+    shuffled) and a second aggregate finds whiskers."""
     src = restrict_to_top(df, key, top_n) if top_n else drop_null_keys(df, [key])
-    q = grouped_quantiles(src, measure, [0.25, 0.5, 0.75], [key], ["q1", "median", "q3"])
+    q = localized(grouped_quantiles(src, measure, [0.25, 0.5, 0.75], [key], ["q1", "median", "q3"]))
     fences = q.withColumn("_lo", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
               .withColumn("_hi", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
     m = F.col(measure).cast("double")

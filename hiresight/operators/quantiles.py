@@ -1,26 +1,23 @@
 """Exact grouped quantiles that never funnel one group through one task.
 
-``percentile``/``median`` keep a value→count map per group and merge all of a
+``percentile``/``median`` keep a value->count map per group and merge all of a
 group's maps in one reducer; a group holding a third of 100 TB would not fit.
 Here the exact linear-interpolated quantile (pandas ``quantile``, DuckDB
-``quantile_cont``) is found by distributed rank selection instead:
-
-1. range-partition (keys, value) so a hot group is spread over many tasks,
-   sort inside each partition and number the rows (``monotonically_increasing_id``
-   encodes partition index and position, so every (group, partition) run is a
-   contiguous id range);
-2. a small aggregate gives each run's first id and size; a window over the runs
-   of a group (at most one row per partition) gives each run's rank offset;
-   the numbered (keys, value, id) frame is checkpointed to the shared
-   checkpoint folder so both uses below (and any recomputation after an
-   executor loss) see the same ids;
-3. the wanted ranks ⌊p(n-1)⌋ and ⌈p(n-1)⌉ are mapped to row ids, and only those
-   rows are picked out with a join on the id (AQE broadcasts the small side when
-   its measured size allows);
-4. a grouped ``max`` of the picked values and the interpolation finish the job.
-
-``method="approx"`` uses ``percentile_approx`` (bounded sketch, one pass) for
-callers that accept a rank error.
+``quantile_cont``) comes from two pre-aggregated passes over keys and value:
+
+1. per group, the count and, for each wanted rank, a bracket of two values from
+   one bounded sketch (``percentile_approx``, whose rank error is guaranteed);
+2. per group and bracket, the rows below it are counted and those inside it are
+   counted by value; a hot value or a hot group is one row per task, and what
+   crosses the shuffle is the few ten-thousandths of a group inside brackets;
+3. a running count over those values finds the wanted ranks.
+
+The brackets (one row per group) reach pass 2 as a local table where they are
+checked to be few, else as an ordinary join.  There are no row ids, no
+checkpoint and no shuffle of the rows themselves.
+
+``method="approx"`` uses ``percentile_approx`` alone for callers that accept a
+rank error.
 """
 from __future__ import annotations
 
@@ -29,7 +26,15 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import reliable_checkpoint
+#: Results of so few rows are made local, so that Spark knows their size.
+LOCAL_ROWS = 10_000
+
+
+def localized(df: DataFrame, most: int = LOCAL_ROWS) -> DataFrame:
+    """``df`` as a local table of known size if it has at most ``most`` rows
+    (they are computed now); else ``df`` itself."""
+    rows = df.limit(most + 1).collect()
+    return df if len(rows) > most else df.sparkSession.createDataFrame(rows, df.schema)
 
 
 def _names(probs: Sequence[float], names: Sequence[str] | None) -> list[str]:
@@ -41,11 +46,10 @@ def _names(probs: Sequence[float], names: Sequence[str] | None) -> list[str]:
 
 
 def grouped_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str] = (),
-                      names: Sequence[str] | None = None, method: str = "exact",
-                      partitions: int | None = None, accuracy: int = 10000) -> DataFrame:
+                      names: Sequence[str] | None = None, method: str = "exact", accuracy: int = 10000) -> DataFrame:
     """One row per group that has at least one non-NULL value: keys + quantiles.
 
-    NULL values are skipped (pandas semantics).  Groups are formed on ``keys``
+    NULL and NaN values are skipped (pandas semantics).  Groups are formed on ``keys``
     as given, NULL keys included; callers drop them first when they follow
     pandas ``groupby``.
     """
@@ -53,7 +57,7 @@ def grouped_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: S
     probs = [float(p) for p in probs]
     out_names = _names(probs, names)
     base = df.select(*[F.col(k) for k in keys], F.col(value).cast("double").alias("_v")) \
-             .where(F.col("_v").isNotNull())
+             .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
 
     if method == "approx":
         aggs = [F.percentile_approx("_v", p, accuracy).alias(n) for p, n in zip(probs, out_names)]
@@ -61,38 +65,40 @@ def grouped_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: S
     if method != "exact":
         raise ValueError(f"unknown quantile method {method!r}")
 
-    n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranked = (base.repartitionByRange(n_parts, *[F.col(k).asc_nulls_first() for k in keys], F.col("_v"))
-                  .sortWithinPartitions(*keys, "_v")
-                  .withColumn("_rid", F.monotonically_increasing_id()))
-    # both consumers below must see identical ids: materialise once
-    ranked = reliable_checkpoint(ranked)
-
-    runs = ranked.groupBy(*keys, F.shiftright("_rid", 33).alias("_pid")) \
-                 .agg(F.min("_rid").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
-    by_group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    runs = runs.withColumn("_off", F.coalesce(
-                    F.sum("_cnt").over(by_group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                    F.lit(0))) \
-               .withColumn("_n", F.sum("_cnt").over(by_group))
-
-    wanted_parts = []
+    if not probs:
+        return base.select(*keys).distinct()
+
+    # The sketch's rank error is 1/accuracy of the group.  A bracket must reach two
+    # ranks past it, so small groups take a wide one, and the smallest all values.
+    wide, least = 0.04, 100
+    margins = (4.0 / accuracy, wide)
+    edges = [min(1.0, max(0.0, p + side * m)) for p in probs for m in margins for side in (-1, 1)]
+    aggs = [F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", edges, accuracy).alias("_e"),
+            F.min("_v").alias("_min"), F.max("_v").alias("_max")]
+    groups = localized((base.groupBy(*keys).agg(*aggs) if keys else base.agg(*aggs)).where(F.col("_n") > 0))
+
+    def edge(i: int, p: float, side: int, last: str):
+        narrow, broad = (F.col("_e")[4 * i + 2 * k + (side > 0)] for k in (0, 1))
+        inside = [0 < p + side * m < 1 for m in margins]
+        return F.when((F.col("_n") >= accuracy) & F.lit(inside[0]), narrow) \
+            .when(F.col("_n").between(least, accuracy - 1) & F.lit(inside[1]), broad).otherwise(F.col(last))
+
+    def bracket(i: int, p: float):
+        return F.struct(F.lit(i).alias("_qi"), F.when(F.col("_v") >= edge(i, p, -1, "_min"), F.col("_v")).alias("_in"),
+                        (F.col("_v") <= edge(i, p, 1, "_max")).alias("_use"))
+
+    placed = join_on_keys(base, groups, keys, "inner") \
+        .select(*keys, F.explode(F.array(*[bracket(i, p) for i, p in enumerate(probs)])).alias("_b")) \
+        .where("_b._use").groupBy(*keys, F.col("_b._qi").alias("_qi"), F.col("_b._in").alias("_in")).agg(F.count(F.lit(1)).alias("_c"))
+    run = Window.partitionBy(*keys, "_qi").orderBy(F.col("_in").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = join_on_keys(placed.withColumn("_upto", F.sum("_c").over(run)), groups.select(*keys, "_n"), keys, "inner")
+
+    aggs = [F.max("_n").alias("_n")]
     for i, p in enumerate(probs):
         pos = (F.col("_n") - 1).cast("double") * F.lit(p)
-        for kind, rank in ((0, F.floor(pos)), (1, F.ceil(pos))):
-            wanted_parts.append(F.struct(F.lit(i).alias("qi"), F.lit(kind).alias("kind"),
-                                         rank.cast("long").alias("rank")))
-    wanted = (runs.select("_first", "_cnt", "_off", "_n", F.explode(F.array(*wanted_parts)).alias("w"))
-                  .where((F.col("w.rank") >= F.col("_off")) & (F.col("w.rank") < F.col("_off") + F.col("_cnt")))
-                  .select((F.col("_first") + F.col("w.rank") - F.col("_off")).alias("_rid"),
-                          F.col("w.qi").alias("_qi"), F.col("w.kind").alias("_kind"), "_n"))
-
-    picked = ranked.join(wanted, "_rid")
-    aggs = [F.max("_n").alias("_n")]
-    for i in range(len(probs)):
-        aggs.append(F.max(F.when((F.col("_qi") == i) & (F.col("_kind") == 0), F.col("_v"))).alias(f"_lo{i}"))
-        aggs.append(F.max(F.when((F.col("_qi") == i) & (F.col("_kind") == 1), F.col("_v"))).alias(f"_hi{i}"))
-    vals = picked.groupBy(*keys).agg(*aggs) if keys else picked.agg(*aggs)
+        for name, rank in ((f"_lo{i}", F.floor(pos)), (f"_hi{i}", F.ceil(pos))):
+            aggs.append(F.min(F.when((F.col("_qi") == i) & (F.col("_upto") > rank), F.col("_in"))).alias(name))
+    vals = ranked.groupBy(*keys).agg(*aggs) if keys else ranked.agg(*aggs).where(F.col("_n") > 0)
 
     outs = []
     for i, (p, n) in enumerate(zip(probs, out_names)):
