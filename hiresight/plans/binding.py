@@ -32,6 +32,9 @@ DOMAIN_FLAGS = {"domain_color": ["red", "blue"], "domain_temperature": ["hot", "
                 "domain_size": ["small", "large"], "domain_age": ["old", "new"]}
 ROLE_PRIORITY = ["role_anvil", "role_bolt", "role_gear", "role_gizmo", "role_plate", "role_ring", "role_rod",
                  "role_widget"]
+# Nations that stand for cities of each tier; the others keep their name.
+NATION_CITY = {"RUSSIA": "Москва", "CHINA": "Moscow Region", "FRANCE": "Санкт-Петербург", "GERMANY": "Казань",
+               "INDIA": "Novosibirsk", "IRAN": "Алматы", "IRAQ": "Kazakhstan"}
 GRADE_OF_TYPE = {"SMALL": "intern", "ECONOMY": "junior", "MEDIUM": "middle", "LARGE": "senior", "STANDARD": "lead"}
 
 
@@ -96,7 +99,7 @@ def vacancy_features(spark: SparkSession, sf_dir: str, salary_bucket: bool = Fal
                      raw: DataFrame | None = None) -> DataFrame:
     """Feature-stage table: C11 measure, then the F-operators with the binding's
     role priority, plus the primary domain (column order).  ``raw`` lets a caller
-    pass a persisted raw frame so the clip quantiles and the stage share one join."""
+    pass a written raw stage so the clip quantiles and the stage share one join."""
     raw = raw if raw is not None else vacancy_raw(spark, sf_dir)
     df = salary_prepare(raw, "salary_mid", "currency", "RUB")
     df = FE.add_work_mode(df)

@@ -271,15 +271,18 @@ SELECT event_id, CAST(isodow(ts) - 1 AS INTEGER) AS published_weekday, CAST(mont
        isodow(ts) IN (6, 7) AS is_weekend_post FROM events"""
 _MP = ", ".join(f"'{c}'" for c in __import__("hiresight.config", fromlist=["x"]).CITY_MILLION_PLUS)
 ORACLES["customer_city_tier"] = f"""
-SELECT c_custkey, n_name AS city,
-  CASE WHEN n_name IS NULL THEN 'unknown'
-       WHEN contains(lower(n_name), 'moscow') OR contains(lower(n_name), 'моск') THEN 'Moscow'
-       WHEN contains(lower(n_name), 'spb') OR contains(lower(n_name), 'петербург') OR contains(lower(n_name), 'санкт') THEN 'SPb'
-       WHEN lower(n_name) IN ({_MP}) THEN 'Million+'
-       WHEN contains(lower(n_name), 'kazakhstan') OR contains(lower(n_name), 'kazakh') OR contains(lower(n_name), 'kz')
-         OR contains(lower(n_name), 'алматы') OR contains(lower(n_name), 'нур-султан') OR contains(lower(n_name), 'астана') THEN 'KZ/Other'
+WITH c AS (SELECT c_custkey, CASE n_name WHEN 'JAPAN' THEN NULL WHEN 'RUSSIA' THEN 'Москва' WHEN 'CHINA' THEN 'Moscow Region'
+  WHEN 'FRANCE' THEN 'Санкт-Петербург' WHEN 'GERMANY' THEN 'Казань' WHEN 'INDIA' THEN 'Novosibirsk' WHEN 'IRAN' THEN 'Алматы'
+  WHEN 'IRAQ' THEN 'Kazakhstan' ELSE n_name END AS city FROM customer JOIN nation ON c_nationkey = n_nationkey)
+SELECT c_custkey, city,
+  CASE WHEN city IS NULL THEN 'unknown'
+       WHEN contains(lower(city), 'moscow') OR contains(lower(city), 'моск') THEN 'Moscow'
+       WHEN contains(lower(city), 'spb') OR contains(lower(city), 'петербург') OR contains(lower(city), 'санкт') THEN 'SPb'
+       WHEN lower(city) IN ({_MP}) THEN 'Million+'
+       WHEN contains(lower(city), 'kazakhstan') OR contains(lower(city), 'kazakh') OR contains(lower(city), 'kz')
+         OR contains(lower(city), 'алматы') OR contains(lower(city), 'нур-султан') OR contains(lower(city), 'астана') THEN 'KZ/Other'
        ELSE 'Other RU' END AS city_tier
-FROM customer JOIN nation ON c_nationkey = n_nationkey"""
+FROM c"""
 ORACLES["part_experience_grade"] = """
 SELECT p_partkey, CASE WHEN p_size < 3 THEN 'intern'
   WHEN p_size % 10 = 0 THEN 'unknown' WHEN p_size % 10 < 1 THEN 'intern' WHEN p_size % 10 < 3 THEN 'junior'
@@ -429,7 +432,7 @@ SELECT (count(*) - count(DISTINCT o_custkey) - max(CAST(o_custkey IS NULL AS BIG
 FROM orders"""
 ORACLES["lineitem_duplicate_rows"] = """
 SELECT CAST(sum(c) AS BIGINT) AS rows, count(*) AS distinct_rows, CAST(sum(c) - count(*) AS BIGINT) AS duplicate_rows
-FROM (SELECT l_partkey, l_suppkey, l_quantity, count(*) AS c FROM lineitem GROUP BY ALL)"""
+FROM (SELECT *, count(*) AS c FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_linenumber = 1) GROUP BY ALL)"""
 ORACLES["lineitem_describe"] = " UNION ALL ".join(f"""
 SELECT '{c}' AS "column", count({c}) AS count, {r(f'avg({c})')} AS mean, {r(f'stddev_samp({c})')} AS std,
   {r(f'min({c})')} AS min, {r(f'quantile_cont({c}, 0.25)')} AS q25, {r(f'quantile_cont({c}, 0.5)')} AS median,

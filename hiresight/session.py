@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -62,3 +63,11 @@ def reliable_checkpoint(df):
     executor loss would not guarantee."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written_stage(df, name: str):
+    """Write ``df`` as a stage table (Parquet) in the shared checkpoint folder and
+    read it back, so that later queries read only the columns they need."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/stage-{name}-{uuid.uuid4().hex}.parquet"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
