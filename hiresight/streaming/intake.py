@@ -10,6 +10,7 @@ checkpoint lets the next run continue where this one stopped.
 """
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,9 +32,13 @@ def latest_per_id_stream(stream: DataFrame, id_col: str, ts_col: str, tiebreak:
 def run_intake(spark: SparkSession, source_dir: str, schema: T.StructType, id_col: str, ts_col: str,
                tiebreak: list[str] | None = None, glob: str = "*.parquet", out_dir: str | None = None,
                watermark: str | None = None) -> str:
-    """Process all files now in ``source_dir`` and return the change-log folder."""
+    """Process all files now in ``source_dir`` (a folder, or one file) and return the
+    change-log folder.  Called again with the same ``out_dir`` it goes on where the
+    last call stopped; a batch that is run again replaces its own part of the log."""
     base = out_dir or f"{ensure_checkpoint_dir(spark).rstrip('/')}/intake-{uuid.uuid4().hex}"
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", glob).parquet(source_dir)
+    # as a pattern, the path may be a folder of part files or a single file
+    path = re.sub(r"([^/\[\]*?{}])/*$", r"[\1]", source_dir)
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", glob).parquet(path)
     if isinstance(schema[ts_col].dataType, T.TimestampNTZType):
         stream = stream.withColumn(ts_col, F.col(ts_col).cast("timestamp"))
     if watermark:
@@ -42,7 +47,7 @@ def run_intake(spark: SparkSession, source_dir: str, schema: T.StructType, id_co
     log_dir = f"{base}/changes"
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        batch.withColumn("_epoch", F.lit(epoch).cast("long")).write.mode("append").parquet(log_dir)
+        batch.write.mode("overwrite").parquet(f"{log_dir}/_epoch={epoch}")
 
     q = (latest.writeStream.outputMode("update").foreachBatch(sink)
                .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())

@@ -119,8 +119,7 @@ def test_quantiles_match_pandas_on_skewed_groups(spark):
     rng = np.random.default_rng(0)
     rows = [("hot", float(x)) for x in rng.normal(size=3000)] + [("cold", float(x)) for x in rng.normal(size=7)]
     df = spark.createDataFrame(rows, "k string, v double")
-    got = {r.k: (r.q25, r.q50) for r in quantiles.grouped_quantiles(df, "v", [0.25, 0.5], ["k"], ["q25", "q50"],
-                                                                     partitions=6).collect()}
+    got = {r.k: (r.q25, r.q50) for r in quantiles.grouped_quantiles(df, "v", [0.25, 0.5], ["k"], ["q25", "q50"]).collect()}
     for k in ("hot", "cold"):
         vals = np.array([v for kk, v in rows if kk == k])
         assert abs(got[k][0] - np.quantile(vals, 0.25)) < 1e-9 and abs(got[k][1] - np.quantile(vals, 0.5)) < 1e-9
@@ -225,3 +224,41 @@ def test_text_blocks(spark):
     assert (r.w.work_format, r.w.is_remote, r.w.schedule) == ("remote", True, "5/2")
     assert r.s == "SQL, Python"
     assert (r.j.is_for_juniors, r.j.has_mentoring) == (True, True)
+
+
+def test_quantiles_of_hot_values_move_no_rows(spark):
+    import numpy as np
+    rng = np.random.default_rng(1)
+    vals = np.concatenate([np.full(5000, 2.0), rng.normal(size=4000), np.full(1000, -1.0), [np.nan]])
+    rows = [("a" if i % 10 else None if i % 20 else "few" if i < 3000 else "mid", float(v)) for i, v in enumerate(rng.permutation(vals))]
+    df = spark.createDataFrame([*rows, ("none", None)], "k string, v double")
+    probs = [0.0, 0.01, 1 / 3, 0.5, 0.99, 1.0]
+    got = quantiles.grouped_quantiles(df, "v", probs, ["k"], [f"p{i}" for i in range(6)])
+    for r in got.collect():
+        own = np.array([v for k, v in rows if k == r.k and v == v])
+        assert np.allclose([r[f"p{i}"] for i in range(6)], np.quantile(own, probs))
+    assert got.count() == 4
+    plan = got._jdf.queryExecution().toString()
+    assert "RDDScan" not in plan and "rangepartitioning" not in plan
+    assert quantiles.global_quantiles(df.where("v is null"), "v", [0.5]).count() == 0
+
+
+def test_key_grid_has_every_combination(spark):
+    from hiresight.operators.market import complete_key_grid
+    src = spark.createDataFrame([("a", "x"), ("b", "y"), (None, "z")], "k string, l string")
+    res = spark.createDataFrame([("a", "x", 3)], "k string, l string, n int")
+    assert {(r.k, r.l): r.n for r in complete_key_grid(res, src, ["k", "l"], {"n": 0}).collect()} == \
+        {(k, l): 3 * (k + l == "ax") for k in "ab" for l in "xyz"}
+
+
+def test_intake_of_a_folder_goes_on_where_it_stopped(spark, tmp_path):
+    from hiresight.streaming.intake import current_table, run_intake
+    src, out, schema = str(tmp_path / "t.parquet"), str(tmp_path / "out"), "id long, ts timestamp, v string"
+    make = lambda rows: spark.createDataFrame(rows, "id long, ts string, v string").selectExpr("id", "timestamp(ts) ts", "v")
+    make([(1, "2024-01-01", "a"), (2, "2024-01-02", "b")]).write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    log = run_intake(spark, src, schema, "id", "ts", out_dir=out)
+    make([(1, "2024-01-03", "c"), (2, "2024-01-01", "late"), (3, "2024-01-01", "d")]).write.mode("append").parquet(src)
+    assert run_intake(spark, src, schema, "id", "ts", out_dir=out) == log
+    got = {r.id: r.v for r in current_table(spark, log, "id", "ts").collect()}
+    assert got == {1: "c", 2: "b", 3: "d"}
