@@ -92,9 +92,15 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def require_columns(df: DataFrame, cols: Iterable[str], where: str) -> None:
-    missing = [c for c in cols if c not in df.columns]
-    if missing:
-        raise ValueError(f"{where}: expected columns {missing}, but they are missing")
+    """ValueError naming the operator and the absent columns."""
+    absent = [c for c in cols if c not in df.columns]
+    if absent:
+        raise ValueError(f"{where} needs {', '.join(absent)}; the table has no such column")
+
+
+def require_prefix(df: DataFrame, prefix: str, where: str) -> None:
+    if not any(c.startswith(prefix) for c in df.columns):
+        raise ValueError(f"{where} needs at least one {prefix} column")
 
 
 def rounded(c, digits: int = 6) -> Column:

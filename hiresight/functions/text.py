@@ -331,7 +331,7 @@ def humanize_flag(name: Column) -> Column:
     n = F.regexp_replace(name, r"^(skill_|has_)", "")
     m = F.create_map(*[x for k, v in C.HUMAN_NAME_MAP.items() for x in (F.lit(k), F.lit(v))])
     words = F.transform(F.split(n, "_"), lambda w: F.coalesce(
-        m[F.lower(w)], F.when(F.length(w) > 3, F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, 2, 10000))))
+        m[F.lower(w)], F.when(F.length(w) > 3, F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substr(w, F.lit(2)))))
         .otherwise(F.upper(w))))
     return F.array_join(words, " ")
 

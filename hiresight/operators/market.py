@@ -41,11 +41,7 @@ def build_market_view(df: DataFrame, measure: str = C.DEFAULT_MEASURE,
                       skill_cols: Sequence[str] | None = None, exclude_non_skills: Sequence[str] = C.NON_SKILL_HAS,
                       top_k: int = 5, complete_grid: bool = False, quantile_method: str = "exact") -> DataFrame:
     keys = list(keys)
-    for c in keys:
-        if c not in df.columns:
-            raise ValueError(f"expected column {c} for build_market_view")
-    if measure not in df.columns:
-        raise ValueError(f"expected column {measure} for build_market_view")
+    X.require_columns(df, [*keys, measure], "build_market_view")
     t = df
     domain_cols = [c for c in df.columns if c.startswith(domain_prefix)]
     if domain_cols:
@@ -96,23 +92,15 @@ def build_market_view(df: DataFrame, measure: str = C.DEFAULT_MEASURE,
     return out.orderBy(F.col("vacancy_count").desc(), *keys)
 
 
-def complete_key_grid(result: DataFrame, source: DataFrame, keys: Sequence[str], fill: dict,
-                      max_cells: int = 1_000_000) -> DataFrame:
+def complete_key_grid(result: DataFrame, source: DataFrame, keys: Sequence[str], fill: dict) -> DataFrame:
     """Every combination of the observed key values (pandas ``observed=False``).
 
-    The key domains are categorical; their distinct values are gathered in one
-    bounded aggregate and expanded with ``explode`` (guarded by ``max_cells``),
-    then the result is left-joined onto the grid and ``fill`` applied."""
+    The combinations are the result that is asked for; they are made from the
+    distinct values of each key, which are aggregated before any shuffle, and
+    the computed cells are joined onto them."""
     keys = list(keys)
-    domains = source.agg(*[F.array_sort(F.collect_set(k)).alias(k) for k in keys])
-    sizes = domains.select(*[F.size(k).alias(k) for k in keys]).first()
-    cells = 1
+    grid = None
     for k in keys:
-        cells *= max(int(sizes[k]), 1)
-    if cells > max_cells:
-        raise ValueError(f"key grid of {cells} cells exceeds max_cells={max_cells}")
-    grid = domains
-    for k in keys:
-        grid = grid.withColumn(k, F.explode(k))
-    out = join_on_keys(grid, result, keys, "left")
-    return out.fillna(fill)
+        own = source.select(k).where(F.col(k).isNotNull()).distinct()
+        grid = own if grid is None else grid.crossJoin(own)
+    return join_on_keys(grid, result, keys, "left").fillna(fill)
