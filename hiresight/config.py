@@ -273,6 +273,12 @@ MONTH_STEMS = [("январ", 1), ("феврал", 2), ("март", 3), ("апр
 
 EMPLOYMENT_TYPES = ["Полная занятость", "Частичная занятость", "Стажировка", "Проектная работа", "Волонтёрство"]
 
+# Employer pages: perk words (remote, flexible schedule, medical insurance,
+# education) and words of agencies; city of pages without an address.
+EMPLOYER_PERKS = [["удал", "remote"], ["гибк", "flexible"], ["дмс", "мед", "insurance"], ["обуч", "education", "курсы"]]
+EMPLOYER_AGENCY_TOKENS = ["кадров", "агентств"]
+DEFAULT_CITY = "Москва"
+
 # Experience buckets (right-closed) and stack-size buckets (left-closed).
 EXPERIENCE_BUCKET_EDGES = [-1, 1, 3, 6, 100]
 EXPERIENCE_BUCKET_LABELS = ["0-1", "1-3", "3-6", "6+"]

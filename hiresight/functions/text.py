@@ -193,10 +193,13 @@ def paragraph_count(text: Column) -> Column:
     """Runs of non-blank lines; at least 1 for non-empty text."""
     t = F.coalesce(text, F.lit(""))
     lines = F.split(t, r"\r?\n|\r")
-    flags = F.transform(lines, lambda l: F.trim(l) != "")
-    starts = F.filter(F.sequence(F.lit(1), F.size(flags)),
-                      lambda i: F.element_at(flags, i) & ((i == 1) | ~F.element_at(flags, F.greatest(i - 1, F.lit(1)))))
-    n = F.size(starts).cast("long")
+    start = F.struct(F.lit(False).alias("inside"), F.lit(0).cast("long").alias("n"))
+
+    def step(acc, line):
+        filled = F.trim(line) != ""
+        return F.struct(filled.alias("inside"), (acc["n"] + (filled & ~acc["inside"]).cast("long")).alias("n"))
+
+    n = F.aggregate(lines, start, step)["n"]
     return F.when((n == 0) & (t != ""), F.lit(1).cast("long")).otherwise(n)
 
 
@@ -249,6 +252,21 @@ def skill_hits(section: Column, flags: Mapping[str, Column]) -> Column:
     return total
 
 
+def data_skill_counts(skill: Mapping[str, Column], tech: Mapping[str, Column]) -> dict:
+    """Counts over the data-skill flags and the technology flags: the core of
+    data work (SQL, Excel, a BI tool, Python or R), the ML stack, and all of them."""
+    def n(*conds: Column) -> Column:
+        return sum((F.coalesce(c, F.lit(False)).cast("long") for c in conds), F.lit(0).cast("long"))
+
+    return {
+        "core_data_skills_count": n(skill["skill_sql"], skill["skill_excel"], skill["skill_powerbi"] | skill["skill_tableau"],
+                                    tech["has_python"] | skill["skill_r"]),
+        "ml_stack_count": n(*[tech[f"has_{x}"] for x in ("sklearn", "pytorch", "tensorflow", "spark", "kafka")],
+                            tech["has_airflow"] | skill["skill_airflow"]),
+        "tech_stack_size": n(*tech.values(), *skill.values()),
+    }
+
+
 def published_date(raw: Column, now: Column, roll_back_future: bool = False) -> Column:
     """struct(published_at_iso DATE, vacancy_age_days) from Russian date text."""
     r = F.coalesce(raw, F.lit(""))

@@ -35,6 +35,11 @@ ROLE_PRIORITY = ["role_anvil", "role_bolt", "role_gear", "role_gizmo", "role_pla
 # Nations that stand for cities of each tier; the others keep their name.
 NATION_CITY = {"RUSSIA": "Москва", "CHINA": "Moscow Region", "FRANCE": "Санкт-Петербург", "GERMANY": "Казань",
                "INDIA": "Novosibirsk", "IRAN": "Алматы", "IRAQ": "Kazakhstan"}
+# Word parts of the documents that stand for skills (the Russian dictionaries find nothing there).
+TEXT_SKILLS = {"skill_sql": ["thing"], "skill_excel": ["blees"], "skill_powerbi": ["ciónes"], "skill_tableau": ["lich"],
+               "skill_r": [" r "], "skill_airflow": ["eauou"]}
+TEXT_TECH = {"has_python": ["hein"], "has_airflow": ["eren"], "has_sklearn": ["ungen"], "has_pytorch": ["leoi"], "has_tensorflow": ["mente"],
+             "has_spark": ["wher"], "has_kafka": ["sterea"]}
 GRADE_OF_TYPE = {"SMALL": "intern", "ECONOMY": "junior", "MEDIUM": "middle", "LARGE": "senior", "STANDARD": "lead"}
 
 
@@ -47,7 +52,11 @@ def vacancy_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
         "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    title = F.col("p_name")
+    flags = {**TX.keyword_flags(title, ADJECTIVE_FLAGS), **TX.keyword_flags(title, NOUN_FLAGS),
+             **TX.keyword_flags(title, DOMAIN_FLAGS)}
+    # the title's flags depend on the part alone: they are made before the join
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size", *[c.alias(n) for n, c in flags.items()])
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
     geo = F.broadcast(table(spark, sf_dir, "nation").join(F.broadcast(table(spark, sf_dir, "region")),
                                                           F.col("n_regionkey") == F.col("r_regionkey"))
@@ -55,9 +64,6 @@ def vacancy_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = (li.join(part, li.l_partkey == part.p_partkey)
            .join(supp, li.l_suppkey == supp.s_suppkey)
            .join(geo, F.col("s_nationkey") == F.col("n_nationkey")))
-    title = F.col("p_name")
-    flags = {**TX.keyword_flags(title, ADJECTIVE_FLAGS), **TX.keyword_flags(title, NOUN_FLAGS),
-             **TX.keyword_flags(title, DOMAIN_FLAGS)}
     grade = F.coalesce(F.create_map(*[x for k, v in GRADE_OF_TYPE.items() for x in (F.lit(k), F.lit(v))])[F.col("p_type")],
                        F.lit("unknown"))
     ln = F.col("l_linenumber")
@@ -90,7 +96,7 @@ def vacancy_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "soft_even": F.col("s_suppkey") % 2 == 0,
         "employer_rating": F.round(F.col("s_acctbal") / 2000, 2),
         "published_at_iso": F.col("l_shipdate").cast("timestamp"),
-        **flags,
+        **{n: F.col(n) for n in flags},
     }
     return j.select(*[c.alias(n) for n, c in cols.items()])
 

@@ -521,3 +521,28 @@ def q_doc_salary(spark, sf):
     from ..functions.text import parse_salary
     d = table(spark, sf, "documents")
     return d.select("doc_id", parse_salary(F.col("text")).alias("s")).select("doc_id", "s.*")
+
+
+@query("employer_enrichment")
+def q_employer_enrichment(spark, sf):
+    from ..sources.pages import enrich_with_employers
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_suppkey").alias("employer_url"))
+    s = table(spark, sf, "supplier").where("s_acctbal > 0").select(
+        F.col("s_suppkey").alias("employer_url"), F.round(F.col("s_acctbal") / 2000, 2).alias("employer_rating"),
+        F.col("s_suppkey").alias("employer_reviews_count"), (F.col("s_nationkey") < 10).alias("employer_has_remote"),
+        F.when(F.col("s_nationkey") > 5, F.col("s_acctbal") > 5000).alias("employer_has_education"),
+        F.when(F.col("s_nationkey") % 2 == 0, "direct").when(F.col("s_nationkey") % 3 == 0, "agency").alias("employer_type"))
+    return enrich_with_employers(li, s)
+
+
+@query("document_skill_counts")
+def q_document_skill_counts(spark, sf):
+    """X9/X12 over whole texts: the technology and data-skill flags' counts, with
+    word parts that occur in these texts standing for the skills."""
+    from ..functions.text import data_skill_counts, keyword_flags, skill_hits
+    from .binding import TEXT_SKILLS, TEXT_TECH
+    t = table(spark, sf, "documents").select("doc_id", "text")
+    skill, tech = keyword_flags(F.col("text"), TEXT_SKILLS), keyword_flags(F.col("text"), TEXT_TECH)
+    t = t.withColumns({**skill, **tech})
+    s, h = {k: F.col(k) for k in TEXT_SKILLS}, {k: F.col(k) for k in TEXT_TECH}
+    return t.select("doc_id", *[c.alias(n) for n, c in data_skill_counts(s, h).items()], skill_hits(F.col("text"), {**s, **h}).alias("hits"))

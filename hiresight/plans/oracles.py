@@ -536,3 +536,25 @@ SELECT doc_id,
        WHEN contains(c, 'KZT') THEN 'KZT' END AS currency,
   CASE WHEN contains(lower(c), 'на руки') THEN false WHEN contains(lower(c), 'до вычета') THEN true END AS salary_gross
 FROM n"""
+
+ORACLES["employer_enrichment"] = """
+SELECT l_orderkey, l_linenumber, l_suppkey AS employer_url, round(s_acctbal / 2000, 2) AS employer_rating,
+  s_suppkey AS employer_reviews_count, coalesce(s_nationkey < 10, false) AS employer_has_remote,
+  coalesce(s_nationkey > 5 AND s_acctbal > 5000, false) AS employer_has_education,
+  CASE WHEN s_nationkey % 2 = 0 THEN 'direct' WHEN s_nationkey % 3 = 0 THEN 'agency' END AS employer_type
+FROM lineitem LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal > 0) ON l_suppkey = s_suppkey"""
+ORACLES["document_skill_counts"] = """
+WITH t AS (SELECT doc_id, lower(coalesce(text, '')) AS x FROM documents),
+f AS (SELECT doc_id, x, contains(x, 'thing') AS q, contains(x, 'blees') AS e, contains(x, 'ciónes') AS b, contains(x, 'lich') AS ta,
+        contains(x, ' r ') AS r, contains(x, 'eauou') AS sa, contains(x, 'hein') AS py, contains(x, 'eren') AS ta2, contains(x, 'ungen') AS sk,
+        contains(x, 'leoi') AS pt, contains(x, 'mente') AS tf, contains(x, 'wher') AS sp, contains(x, 'sterea') AS ka FROM t)
+SELECT doc_id, (q::BIGINT + e::BIGINT + (b OR ta)::BIGINT + (py OR r)::BIGINT) AS core_data_skills_count,
+  (sk::BIGINT + pt::BIGINT + tf::BIGINT + sp::BIGINT + ka::BIGINT + (ta2 OR sa)::BIGINT) AS ml_stack_count,
+  (q::BIGINT + e::BIGINT + b::BIGINT + ta::BIGINT + r::BIGINT + sa::BIGINT + py::BIGINT + ta2::BIGINT + sk::BIGINT + pt::BIGINT + tf::BIGINT
+   + sp::BIGINT + ka::BIGINT) AS tech_stack_size,
+  ((q AND contains(x, 'sql'))::BIGINT + (e AND contains(x, 'excel'))::BIGINT + (b AND contains(x, 'powerbi'))::BIGINT
+   + (ta AND contains(x, 'tableau'))::BIGINT + (r AND contains(x, 'r'))::BIGINT + (sa AND contains(x, 'airflow'))::BIGINT
+   + (py AND contains(x, 'python'))::BIGINT + (ta2 AND contains(x, 'airflow'))::BIGINT + (sk AND contains(x, 'sklearn'))::BIGINT
+   + (pt AND contains(x, 'pytorch'))::BIGINT + (tf AND contains(x, 'tensorflow'))::BIGINT + (sp AND contains(x, 'spark'))::BIGINT
+   + (ka AND contains(x, 'kafka'))::BIGINT) AS hits
+FROM f"""

@@ -6,10 +6,12 @@ table, with no DOM library and no Python per row.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import config as C
 from ..functions import text as TX
+from ..functions.exprs import contains_any
 
 
 def result_links(pages: DataFrame, html_col: str = "html", host: str = "", id_col: str = "page_id") -> DataFrame:
@@ -25,65 +27,130 @@ def page_text(pages: DataFrame, html_col: str = "html") -> DataFrame:
     return pages.withColumns({"title": TX.html_title(F.col(html_col)), "text": TX.html_to_text(F.col(html_col))})
 
 
-def vacancy_rows(pages: DataFrame, url_col: str = "url", html_col: str = "html",
-                 scraped_at=None, default_city: str | None = None) -> DataFrame:
-    """Page → vacancy row for pages that mark their fields the way vacancy
-    pages do (``data-qa`` attributes); rows without any salary are dropped."""
-    h = F.col(html_col)
-
-    def marked(qa: str) -> F.Column:
-        rx = r'(?is)<[a-z0-9]+[^>]*data-qa="' + qa + r'"[^>]*>(.*?)</[a-z0-9]+>'
-        return F.trim(F.regexp_replace(F.regexp_extract(h, rx, 1), "<[^>]+>", ""))
-
-    title = marked("vacancy-title")
-    sal = TX.parse_salary(marked("vacancy-salary"))
-    address = marked("vacancy-view-raw-address")
-    desc_html = F.regexp_extract(h, r'(?is)<div[^>]*data-qa="vacancy-description"[^>]*>(.*?)</div>\s*(?:<div|</body|$)', 1)
-    description = TX.html_to_text(desc_html)
-    full = TX.html_to_text(h)
-    exp = TX.experience_range(marked("vacancy-experience"))
-    feats = TX.salary_features(sal["salary_from"], sal["salary_to"])
+def marked_text(html: Column, *marks: str) -> Column:
+    """Text of the first element that has one of the ``data-qa`` marks, in the
+    marks' order; "" if there is none."""
+    found = [F.trim(F.regexp_replace(F.regexp_extract(html, rf'(?is)<([a-z0-9]+)[^>]*data-qa="{m}"[^>]*>(.*?)</\1>', 2), "<[^>]+>", ""))
+             for m in marks]
+    return F.coalesce(*[F.nullif(f, F.lit("")) for f in found], F.lit(""))
+
+
+def vacancy_rows(pages: DataFrame, url_col: str = "url", html_col: str = "html", scraped_at=None,
+                 default_city: str | None = C.DEFAULT_CITY, search_area_id: int | None = None) -> DataFrame:
+    """Page -> vacancy row, all columns that a page itself gives (the employer's
+    columns come from ``enrich_with_employers``).  Fields are found by their
+    ``data-qa`` marks; rows without any salary are dropped."""
+    h = F.coalesce(F.col(html_col), F.lit(""))
     now = scraped_at if scraped_at is not None else F.current_timestamp()
-    combined = TX.lower_text(title, description)
-    out = pages.select(
-        TX.id_from_url(F.col(url_col)).alias("vacancy_id"), title.alias("title"),
-        marked("vacancy-company-name").alias("company"),
-        sal["salary_from"].alias("salary_from"), sal["salary_to"].alias("salary_to"),
-        sal["currency"].alias("currency"), sal["salary_gross"].alias("salary_gross"),
-        feats["salary_mid"].alias("salary_mid"), feats["salary_range_width"].alias("salary_range_width"),
-        feats["salary_is_exact"].alias("salary_is_exact"),
-        TX.city_from_address(address, default_city).alias("city"), address.alias("address"),
-        exp["exp_min_years"].alias("exp_min_years"), exp["exp_max_years"].alias("exp_max_years"),
-        exp["exp_is_no_experience"].alias("exp_is_no_experience"),
-        TX.employment_type(full).alias("employment_type"),
-        description.alias("description"),
-        TX.first_regex_label(combined).alias("grade"),
-        TX.vacancy_code(full).alias("vacancy_code"),
-        TX.publication_phrase(full).alias("published_at_raw"),
-        now.alias("scraped_at_utc"),
-        F.col(url_col).alias("vacancy_url"))
-    return out.where(F.coalesce(F.col("salary_from"), F.col("salary_to"), F.lit(0)) != 0)
+    raw = pages.select(
+        F.coalesce(F.col(url_col), F.lit("")).alias("vacancy_url"), h.alias("_html"), now.alias("scraped_at_utc"),
+        TX.html_to_text(h).alias("_full"), marked_text(h, "vacancy-title").alias("title"),
+        TX.parse_salary(marked_text(h, "vacancy-salary")).alias("_salary"),
+        marked_text(h, "vacancy-company-name").alias("company"),
+        F.regexp_extract(F.regexp_extract(h, r'(?is)<a[^>]*data-qa="vacancy-company-name"[^>]*>', 0), r'(?i)href="([^"]*)"', 1).alias("employer_url"),
+        marked_text(h, "vacancy-view-raw-address", "vacancy-view-location").alias("address"),
+        marked_text(h, "vacancy-experience").alias("experience"), TX.skill_list(h).alias("skills"),
+        F.regexp_extract(h, r'(?is)<div[^>]*data-qa="vacancy-description"[^>]*>(.*?)</div>\s*(?:<div|</body|$)', 1).alias("_body"))
+    raw = raw.where(F.coalesce(F.nullif(F.col("_salary.salary_from"), F.lit(0)), F.nullif(F.col("_salary.salary_to"), F.lit(0))).isNotNull())
+    full, html = F.col("_full"), F.col("_html")
+    raw = raw.withColumn("description", TX.html_to_text(F.col("_body")))
+    raw = raw.withColumns({
+        "_combined": F.lower(F.concat_ws("\n", "title", "description", "skills")),
+        "_described": F.concat_ws("\n", "title", "description"),
+        "_skill_text": F.lower(F.concat_ws("\n", "title", "description", F.replace("skills", F.lit(", "), F.lit(" ")))),
+        "_sections": TX.split_sections(F.col("description")), "_exp": TX.experience_range(F.col("experience")),
+        "_format": TX.work_format(full, F.col("description")),
+        "published_at_raw": F.coalesce(F.nullif(TX.publication_phrase(full), F.lit("")), marked_text(html, "vacancy-view-creation-time"))})
+    text = F.col("_combined")
+    data = TX.keyword_flags(F.col("_skill_text"), C.DATA_SKILL_KEYWORDS)
+    flags = {k: v for m in (C.ROLE_KEYWORDS, C.TECH_KEYWORDS, C.BENEFIT_KEYWORDS, C.SOFT_SKILL_KEYWORDS, C.DOMAIN_KEYWORDS)
+             for k, v in TX.keyword_flags(text, m).items()}
+    raw = raw.withColumns({**flags, **data})
+    tech, skill = {k: F.col(k) for k in C.TECH_KEYWORDS}, {k: F.col(k) for k in C.DATA_SKILL_KEYWORDS}
+    raw = raw.withColumns({
+        **TX.data_skill_counts(skill, tech),
+        "must_have_skills_count": TX.skill_hits(F.col("_sections.requirements"), {**tech, **skill}),
+        "optional_skills_count": TX.skill_hits(F.col("_sections.nice_to_have"), {**tech, **skill}),
+        "_features": TX.salary_features(F.col("_salary.salary_from"), F.col("_salary.salary_to")),
+        "_address": TX.address_features(F.col("address")), "_stats": TX.description_stats(F.col("description")),
+        "_date": TX.published_date(F.col("published_at_raw"), F.col("scraped_at_utc")),
+        "_edu": TX.education_block(F.col("_described")), "_lang": TX.language_requirements(F.col("_described")),
+        "_junior": TX.junior_signals(text, F.col("_exp.exp_is_no_experience"))})
+    out = raw.withColumns({
+        "vacancy_id": TX.id_from_url(F.col("vacancy_url")), "city": TX.city_from_address(F.col("address"), default_city),
+        "search_area_id": F.lit(search_area_id).cast("long"),
+        "employment_type": F.coalesce(F.nullif(TX.employment_type(full), F.lit("")), marked_text(html, "vacancy-view-employment-mode")),
+        "schedule": F.coalesce(F.nullif(F.col("_format.schedule"), F.lit("")), marked_text(html, "vacancy-view-emp-mode", "vacancy-view-schedule")),
+        "requirements_count": TX.count_bullets(F.col("_sections.requirements")),
+        "responsibilities_count": TX.count_bullets(F.col("_sections.duties")),
+        "skills_count": F.when(F.col("skills") == "", 0).otherwise(F.size(F.split("skills", ", "))).cast("long"),
+        "vacancy_code": TX.vacancy_code(full), "grade": TX.first_regex_label(text),
+        "is_remote": F.col("_format.is_remote") | F.col("benefit_remote_compensation"),
+        "skill_airflow": F.col("skill_airflow") | F.col("has_airflow")})
+    kept = ["vacancy_url", "scraped_at_utc", "title", "company", "employer_url", "address", "experience", "skills", "description",
+            "published_at_raw", "must_have_skills_count", "optional_skills_count", "core_data_skills_count", "ml_stack_count", "tech_stack_size",
+            "vacancy_id", "city", "search_area_id", "employment_type", "schedule", "requirements_count", "responsibilities_count",
+            "skills_count", "vacancy_code", "grade", "is_remote", *flags, *data]
+    return out.select(*kept, "_salary.*", "_features.*", "_address.*", "_exp.*", F.col("_format.work_format_raw"), F.col("_format.work_format"),
+                      F.col("_format.is_hybrid"), "_stats.*", "_date.*", "_edu.*", "_lang.*", "_junior.*")
+
+
+EMPLOYER_FLAGS = ["employer_has_remote", "employer_has_flexible_schedule", "employer_has_med_insurance", "employer_has_education"]
+EMPLOYER_COLUMNS = ["employer_rating", "employer_reviews_count", *EMPLOYER_FLAGS, "employer_accredited_it", "employer_type"]
+
+
+def _rating(text: Column) -> Column:
+    value = F.replace(text, F.lit(","), F.lit(".")).try_cast("double")
+    return F.when((value >= 0) & (value <= 5), value)
+
+
+def _digits(text: Column) -> Column:
+    return F.regexp_replace(text, r"\D", "").try_cast("long")
 
 
 def employer_rows(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Employer dimension: rating (0..5, comma decimal accepted),
-    review count (digits only), perk flags, accreditation (TRUE or NULL), type."""
+    """Page -> employer.  The rating is the first candidate within 0..5: the
+    reviews object, any ``totalRating``, marked elements, linked data, any
+    ``ratingValue``; the review count is the first of the marked link, the
+    reviews object, the text (digits of one line), linked data.  Perks are looked for in the
+    advantages list if there is one, else in the page's text."""
     h = F.coalesce(F.col(html_col), F.lit(""))
-    text = F.lower(TX.html_to_text(h))
-    rating_raw = F.coalesce(
-        F.nullif(F.get_json_object(F.regexp_extract(h, r'(?s)"aggregateRating"\s*:\s*(\{[^}]*\})', 1), "$.ratingValue"), F.lit("")),
-        F.nullif(F.regexp_extract(h, r'(?is)data-qa="[^"]*rating[^"]*"[^>]*>\s*([0-9]+[.,]?[0-9]*)', 1), F.lit("")))
-    rating = F.replace(rating_raw, F.lit(","), F.lit(".")).try_cast("double")
-    reviews_raw = F.regexp_extract(h, r'(?is)([0-9][0-9\s ]*)\s*отзыв', 1)
-    reviews = F.regexp_replace(reviews_raw, r"\D", "").try_cast("long")
-    return pages.select(
-        F.col(url_col).alias("employer_url"),
-        F.when((rating >= 0) & (rating <= 5), rating).alias("employer_rating"),
-        F.when(reviews_raw != "", reviews).alias("employer_reviews_count"),
-        (text.contains("удален") | text.contains("удалён")).alias("employer_has_remote"),
-        text.contains("гибкий график").alias("employer_has_flexible_schedule"),
-        (text.contains("дмс") | text.contains("медицинск")).alias("employer_has_med_insurance"),
-        text.contains("обучени").alias("employer_has_education"),
-        F.when(text.contains("аккредитованная it"), F.lit(True)).alias("employer_accredited_it"),
-        F.when(text.contains("кадровое агентство"), "agency").when(text.contains("прямой работодатель"), "direct")
-         .alias("employer_type"))
+    src = pages.select(F.col(url_col).alias("employer_url"), h.alias("_html"), F.lower(TX.html_to_text(h)).alias("_text"),
+                       F.replace(F.replace(F.replace(h, F.lit("&quot;"), F.lit('"')), F.lit('\\"'), F.lit('"')), F.lit("\\/"), F.lit("/")).alias("_plain"))
+    plain, html, text = F.col("_plain"), F.col("_html"), F.col("_text")
+    number = r"['\"]?([0-9]+(?:[.,][0-9]+)?)"
+    reviews = F.regexp_extract(plain, r'(?is)"employerReviews"\s*:\s*(\{(?:[^{}]|\{[^{}]*\})*\})', 1)
+    linked = F.regexp_extract(html, r'(?is)"(?:aggregateRating|rating)"\s*:\s*(\{[^{}]*\})', 1)
+    marks = "employer-rating-value|employer-review-rating-value|employer-header-rating-value|employer-rating|employer-review-rating|rating-score"
+    element = F.regexp_extract(html, rf'(?is)<[a-z0-9]+[^>]*(?:data-qa="(?:{marks})"|(?:itemprop|name)="ratingValue")[^>]*>[^<]*', 0)
+    shown = F.coalesce(F.nullif(F.regexp_extract(element, r'(?i)(?:content|value)="([^"]*)"', 1), F.lit("")), F.regexp_extract(element, r">\s*([^<]*?)\s*$", 1))
+    rating = F.coalesce(
+        *[_rating(F.get_json_object(reviews, p)) for p in ("$.totalRating", "$.rating", "$.ratingInfo.value", "$.rating.value")],
+        _rating(F.regexp_extract(plain, rf'(?is)totalRating"?\s*[:=]\s*(?:\{{[^}}]*?"value"\s*:\s*)?{number}', 1)), _rating(shown),
+        *[_rating(F.get_json_object(linked, p)) for p in ("$.ratingValue", "$.rating", "$.value")],
+        _rating(F.regexp_extract(plain, rf'(?is)ratingValue"?\s*[:=]\s*{number}', 1)))
+    count = F.coalesce(
+        _digits(marked_text(html, "employer-reviews-link")),
+        *[_digits(F.get_json_object(reviews, p)) for p in ("$.reviewsCount", "$.ratingInfo.reviewsCount", "$.rating.reviewsCount")],
+        _digits(F.regexp_extract(text, r"([0-9\s\u00a0\u202f]+)\s+отзыв", 1)),
+        *[_digits(F.get_json_object(linked, p)) for p in ("$.ratingCount", "$.reviewCount")],
+        _digits(F.regexp_extract(plain, r'"reviewsCount"\s*:\s*([0-9\s\u00a0\u202f]+)', 1)))
+    listed = F.regexp_extract(html, r'(?s)"advantages"\s*:\s*(\[[^\]]+\])', 1)
+    perks = F.when(listed != "", F.lower(F.coalesce(F.array_join(F.from_json(listed, "array<string>"), " "), listed))).otherwise(text)
+    kind = F.coalesce(F.nullif(F.lower(marked_text(html, "employer-type")), F.lit("")), text)
+    return src.select(
+        "employer_url", rating.alias("employer_rating"), count.alias("employer_reviews_count"),
+        *[contains_any(perks, tokens).alias(name) for name, tokens in zip(EMPLOYER_FLAGS, C.EMPLOYER_PERKS)],
+        F.when(text.contains("аккредитован"), F.lit(True)).alias("employer_accredited_it"),
+        F.when(kind.contains("прямой работодатель"), "direct").when(contains_any(kind, C.EMPLOYER_AGENCY_TOKENS), "agency").alias("employer_type"))
+
+
+def enrich_with_employers(vacancies: DataFrame, employers: DataFrame, key: str = "employer_url") -> DataFrame:
+    """The employer's columns for each vacancy (left join on the employer's
+    key).  Without a match, or where unknown, the four perk flags are false and
+    the rest is NULL; an employer listed twice counts once (its greatest row)."""
+    cols = [c for c in EMPLOYER_COLUMNS if c in employers.columns]
+    one = employers.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(F.struct(*cols)).alias("_employer"))
+    j = vacancies.drop(*cols).join(one, key, "left")
+    return j.withColumns({c: F.coalesce(F.col(f"_employer.{c}"), F.lit(False)) if c in EMPLOYER_FLAGS else F.col(f"_employer.{c}") for c in cols}) \
+        .drop("_employer")

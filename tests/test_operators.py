@@ -1,6 +1,7 @@
 """Branch and quirk cases (one per decision) for the column operators."""
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from hiresight.functions import text as TX
@@ -262,3 +263,60 @@ def test_intake_of_a_folder_goes_on_where_it_stopped(spark, tmp_path):
     assert run_intake(spark, src, schema, "id", "ts", out_dir=out) == log
     got = {r.id: r.v for r in current_table(spark, log, "id", "ts").collect()}
     assert got == {1: "c", 2: "b", 3: "d"}
+
+
+VACANCY_PAGE = """<html><body><h1 data-qa="vacancy-title">Junior data analyst</h1>
+<div data-qa="vacancy-salary"><span>до 150 000 ₽</span></div>
+<a class="x" data-qa="vacancy-company-name" href="/employer/9?a=1"><span>Банк Ромашка</span></a>
+<span data-qa="vacancy-view-location">Казань, метро Кремлёвская</span><p>Формат работы: гибрид</p><p>График работы: 5/2</p>
+<span data-qa="bloko-tag__text">SQL</span><span data-qa="bloko-tag__text">Tableau</span><span data-qa="bloko-tag__text">sql</span>
+<div data-qa="vacancy-description"><p>Требования:</p><ul><li>- знание python и sql</li><li>- английский B2</li></ul>
+<p>Будет плюсом:</p><ul><li>- tableau, airflow</li></ul><p>Условия:</p><ul><li>ДМС, обучение</li></ul></div>
+<p>Вакансия опубликована 5 марта 2024 в Казани</p></body></html>"""
+
+
+def test_vacancy_rows_fill_the_raw_schema(spark):
+    from hiresight.sources import pages as P
+    from hiresight.sources.raw import raw_schema
+    d = spark.createDataFrame([("https://x/vacancy/5?q", VACANCY_PAGE), (None, None), ("u", "<div data-qa='vacancy-salary'>0</div>")], "url string, html string")
+    rows = P.vacancy_rows(d, scraped_at=F.lit("2024-03-08 10:00:00").cast("timestamp"), search_area_id=88)
+    employers = spark.createDataFrame([("/employer/9?a=1", 4.5, True), ("/employer/9?a=1", None, None)], "employer_url string, employer_rating double, employer_has_remote boolean")
+    full = P.enrich_with_employers(rows, employers)
+    assert set(rows.columns) | set(P.EMPLOYER_COLUMNS) == {f.name for f in raw_schema().fields}
+    (r,) = full.collect()
+    assert (r.vacancy_id, r.salary_from, r.salary_to, r.company, r.employer_url, r.city, r.metro_primary) == \
+        ("5", None, 150000, "Банк Ромашка", "/employer/9?a=1", "Казань", "Кремлёвская")
+    assert (r.skills, r.skills_count, r.grade, r.work_format, r.schedule, r.vacancy_age_days) == ("SQL, Tableau", 2, "junior", "hybrid", "5/2", 3)
+    assert (r.has_python, r.skill_sql, r.skill_tableau, r.skill_airflow, r.has_airflow, r.benefit_dms, r.domain_finance) == (True,) * 6 + (False,)
+    assert (r.core_data_skills_count, r.ml_stack_count, r.must_have_skills_count, r.optional_skills_count, r.requirements_count) == (3, 1, 2, 3, 2)
+    assert (r.lang_english_level, r.is_for_juniors, r.search_area_id, r.employer_rating, r.employer_has_remote) == ("upper_intermediate", True, 88, 4.5, True)
+
+
+@pytest.mark.parametrize("html, want", [
+    ('<script>{"employerReviews": {"totalRating": "4,7", "reviewsCount": "1 200"}}</script>', (4.7, 1200, False, None)),
+    ("{&quot;employerReviews&quot;:{&quot;rating&quot;:{&quot;value&quot;:3.9}}}", (3.9, None, False, None)),
+    ('totalRating: 9 <div data-qa="employer-rating">4.1</div>', (4.1, None, False, None)),
+    ('<meta itemprop="ratingValue" content="2,5">Агентство, гибкий график, 1 024 отзыва', (2.5, 1024, True, "agency")),
+    ('<script type="application/ld+json">{"aggregateRating":{"ratingValue":"4.0","ratingCount":"12"}}</script>', (4.0, 12, False, None)),
+    ('"advantages": ["ДМС"] гибкий график <b data-qa="employer-type">Прямой работодатель</b> кадровый', (None, None, False, "direct")),
+])
+def test_employer_candidates_in_order(spark, html, want):
+    from hiresight.sources.pages import employer_rows
+    e = employer_rows(spark.createDataFrame([("u", html)], "url string, html string")).first()
+    assert (e.employer_rating, e.employer_reviews_count, e.employer_has_flexible_schedule, e.employer_type) == want
+    assert e.employer_accredited_it is None
+
+
+def test_missing_columns_are_named(spark):
+    df = spark.createDataFrame([(1,)], "a int")
+    for call in (lambda: segments.two_key_quartiles(df), lambda: segments.summary_by_category(df, "x", "a"),
+                 lambda: segments.english_requirement_stats(df, "a"), lambda: segments.skill_share_by_grade(df)):
+        with pytest.raises(ValueError, match="needs"):
+            call()
+
+
+def test_paragraphs(spark):
+    from hiresight.functions import text as TX
+    texts = ["", "a", "a\nb\n\nc", "\n \n", "x\n\n\n\ny\r\nz"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(TX.paragraph_count(F.col("t"))).collect()
+    assert [r[0] for r in got] == [0, 1, 2, 1, 2]
