@@ -35,6 +35,19 @@ def marked_text(html: Column, *marks: str) -> Column:
     return F.coalesce(*[F.nullif(f, F.lit("")) for f in found], F.lit(""))
 
 
+def marked_div(html: Column, mark: str) -> Column:
+    """Inner HTML of the ``div`` with a ``data-qa`` mark, to its own end tag."""
+    rest = F.split(F.regexp_extract(html, rf'(?is)<div[^>]*data-qa="{mark}"[^>]*>(.*)$', 1), r"(?i)</div\s*>")
+    start = F.struct(F.lit(1).alias("depth"), F.array().cast("array<string>").alias("parts"))
+
+    def step(acc, part):
+        opened = F.size(F.split(part, r"(?i)<div\b")) - 1
+        return F.when(acc["depth"] <= 0, acc).otherwise(
+            F.struct((acc["depth"] + opened - 1).alias("depth"), F.concat(acc["parts"], F.array(part)).alias("parts")))
+
+    return F.array_join(F.aggregate(rest, start, step)["parts"], "</div>")
+
+
 def vacancy_rows(pages: DataFrame, url_col: str = "url", html_col: str = "html", scraped_at=None,
                  default_city: str | None = C.DEFAULT_CITY, search_area_id: int | None = None) -> DataFrame:
     """Page -> vacancy row, all columns that a page itself gives (the employer's
@@ -50,7 +63,7 @@ def vacancy_rows(pages: DataFrame, url_col: str = "url", html_col: str = "html",
         F.regexp_extract(F.regexp_extract(h, r'(?is)<a[^>]*data-qa="vacancy-company-name"[^>]*>', 0), r'(?i)href="([^"]*)"', 1).alias("employer_url"),
         marked_text(h, "vacancy-view-raw-address", "vacancy-view-location").alias("address"),
         marked_text(h, "vacancy-experience").alias("experience"), TX.skill_list(h).alias("skills"),
-        F.regexp_extract(h, r'(?is)<div[^>]*data-qa="vacancy-description"[^>]*>(.*?)</div>\s*(?:<div|</body|$)', 1).alias("_body"))
+        marked_div(h, "vacancy-description").alias("_body"))
     raw = raw.where(F.coalesce(F.nullif(F.col("_salary.salary_from"), F.lit(0)), F.nullif(F.col("_salary.salary_to"), F.lit(0))).isNotNull())
     full, html = F.col("_full"), F.col("_html")
     raw = raw.withColumn("description", TX.html_to_text(F.col("_body")))
@@ -132,7 +145,7 @@ def employer_rows(pages: DataFrame, url_col: str = "url", html_col: str = "html"
     count = F.coalesce(
         _digits(marked_text(html, "employer-reviews-link")),
         *[_digits(F.get_json_object(reviews, p)) for p in ("$.reviewsCount", "$.ratingInfo.reviewsCount", "$.rating.reviewsCount")],
-        _digits(F.regexp_extract(text, r"([0-9\s\u00a0\u202f]+)\s+отзыв", 1)),
+        _digits(F.regexp_extract(text, r"([0-9][0-9 \t\x{a0}\x{202f}]*?)\s+отзыв", 1)),
         *[_digits(F.get_json_object(linked, p)) for p in ("$.ratingCount", "$.reviewCount")],
         _digits(F.regexp_extract(plain, r'"reviewsCount"\s*:\s*([0-9\s\u00a0\u202f]+)', 1)))
     listed = F.regexp_extract(html, r'(?s)"advantages"\s*:\s*(\[[^\]]+\])', 1)
