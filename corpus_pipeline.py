@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from hiresight.llm import decontam, langid, mixing, nearjoin, quality  # noqa: E402
 from hiresight.llm.frames import ship_package, table, written  # noqa: E402
 
-#: Shingle length of the near-copy stage, in words.
-NEAR_WORDS = 3
+#: The near-copy stage: words in a shingle, and the least Jaccard similarity in percent.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +40,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    return nearjoin.keep_one_each(docs, k=NEAR_WORDS)
+    return nearjoin.keep_one_each(docs, k=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

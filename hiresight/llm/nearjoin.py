@@ -1,5 +1,5 @@
 """Operator 7, n-gram Jaccard join: which texts share so many word shingles that
-100 * intersection >= 90 * union, and the components of those links.
+100 * intersection >= percent * union, and the components of those links.
 
 1.  Each text becomes its sorted array of distinct shingle hashes; texts with
     equal arrays are one class, represented by a fingerprint of the array.
@@ -26,26 +26,34 @@ result; texts may be of any length; 64-bit hashes stand for shingles and sets.
 """
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import reliable_checkpoint
+from .frames import hash_share
 from .graph import components
 from .textkit import as_long, each_text, mix64, set_fingerprint, shingle_hashes, words
 
 K = 3
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 90
+#: From this threshold on, candidates come from equal partitions, below from rare
+#: prefixes (partitions would hold too few hashes to tell classes apart).
+PARTITIONS_FROM = 88
+#: Whole texts whose repeated shingles count as common ones; this orders the
+#: prefixes and can't change a result.
+SAMPLE_DOCS, COMMON_SHINGLES = 8000, 200_000
 #: A block's arrays take at most about this many bytes, and so many arrays.
 BLOCK_BYTES, BLOCK_ROWS = 8 << 20, 4096
 #: Candidate ids are broadcast up to this many rows (16 bytes each).
 BROADCAST_ROWS = 500_000
-_BAND = math.log(1 / 0.89)
 
 
 def shingle_set(text: bytes | None, k: int = K) -> np.ndarray:
@@ -53,38 +61,47 @@ def shingle_set(text: bytes | None, k: int = K) -> np.ndarray:
     return np.unique(shingle_hashes(words(text), k))
 
 
-def least_overlap(x, y):
+def least_overlap(x, y, percent: int = PERCENT):
     """Smallest intersection that links sets of sizes x and y (any integers or arrays)."""
-    return -(-PERCENT * (x + y) // (100 + PERCENT))
+    return -(-percent * (x + y) // (100 + percent))
 
 
-def _size_bands(top: int) -> tuple[np.ndarray, np.ndarray]:
+@functools.lru_cache
+def _size_bands(percent: int, top: int = 1 << 40) -> tuple[np.ndarray, np.ndarray]:
     """Lower ends of the size bands up to ``top``, and their numbers of partitions."""
     low = [1]
     while low[-1] <= top:
         low.append(low[-1] * 1000 // 729 + 1)
     low = np.array(low, np.int64)
     high = np.append(low[1:] - 1, low[-1] * 2)
-    return low, (100 - PERCENT) * (high + high * 100 // PERCENT) // (100 + PERCENT) + 1
+    return low, (100 - percent) * (high + high * 100 // percent) // (100 + percent) + 1
 
 
-_LOW, _PARTS = _size_bands(1 << 40)
+def prefix_keys(h: np.ndarray, percent: int, common: np.ndarray) -> np.ndarray:
+    """The first hashes of a sorted array, rare ones before common ones: linked
+    arrays have one of them in common."""
+    if not len(h):
+        return np.empty(0, np.int64)
+    at = np.minimum(np.searchsorted(common, h), max(0, len(common) - 1))
+    often = common[at] == h if len(common) else np.zeros(len(h), bool)
+    return as_long(np.concatenate([h[~often], h[often]])[: len(h) - (-(-percent * len(h) // 100)) + 1])
 
 
-def partition_keys(h: np.ndarray) -> np.ndarray:
+def partition_keys(h: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Keys of a sorted array, for its own size band and for that of its smallest
     possible partner."""
+    low, many = _size_bands(percent)
     n = len(h)
     if n < 2:
         return np.empty(0, np.int64)
-    own = int(np.searchsorted(_LOW, n, "right")) - 1
-    least = int(np.searchsorted(_LOW, -(-PERCENT * n // 100), "right")) - 1
+    own = int(np.searchsorted(low, n, "right")) - 1
+    least = int(np.searchsorted(low, -(-percent * n // 100), "right")) - 1
     with np.errstate(over="ignore"):
         run = np.zeros(n + 1, np.uint64)
         np.cumsum(mix64(h), out=run[1:])
         out = []
         for band in range(least, own + 1):
-            parts = int(_PARTS[band])
+            parts = int(many[band])
             if parts == 1:
                 continue  # linked arrays would be equal, that is one class
             part = ((h >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
@@ -104,7 +121,20 @@ def with_sets(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), sets(F.col(text_col)).alias("s")).select("doc_id", "s.n", "s.fp")
 
 
-def tile_keys(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
+def common_shingles(docs: DataFrame, text_col: str, k: int) -> np.ndarray:
+    """Sorted hashes of shingles that several texts of a bounded sample hold."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            u, n = np.unique(np.concatenate([np.empty(0, np.uint64), *[shingle_set(t, k) for t in each_text(batch.column(0))]]), return_counts=True)
+            yield pa.RecordBatch.from_pydict({"h": as_long(u), "n": n.astype(np.int64)})
+
+    share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
+    got = docs.where(hash_share([F.col(text_col)], share, seed=4)).select(text_col).mapInArrow(task, "h bigint, n bigint") \
+        .groupBy("h").agg(F.sum("n").alias("n")).where("n >= 3").orderBy(F.desc("n"), "h").limit(COMMON_SHINGLES).select("h").toPandas()
+    return np.sort(got["h"].to_numpy(np.int64).view(np.uint64))
+
+
+def tile_keys(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int, common: Broadcast | None) -> DataFrame:
     """(key, fp) for every class; copies within a batch put theirs down once."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -114,7 +144,7 @@ def tile_keys(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
                 fp = set_fingerprint(h)
                 if len(h) and fp not in seen:
                     seen.add(fp)
-                    keys.append(partition_keys(h))
+                    keys.append(partition_keys(h, percent) if common is None else prefix_keys(h, percent, common.value))
                     fps.append(np.full(len(keys[-1]), fp, np.int64))
                     rows += len(fps[-1])
                     if rows > 500_000:
@@ -126,17 +156,20 @@ def tile_keys(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
     return docs.where(F.col(id_col).isNotNull()).select(text_col).mapInArrow(task, "key bigint, fp bigint")
 
 
-def candidate_chains(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
+def candidate_chains(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
     """(u, v): each class that shares a key, with the least class of that key."""
-    shared = tile_keys(docs, id_col, text_col, k).groupBy("key").agg(F.min("fp").alias("hub"), F.max("fp").alias("last")) \
+    common = None if percent >= PARTITIONS_FROM else docs.sparkSession.sparkContext.broadcast(common_shingles(docs, text_col, k))
+    keys = lambda: tile_keys(docs, id_col, text_col, k, percent, common)
+    shared = keys().groupBy("key").agg(F.min("fp").alias("hub"), F.max("fp").alias("last")) \
         .where(F.col("hub") < F.col("last")).select("key", "hub")
-    return tile_keys(docs, id_col, text_col, k).join(shared, "key").where(F.col("fp") != F.col("hub")) \
+    return keys().join(shared, "key").where(F.col("fp") != F.col("hub")) \
         .select(F.col("fp").alias("u"), F.col("hub").alias("v")).distinct()
 
 
-def _blocks(nodes: DataFrame) -> DataFrame:
-    """nodes (fp, label, n, doc_id) with their tiles: one row per tile."""
-    placed = nodes.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / _BAND).cast("int"))
+def _blocks(nodes: DataFrame, percent: int) -> DataFrame:
+    """nodes (fp, label, n, doc_id) with their tiles: one row per tile.  Bands are
+    a little wider than linked sizes can lie apart."""
+    placed = nodes.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / -math.log(percent / 100 - 0.01)).cast("int"))
     count = placed.groupBy("label", "band").agg(F.count("*").alias("rows"), F.sum("n").alias("hashes")) \
         .withColumn("k", F.greatest(F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("hashes") * 8 / BLOCK_BYTES)).cast("int"))
     count = reliable_checkpoint(count)
@@ -177,14 +210,14 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum())
 
 
-def link_tile(arrays: list[np.ndarray], side: np.ndarray, across: bool) -> list[tuple[int, int]]:
+def link_tile(arrays: list[np.ndarray], side: np.ndarray, across: bool, percent: int = PERCENT) -> list[tuple[int, int]]:
     """A spanning forest of the links among ``arrays`` (``across``: only between
     the two sides)."""
     order = np.argsort([len(a) for a in arrays], kind="stable")
     arrays = [arrays[i] for i in order]
     side, n = side[order], np.array([len(a) for a in arrays])
     maps, group, out = bitmaps(arrays), np.arange(len(arrays)), []
-    first = np.searchsorted(n, -(-PERCENT * n // 100))
+    first = np.searchsorted(n, -(-percent * n // 100))
     for i in range(1, len(arrays)):
         lo = first[i]
         open_ = group[lo:i] != group[i]
@@ -194,10 +227,10 @@ def link_tile(arrays: list[np.ndarray], side: np.ndarray, across: bool) -> list[
         if not len(js):
             continue
         differ = np.bitwise_count(maps[js] ^ maps[i]).sum(1, dtype=np.int64)
-        js = js[(n[js] + n[i] - differ) // 2 >= least_overlap(n[js], n[i])]
+        js = js[(n[js] + n[i] - differ) // 2 >= least_overlap(n[js], n[i], percent)]
         while len(js):
             j = js[0]
-            if overlap(arrays[j], arrays[i]) >= least_overlap(int(n[j]), int(n[i])):
+            if overlap(arrays[j], arrays[i]) >= least_overlap(int(n[j]), int(n[i]), percent):
                 out.append((int(order[j]), int(order[i])))
                 group[group == group[j]] = group[i]
                 js = js[group[js] != group[i]]
@@ -206,21 +239,21 @@ def link_tile(arrays: list[np.ndarray], side: np.ndarray, across: bool) -> list[
     return out
 
 
-def _tile_links(table: pa.Table) -> pa.Table:
+def _tile_links(table: pa.Table, percent: int) -> pa.Table:
     fps = table.column("fp").to_numpy()
     _, keep = np.unique(fps, return_index=True)
     arrays = [np.frombuffer(x, np.uint64) for x in table.column("set").take(pa.array(keep)).to_pylist()]
     side, kind = table.column("side").to_numpy()[keep], table.column("kind")[0].as_py()
-    found = link_tile(arrays, side, kind == "next") if len(keep) > 1 else []
+    found = link_tile(arrays, side, kind == "next", percent) if len(keep) > 1 else []
     own = fps[keep]
     return pa.table({"u": pa.array([own[a] for a, _ in found], pa.int64()), "v": pa.array([own[b] for _, b in found], pa.int64())})
 
 
-def links(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
+def links(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
     """(u, v) fingerprints: enough links to connect all classes that links connect."""
-    label = components(candidate_chains(docs, id_col, text_col, k)).withColumnRenamed("node", "fp")
+    label = components(candidate_chains(docs, id_col, text_col, k, percent)).withColumnRenamed("node", "fp")
     first = sets.where(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
-    tiles = reliable_checkpoint(_blocks(reliable_checkpoint(label.join(first, "fp"))))
+    tiles = reliable_checkpoint(_blocks(reliable_checkpoint(label.join(first, "fp")), percent))
     wanted = reliable_checkpoint(tiles.select("doc_id", "fp").distinct())
     few = wanted.count() <= BROADCAST_ROWS
     ids = wanted.select(F.col("doc_id").alias("wanted_id"), F.col("fp").alias("wanted_fp"))
@@ -238,13 +271,13 @@ def links(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str, k: int)
         .join(F.broadcast(ids) if few else ids, F.col("id") == F.col("wanted_id"))
     arrays = texts.select(F.col("wanted_fp").alias("fp"), packed("text", "wanted_fp").alias("set")).where(F.col("set").isNotNull())
     members = tiles.select("fp", "label", "kind", "at", "i", "j", "side").join(arrays, "fp")
-    return members.groupBy("label", "kind", "at", "i", "j").applyInArrow(_tile_links, "u bigint, v bigint")
+    return members.groupBy("label", "kind", "at", "i", "j").applyInArrow(lambda t: _tile_links(t, percent), "u bigint, v bigint")
 
 
-def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K) -> DataFrame:
+def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs``."""
     sets = reliable_checkpoint(with_sets(docs, id_col, text_col, k))
-    label = components(links(docs, sets, id_col, text_col, k)).withColumnRenamed("node", "fp")
+    label = components(links(docs, sets, id_col, text_col, k, percent)).withColumnRenamed("node", "fp")
     whole = sets.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     classes = whole.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")) \
         .join(label, "fp", "left").where((F.col("rows") > 1) | F.col("label").isNotNull())
@@ -256,10 +289,10 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return found.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), mine).alias("component_id"))
 
 
-def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K) -> DataFrame:
+def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, percent: int = PERCENT) -> DataFrame:
     """The document of the smallest id of each component, columns as they were;
     of rows that repeat an id, one stays.  Rows without an id all stay."""
-    found = reliable_checkpoint(near_components(docs, id_col, text_col, k))
+    found = reliable_checkpoint(near_components(docs, id_col, text_col, k, percent))
     drop = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("drop_id")).distinct()
     kept = docs.join(drop, F.col(id_col) == F.col("drop_id"), "left_anti")
     twice = found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("twice_id"))

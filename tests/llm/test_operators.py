@@ -197,13 +197,13 @@ def test_html(spark):
     assert htmltext.extract(pages.limit(0)).count() == 0
 
 
-def brute_components(rows, k=3):
+def brute_components(rows, k=3, percent=90):
     def shingles(t):
         ws = re.findall("[^\x20\x09-\x0D]+", lower(t or ""))
         return {tuple(ws[i:i + k]) for i in range(len(ws) - k + 1)} or ({tuple(ws)} if ws else set())
     sets = [shingles(x[1]) for x in rows]
     links = [(i, j) for i, j in itertools.combinations(range(len(rows)), 2) if rows[i][0] is not None and rows[j][0] is not None and (
-        rows[i][0] == rows[j][0] or sets[i] and 100 * len(sets[i] & sets[j]) >= 90 * len(sets[i] | sets[j]))]
+        rows[i][0] == rows[j][0] or sets[i] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]))]
     at = roots(len(rows), links)
     return Counter((x[0], len(sets[i]), None if x[0] is None else min(rows[j][0] for j in range(len(rows)) if at[j] == at[i])) for i, x in enumerate(rows))
 
@@ -228,6 +228,7 @@ def test_jaccard_join(spark, docs, corpus, empty, monkeypatch):
     kept = nearjoin.keep_one_each(d)
     assert kept.columns == d.columns
     assert Counter(x.doc_id for x in kept.collect()) == Counter({c: 1 for i, _, c in want if c is not None} | {None: 1})
+    assert Counter(tuple(x) for x in nearjoin.near_components(d, k=5, percent=80).collect()) == brute_components(rows, 5, 80)
     monkeypatch.setattr(nearjoin, "BLOCK_ROWS", 7)    # several blocks in a band
     assert Counter(tuple(x) for x in nearjoin.near_components(d).collect()) == want
     assert nearjoin.near_components(empty).count() == 0
@@ -330,7 +331,7 @@ def test_pipeline(spark, docs, labels, corpus, tmp_path, empty):
     good = {r.doc_id for r in quality.scores(plain, labels).where("predicted = 1").collect()}
     assert set(ids[0]) == good and not any(300 <= (i or 0) < 310 for i in good)
     assert set(range(100)) <= set(ids[1])
-    parts = brute_components([tuple(r) for r in seen[1]])
+    parts = brute_components([tuple(r) for r in seen[1]], 5, 80)
     assert ids[2] == Counter({c for _, _, c in parts if c is not None}) + Counter({None: ids[1][None]} if ids[1][None] else {})
     clean = [r.doc_id for r in seen[2] if not brute_scan([("1", items[0][1])], r.text or "", 10)[1]]
     assert ids[3] == Counter(clean) and 3 not in ids[3]

@@ -89,6 +89,18 @@ def test_linked_sets_share_a_partition_key():
     assert n_linked > 100
 
 
+def test_linked_sets_share_a_prefix():
+    r, n_linked = np.random.default_rng(0), 0
+    for seed in range(400):
+        a, b = sets_at([0.8, 0.85, 0.9][seed % 3], [2, 4, 5, 9, 10, 31, 200][seed % 7], seed)
+        common = np.sort(r.permutation(np.union1d(a, b))[: len(a) * (seed % 4) // 3])
+        both = len(np.intersect1d(a, b))
+        if 100 * both >= 80 * (len(a) + len(b) - both):
+            n_linked += 1
+            assert set(nearjoin.prefix_keys(a, 80, common)) & set(nearjoin.prefix_keys(b, 80, common))
+    assert n_linked > 100 and len(nearjoin.prefix_keys(a[:0], 80, a)) == 0
+
+
 def roots(n, pairs):
     at = list(range(n))
     for a, b in pairs:
