@@ -24,8 +24,9 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from hiresight.llm import decontam, langid, mixing, nearjoin, quality  # noqa: E402
 from hiresight.llm.frames import ship_package, table, written  # noqa: E402
 
-#: The near-copy stage: words in a shingle, and the least Jaccard similarity in percent.
-NEAR_WORDS, NEAR_PERCENT = 5, 80
+#: The near-copy stage takes what operator 7's contract takes: words in a shingle,
+#: and the least Jaccard similarity in percent.
+NEAR_WORDS, NEAR_PERCENT = 3, 90
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -258,18 +258,25 @@ def links(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str, k: int,
     few = wanted.count() <= BROADCAST_ROWS
     ids = wanted.select(F.col("doc_id").alias("wanted_id"), F.col("fp").alias("wanted_fp"))
 
-    @F.arrow_udf("binary")
-    def packed(texts: pa.Array, fps: pa.Array) -> pa.Array:
-        """The text's set, or null if it isn't the one wanted."""
-        out = []
-        for text, fp in zip(each_text(texts), fps.to_pylist()):
-            h = shingle_set(text, k)
-            out.append(h.tobytes() if set_fingerprint(h) == fp else None)
-        return pa.array(out, pa.binary())
-
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")) \
-        .join(F.broadcast(ids) if few else ids, F.col("id") == F.col("wanted_id"))
-    arrays = texts.select(F.col("wanted_fp").alias("fp"), packed("text", "wanted_fp").alias("set")).where(F.col("set").isNotNull())
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The sets that are wanted, a few at a time."""
+        for batch in batches:
+            fps, packs, held = [], [], 0
+            for text, fp in zip(each_text(batch.column(0)), batch.column(1).to_pylist()):
+                h = shingle_set(text, k)
+                if set_fingerprint(h) == fp:
+                    fps.append(fp)
+                    packs.append(h.tobytes())
+                    held += len(packs[-1])
+                if held > BLOCK_BYTES // 2:
+                    yield pa.RecordBatch.from_pydict({"fp": fps, "set": pa.array(packs, pa.binary())})
+                    fps, packs, held = [], [], 0
+            if fps:
+                yield pa.RecordBatch.from_pydict({"fp": fps, "set": pa.array(packs, pa.binary())})
+
+    arrays = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")) \
+        .join(F.broadcast(ids) if few else ids, F.col("id") == F.col("wanted_id")).select("text", "wanted_fp") \
+        .mapInArrow(packed, "fp bigint, set binary")
     members = tiles.select("fp", "label", "kind", "at", "i", "j", "side").join(arrays, "fp")
     return members.groupBy("label", "kind", "at", "i", "j").applyInArrow(lambda t: _tile_links(t, percent), "u bigint, v bigint")
 

@@ -331,7 +331,7 @@ def test_pipeline(spark, docs, labels, corpus, tmp_path, empty):
     good = {r.doc_id for r in quality.scores(plain, labels).where("predicted = 1").collect()}
     assert set(ids[0]) == good and not any(300 <= (i or 0) < 310 for i in good)
     assert set(range(100)) <= set(ids[1])
-    parts = brute_components([tuple(r) for r in seen[1]], 5, 80)
+    parts = brute_components([tuple(r) for r in seen[1]], P.NEAR_WORDS, P.NEAR_PERCENT)
     assert ids[2] == Counter({c for _, _, c in parts if c is not None}) + Counter({None: ids[1][None]} if ids[1][None] else {})
     clean = [r.doc_id for r in seen[2] if not brute_scan([("1", items[0][1])], r.text or "", 10)[1]]
     assert ids[3] == Counter(clean) and 3 not in ids[3]
