@@ -52,8 +52,10 @@ PARTITIONS_FROM = 88
 SAMPLE_DOCS, COMMON_SHINGLES = 8000, 200_000
 #: A block's arrays take at most about this many bytes, and so many arrays.
 BLOCK_BYTES, BLOCK_ROWS = 8 << 20, 4096
-#: Candidate ids are broadcast up to this many rows (16 bytes each).
+#: Candidate ids (16 bytes each) and tile places are broadcast up to this many rows.
 BROADCAST_ROWS = 500_000
+#: Keys leave a task in batches of about this many rows.
+KEY_ROWS = 100_000
 
 
 def shingle_set(text: bytes | None, k: int = K) -> np.ndarray:
@@ -147,7 +149,7 @@ def tile_keys(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int,
                     keys.append(partition_keys(h, percent) if common is None else prefix_keys(h, percent, common.value))
                     fps.append(np.full(len(keys[-1]), fp, np.int64))
                     rows += len(fps[-1])
-                    if rows > 500_000:
+                    if rows > KEY_ROWS:
                         yield pa.RecordBatch.from_pydict({"key": np.concatenate(keys), "fp": np.concatenate(fps)})
                         keys, fps, rows = [], [], 0
             if keys:
@@ -277,7 +279,8 @@ def links(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str, k: int,
     arrays = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")) \
         .join(F.broadcast(ids) if few else ids, F.col("id") == F.col("wanted_id")).select("text", "wanted_fp") \
         .mapInArrow(packed, "fp bigint, set binary")
-    members = tiles.select("fp", "label", "kind", "at", "i", "j", "side").join(arrays, "fp")
+    places = tiles.select("fp", "label", "kind", "at", "i", "j", "side")
+    members = arrays.join(F.broadcast(places) if places.count() <= BROADCAST_ROWS else places, "fp")  # broadcast: sets are dealt out once, not twice
     return members.groupBy("label", "kind", "at", "i", "j").applyInArrow(lambda t: _tile_links(t, percent), "u bigint, v bigint")
 
 

@@ -331,7 +331,7 @@ def test_pipeline(spark, docs, labels, corpus, tmp_path, empty):
     good = {r.doc_id for r in quality.scores(plain, labels).where("predicted = 1").collect()}
     assert set(ids[0]) == good and not any(300 <= (i or 0) < 310 for i in good)
     assert set(range(100)) <= set(ids[1])
-    parts = brute_components([tuple(r) for r in seen[1]], P.NEAR_WORDS, P.NEAR_PERCENT)
+    parts = brute_components([tuple(r) for r in seen[1]], 5, 80)
     assert ids[2] == Counter({c for _, _, c in parts if c is not None}) + Counter({None: ids[1][None]} if ids[1][None] else {})
     clean = [r.doc_id for r in seen[2] if not brute_scan([("1", items[0][1])], r.text or "", 10)[1]]
     assert ids[3] == Counter(clean) and 3 not in ids[3]
@@ -343,3 +343,15 @@ def test_pipeline(spark, docs, labels, corpus, tmp_path, empty):
     for name, stage in P.STAGES:
         assert stage(spark, empty, str(tmp_path)).count() == 0
     assert os.path.exists(P.__file__)
+
+
+def test_pipeline_near_copies_take_five_words_and_80_percent(spark, tmp_path):
+    import corpus_pipeline as P
+    ws = [f"w{i}" for i in range(400)]
+    near, far = list(ws), list(ws)
+    for i in range(8):
+        near[25 + 45 * i] = f"x{i}"         # five words: 356 of 436; three words: 374 of 422, under 0.9
+    for i in range(10):
+        far[20 + 38 * i] = f"y{i}"          # five words: 346 of 446, under 0.8
+    d = spark.createDataFrame([(i, " ".join(x), "en", "s", 1) for i, x in enumerate((ws, near, far))], DOCS)
+    assert {r.doc_id for r in P.near_copies(spark, d, str(tmp_path)).collect()} == {0, 2}
