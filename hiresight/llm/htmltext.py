@@ -35,16 +35,22 @@ BLOCK_TAGS = frozenset(
     "frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section select "
     "summary table tbody td tfoot th thead title tr ul".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = "script|style|template|textarea|svg|iframe|object|math|canvas|noembed|noframes"
+#: Text up to the end tag, or else to the end of the page, is none of the page's.
+RAW_TAGS = "script|style|textarea"
+#: What is inside isn't shown; without an end tag, or ending in "/>", they hold nothing.
+HIDDEN_TAGS = frozenset("svg template iframe noembed noframes".split())
+#: Opening tags of page text, which end an svg.
+BREAKOUT_TAGS = BLOCK_TAGS - {"title"}
 CLOSED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
              "option": ("option",), "body": ("head",)}
 
 TOKEN = re.compile(
     r"<!--(?:.*?-->|.*+)|<![^>]*+>?|<\?[^>]*+>?"
-    rf"|<(?P<raw>{RAW_TAGS})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>?(?:.*?</(?P=raw)\s*>|.*+)"
+    rf"|<(?P<raw>{RAW_TAGS})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>?(?:.*?</(?P=raw)(?=[\s/>])[^>]*+>?|.*+)"
     r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*+)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(?P<end2>/?)(?P<tag2>[a-z][^\s/>]*+)(?P<attrs2>[^>]*+)>"
     r"|(?P<text>[^<]++)|(?P<stray><)", re.I | re.S)
+HIDDEN_OPEN = re.compile(rf"<(?:{'|'.join(sorted(HIDDEN_TAGS))})[\s/>]", re.I)
 ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 WORDS = re.compile(r"[a-z]+|\d+")
 PATH_DIM, WORD_DIM, COUNTS = 1024, 32, 12
@@ -65,6 +71,26 @@ def _tokens(tag: str, attrs: str) -> tuple[str, ...]:
     return tuple(out)
 
 
+def _hidden_runs(tokens: list[re.Match]) -> dict[int, int]:
+    """For each token that opens a hidden element, the last token of that element."""
+    last: dict[int, int] = {}
+    stack: list[tuple[str, int]] = []
+    for i, m in enumerate(tokens):
+        tag = (m["tag"] or m["tag2"] or "").lower()
+        if tag in HIDDEN_TAGS:
+            if not (m["end"] or m["end2"]):
+                if not (m["attrs"] or m["attrs2"] or "").endswith("/"):
+                    stack.append((tag, i))
+            elif any(tag == name for name, _ in stack):
+                while stack[-1][0] != tag:
+                    stack.pop()
+                last[stack.pop()[1]] = i
+        elif tag in BREAKOUT_TAGS and not (m["end"] or m["end2"]):
+            while stack and stack[-1][0] == "svg":
+                last[stack.pop()[1]] = i - 1
+    return last
+
+
 def blocks(page: str) -> list[tuple[str, list[str], float]]:
     """Leaf blocks in page order: text, path tokens, share of text in links."""
     out: list[tuple[str, list[str], float]] = []
@@ -89,7 +115,11 @@ def blocks(page: str) -> list[tuple[str, list[str], float]]:
             if stack[at][0] in ("table", "ul", "ol", "article", "section", "div", "main", "body") and names != ("p",):
                 return
 
-    for m in TOKEN.finditer(page):
+    tokens, until = list(TOKEN.finditer(page)), -1
+    hidden = _hidden_runs(tokens) if HIDDEN_OPEN.search(page) else {}
+    for i, m in enumerate(tokens):
+        if i <= until:
+            continue
         text = m["text"] or m["stray"]
         if text is not None:
             held.append(text)
@@ -99,6 +129,9 @@ def blocks(page: str) -> list[tuple[str, list[str], float]]:
                 linked += n
             continue
         tag = (m["tag"] or m["tag2"] or "").lower()
+        if tag in HIDDEN_TAGS:
+            until = hidden.get(i, i)
+            continue
         if not tag:
             continue
         if tag in BLOCK_TAGS:

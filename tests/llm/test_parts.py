@@ -261,6 +261,20 @@ def test_html_blocks():
     assert htmltext.blocks("") == [] and htmltext.blocks("<p 'unclosed") != None  # noqa: E711
 
 
+@pytest.mark.parametrize("page, want", [
+    ('<p><svg class="i"/>Hello</p><p>World</p>', ["Hello", "World"]),
+    ('<p><svg-icon name="x"></svg-icon>Hello</p><script-x>a</script-x>', ["Hello", "a"]),
+    ("<svg/><article><p>One</p></article><svg><title>t</title></svg><p>Two</p>", ["One", "Two"]),
+    ("<p>a <math><mi>x</mi></math> b</p><object data=f>No plug-in</object><canvas>c</canvas>", ["a x b", "No plug-inc"]),
+    ("<p>a<svg><path d=z><p>b", ["a", "b"]),
+    ("<p>a<svg><svg><text>n</text></svg><text>m</text></svg>b</p>", ["ab"]),
+    ("<p>a<iframe src=x/>b<iframe>no</iframe><template>t", ["abt"]),
+    ("<p>a</p><script>'<p>no</p>'</script x><p>b</p><style>p{}", ["a", "b"]),
+])
+def test_html_raw_elements_keep_page_text(page, want):
+    assert [b[0] for b in htmltext.blocks(page)] == want
+
+
 def test_labeller_gradient():
     model = htmltext.BlockLabeller(1)
     for k in model.p:
