@@ -11,8 +11,8 @@ Defined cases: a null or empty page, and one without article blocks, gives the
 empty text; unclosed and stray tags, comments, quotes and scripts are read as
 browsers do, roughly; character references are decoded; white space inside a
 block is one blank; blocks are joined by a blank line.  Pages may be of any
-length (long ones are labelled in overlapping stretches of ``STRETCH`` blocks);
-repeated rows are treated alike; other columns pass through.
+length: all words of a block are read, and both recursions run over all blocks of
+a page; repeated rows are treated alike; other columns pass through.
 """
 from __future__ import annotations
 
@@ -54,7 +54,9 @@ HIDDEN_OPEN = re.compile(rf"<(?:{'|'.join(sorted(HIDDEN_TAGS))})[\s/>]", re.I)
 ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 WORDS = re.compile(r"[a-z]+|\d+")
 PATH_DIM, WORD_DIM, COUNTS = 1024, 32, 12
-STRETCH, OVERLAP = 512, 64
+#: Pages are labelled together up to so many, and so many blocks with padding (a
+#: longer page goes alone).
+PAGES, CELLS = 64, 32768
 HIDDEN = 20
 
 
@@ -63,11 +65,18 @@ def _path_bucket(token: str) -> int:
     return zlib.crc32(token.encode()) % PATH_DIM
 
 
+@functools.lru_cache(65536)
+def _word_bucket(word: str) -> int:
+    """Place of a word, in the second half if it counts negative."""
+    h = zlib.crc32(word.lower().encode())
+    return h % WORD_DIM + (0 if h & 1024 else WORD_DIM)
+
+
 @functools.lru_cache(4096)
 def _tokens(tag: str, attrs: str) -> tuple[str, ...]:
     out = [f"<{tag}"]
     for name, a, b, c in ATTR.findall(attrs) if "=" in attrs else ():
-        out += [f"{'role' if name.lower() == 'role' else ''}.{w}" for w in WORDS.findall((a or b or c).lower())[:6]]
+        out += [f"{'role' if name.lower() == 'role' else ''}.{w}" for w in WORDS.findall((a or b or c).lower())]
     return tuple(out)
 
 
@@ -162,12 +171,11 @@ def encode(bs: list[tuple[str, list[str], float]]) -> tuple[np.ndarray, np.ndarr
         flat += [_path_bucket(t) for t in path] + [_path_bucket("^" + t) for t in path[-3:]] + [PATH_DIM]
         ws = text.split()
         n = len(ws)
-        for w in ws[:2] + ws[-2:] if n > 4 else ws:
-            h = zlib.crc32(w.lower().encode())
-            dense[i, h % WORD_DIM] += (1.0 if h & 1024 else -1.0) / np.sqrt(min(n, 4))
+        often = np.bincount([_word_bucket(w) for w in ws], minlength=2 * WORD_DIM)
+        dense[i, :WORD_DIM] = (often[:WORD_DIM] - often[WORD_DIM:]) / np.sqrt(often @ often)
         stops = text.count(".") + text.count("!") + text.count("?")
         dense[i, WORD_DIM:] = (np.log1p(n) / 4, np.log1p(len(text)) / 6, links, float(n <= 2), float(n >= 12), min(3.0, stops / 3),
-                               float(text[-1] in ".!?…\"'»”"), len(text) / n / 8, sum(c.isdigit() for c in text[:400]) / min(400, len(text)),
+                               float(text[-1] in ".!?…\"'»”"), len(text) / n / 8, sum(map(str.isdigit, text)) / len(text),
                                i / len(bs), float("©" in text), float("|" in text or "»" in text or "›" in text))
     return np.array(flat, np.int64), np.array(starts, np.int64), dense
 
@@ -248,29 +256,20 @@ class BlockLabeller:
 
     def label(self, pages: list[list]) -> list[np.ndarray]:
         """For each page's blocks, which belong to the article."""
-        pieces = []
-        for k, bs in enumerate(pages):
-            for at in range(0, len(bs), STRETCH - 2 * OVERLAP):
-                lo, hi = max(0, at - OVERLAP), min(len(bs), at + STRETCH - OVERLAP)
-                pieces.append((k, at, lo, hi))
         out = [np.zeros(len(bs), bool) for bs in pages]
-        whole = [encode(bs) if bs else None for bs in pages]
-        pieces.sort(key=lambda x: x[3] - x[2])
-        for a in range(0, len(pieces), 64):
-            part = pieces[a: a + 64]
-            logits, _ = self.run([_cut(whole[k], lo, hi) for k, _, lo, hi in part])
-            for (k, at, lo, hi), z in zip(part, logits):
-                stop = min(hi, at + STRETCH - 2 * OVERLAP)
-                out[k][at: stop] = z[at - lo: stop - lo] > 0
+        groups: list[list[int]] = []
+        for k in sorted((k for k, bs in enumerate(pages) if bs), key=lambda k: len(pages[k])):
+            if groups and len(groups[-1]) < PAGES and len(pages[k]) * (len(groups[-1]) + 1) <= CELLS:
+                groups[-1].append(k)
+            else:
+                groups.append([k])
+        for group in groups:
+            logits, _ = self.run([encode(pages[k]) for k in group])
+            for k, z in zip(group, logits):
+                out[k] = z[: len(pages[k])] > 0
         return out
 
 
-def _cut(enc, lo: int, hi: int):
-    flat, starts, dense = enc
-    end = starts[hi] if hi < len(starts) else len(flat)
-    return flat[starts[lo]: end], starts[lo: hi] - starts[lo], dense[lo: hi]
-
-
 class _Grammar:
     """Random pages whose article blocks are known."""
 

@@ -293,6 +293,27 @@ def test_labeller_gradient():
         assert abs((up - down) / 2e-3 - grads[k][at]) < 0.02 * abs(grads[k][at]) + 1e-4
 
 
+def test_labeller_reads_all_words():
+    def dense(text, attrs=""):
+        return htmltext.encode(htmltext.blocks(f"<p{attrs}>{text}</p>"))[2][0]
+    one, two = (dense(f"river stone house {w} light water green") for w in ("cookies", "walk"))
+    assert not np.array_equal(one[: htmltext.WORD_DIM], two[: htmltext.WORD_DIM])
+    assert dense("a " * 300 + "1 " * 300)[htmltext.WORD_DIM + 8] > 0.2
+    assert ".h" in htmltext.blocks("<p class='a b c d e f g h'>x")[0][1]
+
+
+def test_labeller_carries_its_state_over_the_whole_page():
+    model, h = htmltext.BlockLabeller(1), htmltext.HIDDEN
+    for k in model.p:
+        model.p[k] = np.zeros_like(model.p[k])
+    every, head = model.p["pathf"][htmltext.PATH_DIM], model.p["pathf"][htmltext._path_bucket("<h1")]
+    every[0], every[h], every[2 * h] = -20, 20, 20      # without a heading, the first unit keeps what it holds
+    head[0], head[3 * h] = 40, 10                       # a heading sets it
+    model.p["out"][0], model.p["bias"][0] = 1, -0.3
+    pages = [htmltext.blocks("<p>x" * 3 + "<h1>t</h1>" + "<p>x" * n) for n in (5, 2000)]
+    assert [y.tolist() for y in model.label([*pages, []])] == [[False] * 3 + [True] * 6, [False] * 3 + [True] * 2001, []]
+
+
 def test_labeller_on_pages_it_has_not_seen():
     model, grammar = htmltext.trained(), htmltext._Grammar(77)
     pages = [grammar.page() for _ in range(60)]
