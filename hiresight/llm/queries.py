@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, decontam, hmm, htmltext, langid, mixing, nearjoin, quality, toxicity, warc
+from . import ann, decontam, hmm, htmltext, langid, merkle, mixing, nearjoin, quality, slices, toxicity, warc, whitening
 from .frames import table
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -50,9 +50,54 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.scores(table(spark, sf_dir, "documents"))
 
 
+def op11_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return slices.top_scores(table(spark, sf_dir, "embeddings"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verification(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_mixing, op3_quality, op4_toxicity, op5_warc, op6_html_text, op7_jaccard_join, op8_nearest,
-    op9_language_id, op10_lm_score)}
+    op9_language_id, op10_lm_score, op11_topk, op12_whitening, op13_merkle)}
+
+#: Levels of the trees in the SQL of op13: 16 ** 6 rows a source, 16 ** 6 sources.
+_LEVELS = range(6)
+
+
+def _leaf(text: str) -> str:
+    value = lambda c: f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+    return "sha256(" + " || ".join(value(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _tree(name: str, nodes: str) -> str:
+    """CTEs name0, name1, ... of the levels above ``nodes`` (t, i, h): n nodes in the
+    tree, k the nodes' hashes of a run, r the run's hash (a lone node: its own)."""
+    out = []
+    for level in _LEVELS:
+        below = nodes if level == 0 else f"(SELECT t, i // 16 AS i, any_value(r) AS h FROM {name}{level - 1} GROUP BY t, i // 16)"
+        out.append(f"""{name}{level} AS (SELECT t, i, h, n, k, CASE WHEN n > 1 THEN sha256(array_to_string(k, '')) ELSE h END AS r FROM (
+  SELECT t, i, h, count(*) OVER (PARTITION BY t) AS n, list(h) OVER (PARTITION BY t, i // 16 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS k
+  FROM {below} AS b) AS q)""")
+    return ",\n".join(out)
+
+
+def _witness(name: str, tree: str, place: str) -> tuple[str, str]:
+    """Joins of a node's levels, and the list of (place, siblings) of its proof."""
+    joins = " ".join(f"JOIN {name}{x} AS {name}_{x} ON {name}_{x}.t = {tree} AND {name}_{x}.i = {place} // {16 ** x}" for x in _LEVELS)
+    steps = [f"""{{'at': {place} // {16 ** x} % 16, 'has': {name}_{x}.n > 1, 'k': CASE WHEN {name}_{x}.n > 1 THEN {name}_{x}.k ELSE []::VARCHAR[] END}}""" for x in _LEVELS]
+    return joins, ", ".join(steps)
+
+
+_LEAF_JOINS, _LEAF_STEPS = _witness("a", "d.t", "d.i")
+_TOP_JOINS, _TOP_STEPS = _witness("b", "0", "u.i")
+_CRC = """xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT),
+  lambda s, c: list_reduce([xor(s, c)] || range(8), lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
 
 SQL = {
     "op1_decontamination": rf"""
@@ -135,4 +180,31 @@ e AS (SELECT a.doc_id AS u, b.doc_id AS v FROM l JOIN d a ON a.rid = x JOIN d b
 r(u, v) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.u, w.v FROM r JOIN (SELECT u, v FROM e UNION SELECT v, u FROM e) w ON r.v = w.u)
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least_id AS component_id
 FROM d LEFT JOIN n USING (rid) LEFT JOIN (SELECT u, min(v) AS least_id FROM r GROUP BY u) c ON c.u = doc_id""",
+    "op11_topk": """
+WITH r AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda c: floor(64 * c::DOUBLE)) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score FROM r q JOIN r c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+t AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM t WHERE rank <= 20""",
+    "op13_merkle": f"""
+WITH l AS (
+  SELECT doc_id, source, {_leaf("text")} AS h,
+         CASE WHEN {_CRC} % 5 = 0 THEN {_leaf(f"translate(text, '{_UPPER}', '{_LOWER}')")} END AS changed FROM documents),
+o AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS t FROM (SELECT DISTINCT source FROM l) AS q),
+d AS (SELECT l.*, o.t, row_number() OVER (PARTITION BY o.t ORDER BY doc_id NULLS FIRST, h) - 1 AS i FROM l JOIN o ON l.source IS NOT DISTINCT FROM o.source),
+{_tree("a", "d")},
+u AS (SELECT 0 AS t, t AS i, any_value(r) AS h FROM a{_LEVELS[-1]} GROUP BY t),
+{_tree("b", "u")},
+p AS (
+  SELECT doc_id, d.h AS leaf, u.h AS subroot, b_{_LEVELS[-1]}.r AS root, coalesce(changed, d.h) AS start,
+         list_filter([{_LEAF_STEPS}, {_TOP_STEPS}], lambda s: s.has) AS steps
+  FROM d JOIN u ON u.i = d.t {_LEAF_JOINS} {_TOP_JOINS}),
+f AS (
+  SELECT *, list_reduce([start] || list_transform(steps, lambda s: s.at || ':' || array_to_string(s.k, '')), lambda h, s: sha256(
+           substr(split_part(s, ':', 2), 1, 64 * split_part(s, ':', 1)::INTEGER) || h || substr(split_part(s, ':', 2), 64 * split_part(s, ':', 1)::INTEGER + 65))) AS folded_root
+  FROM p)
+SELECT doc_id, leaf, subroot, root, folded_root, folded_root = root AS verified,
+       sha256(array_to_string(list_transform(steps, lambda s: array_to_string(s.k[:s.at], '') || array_to_string(s.k[s.at + 2:], '')), '')) AS proof_sha256
+FROM f""",
 }
