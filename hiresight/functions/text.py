@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from typing import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
+from . import elements as EL
 from .exprs import col, contains_any
 
 
@@ -330,19 +331,30 @@ def dedup_case_insensitive(arr: Column) -> Column:
                                        .otherwise(F.concat(acc, F.array(s))))
 
 
-def skill_list(html: Column) -> Column:
-    """Skills from marked tag nodes, else JSON ``keySkills``/``name`` entries;
-    trimmed, non-empty, case-insensitively de-duplicated, joined by ", "."""
+def skill_mark(name: Column, tag: Column) -> Column:
+    """Marks the elements that hold a skill, for ``elements.spans``."""
+    marked = tag.contains("bloko-tag__text") | tag.contains("skills-element")
+    return F.when(marked & (EL.attribute(tag, "data-qa").isin("bloko-tag__text", "skills-element")
+                            | EL.attribute(tag, "class").contains("bloko-tag__text")), "skill")
+
+
+def joined_skills(found: Column, html: Column) -> Column:
+    """Skills from marked elements (whole text of each), else JSON ``keySkills`` /
+    ``name`` entries; trimmed, non-empty, case-insensitively de-duplicated, joined by ", "."""
     h = F.coalesce(html, F.lit(""))
-    tagged = F.regexp_extract_all(
-        h, F.lit(r"(?is)<[a-z]+[^>]*(?:data-qa=\"(?:bloko-tag__text|skills-element)\"|class=\"[^\"]*bloko-tag__text[^\"]*\")[^>]*>(.*?)</"), 1)
+    tagged = F.transform(F.filter(found, lambda s: s["mark"] == "skill"), lambda s: EL.text_of(s))
     from_json = F.when(h.contains("keySkills"), F.regexp_extract_all(h, F.lit(r"\"name\"\s*:\s*\"([^\"]+)\""), 1)) \
                  .otherwise(F.array().cast("array<string>"))
     raw = F.when(F.size(tagged) > 0, tagged).otherwise(from_json)
-    cleaned = F.filter(F.transform(raw, lambda s: F.trim(F.regexp_replace(s, "<[^>]+>", ""))), lambda s: s != "")
+    cleaned = F.filter(F.transform(raw, lambda s: F.trim(s)), lambda s: s != "")
     return F.array_join(dedup_case_insensitive(cleaned), ", ")
 
 
+def skill_list(df: DataFrame, html: str, out: str = "skills") -> DataFrame:
+    """X18 for a table of pages: ``df`` with the skills' names."""
+    return EL.with_elements(df, html, skill_mark).withColumn(out, joined_skills(F.col("_found"), F.col(html))).drop("_found", "_texts")
+
+
 def humanize_flag(name: Column) -> Column:
     """Strip one prefix, split on "_", map known words, else capitalise
     (longer than 3 chars) or upper-case, joined by spaces."""

@@ -370,6 +370,15 @@ def q_page_titles(spark, sf):
                     regex_group(F.col("url"), r"/(\d+)", 1).alias("url_id"))
 
 
+PAGE_ELEMENTS = ["nav", "article", "h1", "p", "b", "div", "footer", "title"]
+
+
+@query("page_element_texts")
+def q_page_elements(spark, sf):
+    from ..sources.pages import element_texts
+    return element_texts(table(spark, sf, "pages"), PAGE_ELEMENTS)
+
+
 # --------------------------------------------------------------- personas --
 def binding_personas():
     from ..operators.personas import Persona

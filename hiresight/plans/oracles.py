@@ -338,6 +338,24 @@ ORACLES["page_titles"] = r"""
 SELECT page_id, trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)) AS title,
        regexp_extract(url, '/(\d+)', 1) AS url_id FROM pages"""
 
+_ELEMENTS = ["nav", "article", "h1", "p", "b", "div", "footer", "title"]
+# An element ends where the end tags of some name, counted from its start, are one more than the start tags.
+ORACLES["page_element_texts"] = r"""
+WITH a AS (SELECT page_id, regexp_extract_all(html, '(?is)<!--.*?-->|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<[^>]*>|[^<]+') AS toks FROM pages),
+t AS (SELECT page_id, unnest(toks) AS tok, generate_subscripts(toks, 1) AS i FROM a),
+n AS (SELECT *, lower(regexp_extract(tok, '^</?([a-zA-Z][^\s/>]*)', 1)) AS name, starts_with(tok, '</') AS ends FROM t),
+s AS (SELECT page_id, name AS wanted, min(i) AS first FROM n WHERE NOT ends AND name IN ('""" + "', '".join(_ELEMENTS) + r"""') GROUP BY ALL),
+d AS (SELECT s.*, i, sum(CASE WHEN ends THEN -1 ELSE 1 END) OVER (PARTITION BY s.page_id, wanted, name ORDER BY i) AS depth
+      FROM s JOIN n ON n.page_id = s.page_id AND n.i > first WHERE name NOT IN ('', 'script', 'style', 'br', 'meta', 'link', 'img', 'hr', 'input')),
+e AS (SELECT page_id, wanted, min(i) AS last FROM d WHERE depth = -1 GROUP BY ALL),
+x AS (SELECT s.page_id, wanted, string_agg(trim(replace(replace(replace(replace(replace(replace(replace(tok, '&nbsp;', chr(160)), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'),
+        '&middot;', '·'), '&copy;', '©'), '&amp;', '&'), ' ' || chr(9) || chr(10) || chr(13) || chr(160)), chr(10) ORDER BY i) AS text
+      FROM s LEFT JOIN e USING (page_id, wanted) JOIN n ON n.page_id = s.page_id AND n.i > first AND n.i < coalesce(last, 1000000000)
+      WHERE NOT starts_with(tok, '<') AND trim(tok, ' ' || chr(9) || chr(10) || chr(13)) <> '' GROUP BY ALL)
+SELECT page_id, """ + ", ".join(f"coalesce(max(text) FILTER (WHERE wanted = '{e}'), '') AS {e}" for e in _ELEMENTS) + """
+FROM pages LEFT JOIN x USING (page_id) GROUP BY page_id"""
+
+
 # --------------------------------------------------------------- personas --
 def _persona_sql_parts(persona, columns, thr=80):
     from ..operators.personas import levels_for_columns

@@ -1,8 +1,8 @@
 """Page tables → rows (re-aimed from the per-page HTML parser).
 
 The input is a table of downloaded pages ``(page_id, url, html)``; extraction
-is a Spark job of native regex/string expressions, partitioned like the page
-table, with no DOM library and no Python per row.
+is a Spark job of native column expressions (``functions/elements.py`` for nested
+elements), partitioned like the page table, with no Python per row.
 """
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..functions import elements as EL
 from ..functions import text as TX
 from ..functions.exprs import contains_any
 
@@ -27,25 +28,22 @@ def page_text(pages: DataFrame, html_col: str = "html") -> DataFrame:
     return pages.withColumns({"title": TX.html_title(F.col(html_col)), "text": TX.html_to_text(F.col(html_col))})
 
 
-def marked_text(html: Column, *marks: str) -> Column:
-    """Text of the first element that has one of the ``data-qa`` marks, in the
-    marks' order; "" if there is none."""
-    found = [F.trim(F.regexp_replace(F.regexp_extract(html, rf'(?is)<([a-z0-9]+)[^>]*data-qa="{m}"[^>]*>(.*?)</\1>', 2), "<[^>]+>", ""))
-             for m in marks]
-    return F.coalesce(*[F.nullif(f, F.lit("")) for f in found], F.lit(""))
+def marked_text(found: Column, *marks: str) -> Column:
+    """Whole text of the first element that has one of the ``data-qa`` marks and is not
+    empty, in the marks' order; "" if there is none."""
+    return F.coalesce(*[F.nullif(EL.text_of(EL.first(found, m)), F.lit("")) for m in marks], F.lit(""))
 
 
-def marked_div(html: Column, mark: str) -> Column:
-    """Inner HTML of the ``div`` with a ``data-qa`` mark, to its own end tag."""
-    rest = F.split(F.regexp_extract(html, rf'(?is)<div[^>]*data-qa="{mark}"[^>]*>(.*)$', 1), r"(?i)</div\s*>")
-    start = F.struct(F.lit(1).alias("depth"), F.array().cast("array<string>").alias("parts"))
+def element_texts(pages: DataFrame, names: list[str], html_col: str = "html", id_col: str = "page_id", separator: str = "\n") -> DataFrame:
+    """The text of the first element of each name on a page: ``id_col`` and a column for
+    each name, "" where there is none."""
+    parts = EL.with_elements(pages.select(id_col, html_col), html_col, EL.by_name(*names))
+    return parts.select(id_col, *[EL.text_of(EL.first(F.col("_found"), n), separator).alias(n) for n in names])
 
-    def step(acc, part):
-        opened = F.size(F.split(part, r"(?i)<div\b")) - 1
-        return F.when(acc["depth"] <= 0, acc).otherwise(
-            F.struct((acc["depth"] + opened - 1).alias("depth"), F.concat(acc["parts"], F.array(part)).alias("parts")))
 
-    return F.array_join(F.aggregate(rest, start, step)["parts"], "</div>")
+VACANCY_MARKS = ["vacancy-title", "vacancy-salary", "vacancy-company-name", "vacancy-view-raw-address", "vacancy-view-location",
+                 "vacancy-experience", "vacancy-description", "vacancy-view-creation-time", "vacancy-view-employment-mode",
+                 "vacancy-view-emp-mode", "vacancy-view-schedule"]
 
 
 def vacancy_rows(pages: DataFrame, url_col: str = "url", html_col: str = "html", scraped_at=None,
@@ -55,25 +53,31 @@ def vacancy_rows(pages: DataFrame, url_col: str = "url", html_col: str = "html",
     ``data-qa`` marks; rows without any salary are dropped."""
     h = F.coalesce(F.col(html_col), F.lit(""))
     now = scraped_at if scraped_at is not None else F.current_timestamp()
-    raw = pages.select(
-        F.coalesce(F.col(url_col), F.lit("")).alias("vacancy_url"), h.alias("_html"), now.alias("scraped_at_utc"),
-        TX.html_to_text(h).alias("_full"), marked_text(h, "vacancy-title").alias("title"),
-        TX.parse_salary(marked_text(h, "vacancy-salary")).alias("_salary"),
-        marked_text(h, "vacancy-company-name").alias("company"),
-        F.regexp_extract(F.regexp_extract(h, r'(?is)<a[^>]*data-qa="vacancy-company-name"[^>]*>', 0), r'(?i)href="([^"]*)"', 1).alias("employer_url"),
-        marked_text(h, "vacancy-view-raw-address", "vacancy-view-location").alias("address"),
-        marked_text(h, "vacancy-experience").alias("experience"), TX.skill_list(h).alias("skills"),
-        marked_div(h, "vacancy-description").alias("_body"))
+    found = F.col("_found")
+    raw = pages.select(F.coalesce(F.col(url_col), F.lit("")).alias("vacancy_url"), h.alias("_html"), now.alias("scraped_at_utc"))
+
+    def wanted(name: Column, tag: Column) -> Column:
+        return F.coalesce(EL.by_attribute("data-qa", *VACANCY_MARKS)(name, tag), TX.skill_mark(name, tag))
+
+    raw = EL.with_elements(raw, "_html", wanted)
+    raw = EL.computed(raw, _salary=TX.parse_salary(marked_text(found, "vacancy-salary")))
     raw = raw.where(F.coalesce(F.nullif(F.col("_salary.salary_from"), F.lit(0)), F.nullif(F.col("_salary.salary_to"), F.lit(0))).isNotNull())
-    full, html = F.col("_full"), F.col("_html")
-    raw = raw.withColumn("description", TX.html_to_text(F.col("_body")))
+    raw = EL.computed(
+        raw, _full=F.array_join(EL.strings(F.col("_texts")), "\n"), _body=EL.first(found, "vacancy-description")["strings"],
+        title=marked_text(found, "vacancy-title"), company=marked_text(found, "vacancy-company-name"),
+        employer_url=F.coalesce(EL.decoded(EL.attribute(EL.first(found, "vacancy-company-name")["tag"], "href")), F.lit("")),
+        address=marked_text(found, "vacancy-view-raw-address", "vacancy-view-location"), experience=marked_text(found, "vacancy-experience"),
+        skills=TX.joined_skills(found, F.col("_html")), _posted=marked_text(found, "vacancy-view-creation-time"),
+        _employment=marked_text(found, "vacancy-view-employment-mode"), _schedule=marked_text(found, "vacancy-view-emp-mode", "vacancy-view-schedule"))
+    full = F.col("_full")
+    raw = raw.withColumn("description", F.coalesce(F.array_join("_body", "\n\n"), F.lit("")))
     raw = raw.withColumns({
         "_combined": F.lower(F.concat_ws("\n", "title", "description", "skills")),
         "_described": F.concat_ws("\n", "title", "description"),
         "_skill_text": F.lower(F.concat_ws("\n", "title", "description", F.replace("skills", F.lit(", "), F.lit(" ")))),
-        "_sections": TX.split_sections(F.col("description")), "_exp": TX.experience_range(F.col("experience")),
+        "_sections": TX.split_sections(F.array_join("_body", "\n")), "_exp": TX.experience_range(F.col("experience")),
         "_format": TX.work_format(full, F.col("description")),
-        "published_at_raw": F.coalesce(F.nullif(TX.publication_phrase(full), F.lit("")), marked_text(html, "vacancy-view-creation-time"))})
+        "published_at_raw": F.coalesce(F.nullif(TX.publication_phrase(full), F.lit("")), F.col("_posted"))})
     text = F.col("_combined")
     data = TX.keyword_flags(F.col("_skill_text"), C.DATA_SKILL_KEYWORDS)
     flags = {k: v for m in (C.ROLE_KEYWORDS, C.TECH_KEYWORDS, C.BENEFIT_KEYWORDS, C.SOFT_SKILL_KEYWORDS, C.DOMAIN_KEYWORDS)
@@ -92,8 +96,8 @@ def vacancy_rows(pages: DataFrame, url_col: str = "url", html_col: str = "html",
     out = raw.withColumns({
         "vacancy_id": TX.id_from_url(F.col("vacancy_url")), "city": TX.city_from_address(F.col("address"), default_city),
         "search_area_id": F.lit(search_area_id).cast("long"),
-        "employment_type": F.coalesce(F.nullif(TX.employment_type(full), F.lit("")), marked_text(html, "vacancy-view-employment-mode")),
-        "schedule": F.coalesce(F.nullif(F.col("_format.schedule"), F.lit("")), marked_text(html, "vacancy-view-emp-mode", "vacancy-view-schedule")),
+        "employment_type": F.coalesce(F.nullif(TX.employment_type(full), F.lit("")), F.col("_employment")),
+        "schedule": F.coalesce(F.nullif(F.col("_format.schedule"), F.lit("")), F.col("_schedule")),
         "requirements_count": TX.count_bullets(F.col("_sections.requirements")),
         "responsibilities_count": TX.count_bullets(F.col("_sections.duties")),
         "skills_count": F.when(F.col("skills") == "", 0).otherwise(F.size(F.split("skills", ", "))).cast("long"),
@@ -130,6 +134,8 @@ def employer_rows(pages: DataFrame, url_col: str = "url", html_col: str = "html"
     h = F.coalesce(F.col(html_col), F.lit(""))
     src = pages.select(F.col(url_col).alias("employer_url"), h.alias("_html"), F.lower(TX.html_to_text(h)).alias("_text"),
                        F.replace(F.replace(F.replace(h, F.lit("&quot;"), F.lit('"')), F.lit('\\"'), F.lit('"')), F.lit("\\/"), F.lit("/")).alias("_plain"))
+    src = EL.with_elements(src, "_html", EL.by_attribute("data-qa", "employer-reviews-link", "employer-type"))
+    found = F.col("_found")
     plain, html, text = F.col("_plain"), F.col("_html"), F.col("_text")
     number = r"['\"]?([0-9]+(?:[.,][0-9]+)?)"
     reviews = F.regexp_extract(plain, r'(?is)"employerReviews"\s*:\s*(\{(?:[^{}]|\{[^{}]*\})*\})', 1)
@@ -143,14 +149,14 @@ def employer_rows(pages: DataFrame, url_col: str = "url", html_col: str = "html"
         *[_rating(F.get_json_object(linked, p)) for p in ("$.ratingValue", "$.rating", "$.value")],
         _rating(F.regexp_extract(plain, rf'(?is)ratingValue"?\s*[:=]\s*{number}', 1)))
     count = F.coalesce(
-        _digits(marked_text(html, "employer-reviews-link")),
+        _digits(marked_text(found, "employer-reviews-link")),
         *[_digits(F.get_json_object(reviews, p)) for p in ("$.reviewsCount", "$.ratingInfo.reviewsCount", "$.rating.reviewsCount")],
         _digits(F.regexp_extract(text, r"([0-9][0-9 \t\x{a0}\x{202f}]*?)\s+отзыв", 1)),
         *[_digits(F.get_json_object(linked, p)) for p in ("$.ratingCount", "$.reviewCount")],
         _digits(F.regexp_extract(plain, r'"reviewsCount"\s*:\s*([0-9\s\u00a0\u202f]+)', 1)))
     listed = F.regexp_extract(html, r'(?s)"advantages"\s*:\s*(\[[^\]]+\])', 1)
     perks = F.when(listed != "", F.lower(F.coalesce(F.array_join(F.from_json(listed, "array<string>"), " "), listed))).otherwise(text)
-    kind = F.coalesce(F.nullif(F.lower(marked_text(html, "employer-type")), F.lit("")), text)
+    kind = F.coalesce(F.nullif(F.lower(marked_text(found, "employer-type")), F.lit("")), text)
     return src.select(
         "employer_url", rating.alias("employer_rating"), count.alias("employer_reviews_count"),
         *[contains_any(perks, tokens).alias(name) for name, tokens in zip(EMPLOYER_FLAGS, C.EMPLOYER_PERKS)],

@@ -215,9 +215,9 @@ def test_text_blocks(spark):
                                  "Формат работы: удалённо\nГрафик работы: 5/2",
                                  '<span data-qa="bloko-tag__text">SQL</span><span data-qa="bloko-tag__text">sql</span>'
                                  '<span data-qa="bloko-tag__text">Python</span>')], "a string, t string, f string, h string")
-    r = df.select(TX.address_features(F.col("a")).alias("x"), TX.education_block(F.col("t")).alias("e"),
+    r = TX.skill_list(df, "h", "s").select(TX.address_features(F.col("a")).alias("x"), TX.education_block(F.col("t")).alias("e"),
                   TX.language_requirements(F.col("t")).alias("l"), TX.work_format(F.col("f"), F.lit("")).alias("w"),
-                  TX.skill_list(F.col("h")).alias("s"), TX.junior_signals(F.lit("Стажёр, ментор"), F.lit(False)).alias("j")
+                  "s", TX.junior_signals(F.lit("Стажёр, ментор"), F.lit(False)).alias("j")
                   ).first()
     assert tuple(r.x) == (True, "Арбатская", 2, True)
     assert tuple(r.e) == (True, "bachelor_or_higher", True, None)
