@@ -3,9 +3,9 @@ complete key grid (J7).
 
 One ``groupBy`` over the feature table computes counts, flag shares and every
 skill share (partial aggregation: one row per segment per task is shuffled);
-the salary quartiles and the median stack size come from one distributed
-quantile selection over a two-measure long frame.  Both results are one row
-per segment and are joined on the segment keys.
+the salary quartiles and the median stack size are two distributed quantile
+selections, each over its own column and the keys.  All results are one row per
+segment and are joined on the segment keys.
 """
 from __future__ import annotations
 
@@ -73,17 +73,9 @@ def build_market_view(df: DataFrame, measure: str = C.DEFAULT_MEASURE,
     main = main.withColumn("top_skills", top_skills_text([(c, F.col(f"_s_{c}")) for c in skill_cols], top_k)) \
                .drop(*[f"_s_{c}" for c in skill_cols])
 
-    long = t.select(*keys, F.explode(F.array(
-        F.struct(F.lit("salary").alias("_what"), F.col(measure).cast("double").alias("_val")),
-        F.struct(F.lit("stack").alias("_what"), F.col("_stack").alias("_val")))).alias("_e")) \
-        .select(*keys, "_e._what", "_e._val")
-    q = grouped_quantiles(long, "_val", [0.25, 0.5, 0.75], keys + ["_what"], ["q25", "q50", "q75"], quantile_method)
-    q = q.groupBy(*keys).agg(
-        F.max(F.when(F.col("_what") == "salary", F.col("q50"))).alias("salary_median"),
-        F.max(F.when(F.col("_what") == "salary", F.col("q25"))).alias("salary_q25"),
-        F.max(F.when(F.col("_what") == "salary", F.col("q75"))).alias("salary_q75"),
-        F.max(F.when(F.col("_what") == "stack", F.col("q50"))).alias("median_tech_stack_size"))
-    out = join_on_keys(main, q, keys)
+    salary = grouped_quantiles(t, measure, [0.25, 0.5, 0.75], keys, ["salary_q25", "salary_median", "salary_q75"], quantile_method)
+    sizes = grouped_quantiles(t, "_stack", [0.5], keys, ["median_tech_stack_size"], quantile_method)
+    out = join_on_keys(join_on_keys(main, salary, keys), sizes, keys)
     cols = keys + ["vacancy_count", "salary_median", "salary_q25", "salary_q75", "junior_friendly_share",
                    "remote_share", "median_tech_stack_size", "top_skills"]
     out = out.select(*cols)

@@ -7,9 +7,10 @@ Here the exact linear-interpolated quantile (pandas ``quantile``, DuckDB
 
 1. per group, the count and, for each wanted rank, a bracket of two values from
    one bounded sketch (``percentile_approx``, whose rank error is guaranteed);
-2. per group and bracket, the rows below it are counted and those inside it are
-   counted by value; a hot value or a hot group is one row per task, and what
-   crosses the shuffle is the few ten-thousandths of a group inside brackets;
+2. rows inside a bracket are counted by value, rows between two brackets together;
+   each row counts once, whatever the number of quantiles; a hot value or a hot
+   group is one row per task, and what crosses the shuffle is the few
+   ten-thousandths of a group inside brackets;
 3. a running count over those values finds the wanted ranks.
 
 The brackets (one row per group) reach pass 2 as a local table where they are
@@ -21,6 +22,7 @@ rank error.
 """
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -83,21 +85,22 @@ def grouped_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: S
         return F.when((F.col("_n") >= accuracy) & F.lit(inside[0]), narrow) \
             .when(F.col("_n").between(least, accuracy - 1) & F.lit(inside[1]), broad).otherwise(F.col(last))
 
-    def bracket(i: int, p: float):
-        return F.struct(F.lit(i).alias("_qi"), F.when(F.col("_v") >= edge(i, p, -1, "_min"), F.col("_v")).alias("_in"),
-                        (F.col("_v") <= edge(i, p, 1, "_max")).alias("_use"))
-
+    v = F.col("_v")
+    brackets = [(edge(i, p, -1, "_min"), edge(i, p, 1, "_max")) for i, p in enumerate(probs)]
+    inside = reduce(lambda a, b: a | b, [(v >= lo) & (v <= hi) for lo, hi in brackets])
+    passed = sum(((v > hi).cast("int") for _, hi in brackets), F.lit(0))
+    # a row counts once: under its value inside brackets, else with all rows between the same two brackets
     placed = join_on_keys(base, groups, keys, "inner") \
-        .select(*keys, F.explode(F.array(*[bracket(i, p) for i, p in enumerate(probs)])).alias("_b")) \
-        .where("_b._use").groupBy(*keys, F.col("_b._qi").alias("_qi"), F.col("_b._in").alias("_in")).agg(F.count(F.lit(1)).alias("_c"))
-    run = Window.partitionBy(*keys, "_qi").orderBy(F.col("_in").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+        .groupBy(*keys, F.when(inside, v).alias("_in"), F.when(~inside, passed).alias("_gap")) \
+        .agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_at"))
+    run = Window.partitionBy(*keys).orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
     ranked = join_on_keys(placed.withColumn("_upto", F.sum("_c").over(run)), groups.select(*keys, "_n"), keys, "inner")
 
     aggs = [F.max("_n").alias("_n")]
     for i, p in enumerate(probs):
         pos = (F.col("_n") - 1).cast("double") * F.lit(p)
         for name, rank in ((f"_lo{i}", F.floor(pos)), (f"_hi{i}", F.ceil(pos))):
-            aggs.append(F.min(F.when((F.col("_qi") == i) & (F.col("_upto") > rank), F.col("_in"))).alias(name))
+            aggs.append(F.min(F.when(F.col("_upto") > rank, F.col("_at"))).alias(name))
     vals = ranked.groupBy(*keys).agg(*aggs) if keys else ranked.agg(*aggs).where(F.col("_n") > 0)
 
     outs = []
