@@ -202,20 +202,20 @@ def deduplicate(df: DataFrame, id_col: str = "vacancy_id", order_col: str | None
                 tiebreak: Sequence[str] = ()) -> DataFrame:
     """Keep the latest row per id (NULL timestamps lose; all-NULL ids form one group).
 
-    Implemented as a grouped ``max`` of a struct led by the ordering columns, so
-    each map task keeps one candidate row per id (partial aggregation) — a hot
-    id costs one row of state, not a sort of all its copies."""
+    First only the id, the ordering columns and a 128-bit hash of the row are reduced (a
+    grouped ``max`` with partial aggregation: a hot id is one narrow row per task).  Then
+    the winning rows are fetched whole by one semi-join, so whole rows are shuffled at most
+    once and never sorted by an aggregate.  Rows that tie in all ordering columns go by
+    the hash; equal rows count once."""
     if id_col not in df.columns:
         return df
-    others = [c for c in df.columns if c != id_col]
-    if not others:
+    if len(df.columns) == 1:
         return df.dropDuplicates([id_col])
     order = [c for c in ([order_col] if order_col and order_col in df.columns else []) + list(tiebreak)]
-    lead = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]
-    packed = F.struct(*lead, *[F.col(c) for c in others])
-    best = df.groupBy(id_col).agg(F.max(packed).alias("_best"))
-    return best.select(*[F.col(id_col) if c == id_col else F.col(f"_best.{c}").alias(c) for c in df.columns])
-
-
-def removed_rows(before: DataFrame, after: DataFrame) -> int:
-    return before.count() - after.count()
+    whole = [F.col(f"`{c}`") for c in df.columns]
+    marked = df.withColumns({"_h1": F.xxhash64(*whole), "_h2": F.xxhash64(F.lit(1), *whole)})
+    lead = F.struct(*[F.col(f"`{c}`").alias(f"_o{i}") for i, c in enumerate(order)], "_h1", "_h2")
+    best = marked.groupBy(F.col(f"`{id_col}`").alias("_id")).agg(F.max(lead).alias("_best")) \
+        .select("_id", F.col("_best._h1").alias("_b1"), F.col("_best._h2").alias("_b2"))
+    same = marked[f"`{id_col}`"].eqNullSafe(best["_id"]) & (marked["_h1"] == best["_b1"]) & (marked["_h2"] == best["_b2"])
+    return marked.join(best, same, "left_semi").distinct().drop("_h1", "_h2")

@@ -520,11 +520,20 @@ def q_gap_chart(spark, sf):
 def q_stream(spark, sf):
     from ..streaming.intake import current_table, run_intake
     schema = table(spark, sf, "events").schema
-    log = run_intake(spark, f"{sf}/events.parquet", schema, "user_id", "ts", ["event_id"])
-    out = current_table(spark, log, "user_id", "ts", ["event_id"])
+    base = run_intake(spark, f"{sf}/events.parquet", schema, "user_id", "ts", ["event_id"])
+    out = current_table(spark, base)
     return out.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type", "value", "props")
 
 
+@query("events_stream_first_seen")
+def q_first_seen(spark, sf):
+    """Users by their first event within the watermark (which copy comes first in a
+    batch is open, so the row is given by its user)."""
+    from ..streaming.intake import run_first_seen
+    rows, _ = run_first_seen(spark, f"{sf}/events.parquet", table(spark, sf, "events").schema, "user_id", "ts", "30 days")
+    return spark.read.parquet(rows).groupBy("user_id").agg(F.count(F.lit(1)).alias("first_rows"))
+
+
 @query("document_salary_text")
 def q_doc_salary(spark, sf):
     from ..functions.text import parse_salary

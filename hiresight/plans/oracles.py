@@ -535,6 +535,7 @@ SELECT {_humanize_sql('skill_name')} AS label, skill_name, round(market_share *
 FROM {persona_gap_sql(_personas()[2], min_share=0.05, round_share=False)} WHERE gap"""
 
 ORACLES["events_stream_latest"] = ORACLES["events_latest_per_user"]
+ORACLES["events_stream_first_seen"] = "SELECT DISTINCT user_id, 1::BIGINT AS first_rows FROM events"
 
 ORACLES["document_salary_text"] = r"""
 WITH t AS (SELECT doc_id, replace(replace(coalesce(text, ''), chr(160), ' '), chr(8239), ' ') AS c FROM documents),

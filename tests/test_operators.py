@@ -252,19 +252,6 @@ def test_key_grid_has_every_combination(spark):
         {(k, l): 3 * (k + l == "ax") for k in "ab" for l in "xyz"}
 
 
-def test_intake_of_a_folder_goes_on_where_it_stopped(spark, tmp_path):
-    from hiresight.streaming.intake import current_table, run_intake
-    src, out, schema = str(tmp_path / "t.parquet"), str(tmp_path / "out"), "id long, ts timestamp, v string"
-    make = lambda rows: spark.createDataFrame(rows, "id long, ts string, v string").selectExpr("id", "timestamp(ts) ts", "v")
-    make([(1, "2024-01-01", "a"), (2, "2024-01-02", "b")]).write.parquet(src)
-    schema = spark.read.parquet(src).schema
-    log = run_intake(spark, src, schema, "id", "ts", out_dir=out)
-    make([(1, "2024-01-03", "c"), (2, "2024-01-01", "late"), (3, "2024-01-01", "d")]).write.mode("append").parquet(src)
-    assert run_intake(spark, src, schema, "id", "ts", out_dir=out) == log
-    got = {r.id: r.v for r in current_table(spark, log, "id", "ts").collect()}
-    assert got == {1: "c", 2: "b", 3: "d"}
-
-
 VACANCY_PAGE = """<html><body><h1 data-qa="vacancy-title">Junior data analyst</h1>
 <div data-qa="vacancy-salary"><span>до 150 000 ₽</span></div>
 <a class="x" data-qa="vacancy-company-name" href="/employer/9?a=1"><span>Банк Ромашка</span></a>
