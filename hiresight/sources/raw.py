@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
-from ..functions import exprs as X
+from .csvsplit import read_csv
 
 _S, _L, _D, _B, _TS = T.StringType(), T.LongType(), T.DoubleType(), T.BooleanType(), T.TimestampType()
 
@@ -41,10 +41,6 @@ def raw_schema() -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
-def _as_string_schema(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
-
-
 def load_raw(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Read the raw CSV (multi-line quoted descriptions).  Every column is
     read as text and cast with ``try_cast`` / boolean coercion so one bad value
@@ -86,9 +82,5 @@ def save_stage(df: DataFrame, path: str, fmt: str | None = None, partition_by: l
 def read_stage(spark: SparkSession, path: str) -> DataFrame:
     """S3: read a stage table back."""
     if path.lower().endswith(".csv"):
-        return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+        return read_csv(spark, path)
     return spark.read.parquet(path)
-
-
-def string_columns_of(df: DataFrame) -> list[str]:
-    return X.string_columns(df)
