@@ -329,6 +329,13 @@ LANG_HINTS = {"hint_english": [" the ", " and "], "hint_german": [" und ", " der
               "hint_french": [" le ", " la "], "hint_spanish": [" el ", " los "]}
 
 
+# The same operators with word parts of these texts, so that flags and labels vary.
+DOC_FLAGS = {"role_backend": ["thing"], "role_qa": ["ierch", "lich"], "soft_teamwork": ["blees", " und d"], "domain_finance": ["ciónes", "onre"]}
+DOC_GRADES = {"intern": [r"\bthing(s|ing)?\b", r"\beauou\b"], "junior": [r"\bund\s+sch\b", r"\bel\s*ción"], "middle": [r"\best[,.]? le\b"],
+              "senior": [r"\b(und|oder) der\b"], "lead": [r"\bsa\b", r"\bque\b"]}
+DOC_STOPWORDS = ["que el", "que la"]
+
+
 def _doc_dicts():
     from .. import config as C
     return {**C.ROLE_KEYWORDS, **C.SOFT_SKILL_KEYWORDS, **C.DOMAIN_KEYWORDS, **LANG_HINTS}
@@ -336,17 +343,18 @@ def _doc_dicts():
 
 @query("document_keyword_flags")
 def q_doc_flags(spark, sf):
-    from ..functions.text import keyword_flags
-    d = table(spark, sf, "documents")
-    flags = keyword_flags(F.col("text"), _doc_dicts())
-    return d.select("doc_id", *[c.alias(n) for n, c in flags.items()])
+    from ..functions.dictionary import with_flags
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    return with_flags(d, F.col("text"), _doc_dicts(), DOC_FLAGS).drop("text")
 
 
 @query("document_grade_labels")
 def q_doc_grade(spark, sf):
-    from ..functions.text import first_regex_label
-    d = table(spark, sf, "documents")
-    return d.select("doc_id", first_regex_label(F.col("text")).alias("grade"))
+    from ..functions.dictionary import with_label
+    from .. import config as C
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    d = with_label(d, F.col("text"), C.GRADE_KEYWORDS, "grade", C.LEAD_STOPWORDS)
+    return with_label(d, F.col("text"), DOC_GRADES, "language_grade", DOC_STOPWORDS).drop("text")
 
 
 @query("document_text_stats")

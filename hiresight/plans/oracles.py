@@ -301,21 +301,33 @@ def _sq(s: str) -> str:
     return s.replace("'", "''")
 
 
+_DOC_FLAGS = {**_DOC_DICTS}
+for _k, _extra in {"role_backend": ["thing"], "role_qa": ["ierch", "lich"], "soft_teamwork": ["blees", " und d"], "domain_finance": ["ciónes", "onre"]}.items():
+    _DOC_FLAGS[_k] = [*_DOC_FLAGS[_k], *_extra]
 ORACLES["document_keyword_flags"] = "SELECT doc_id, " + ", ".join(
     "(" + " OR ".join(f"contains(lower(coalesce(text, '')), '{_sq(p.lower())}')" for p in pats) + f") AS {flag}"
-    for flag, pats in _DOC_DICTS.items()) + " FROM documents"
+    for flag, pats in _DOC_FLAGS.items()) + " FROM documents"
 
+# RE2's \b knows ASCII letters alone, so word edges are spelled out.
+_EDGE_L, _EDGE_R = r"(?:^|[^\pL\pN_])", r"(?:$|[^\pL\pN_])"
 
-def _grade_sql() -> str:
+
+def _label_sql(labels: dict, stopwords: list, name: str) -> str:
     t = "lower(coalesce(text, ''))"
-    for s in _C.LEAD_STOPWORDS:
+    for s in stopwords:
         t = f"replace({t}, '{s}', '')"
-    cases = " ".join(f"WHEN regexp_matches({t}, '{'|'.join(f'(?:{p})' for p in pats)}') THEN '{g}'"
-                     for g, pats in _C.GRADE_KEYWORDS.items())
-    return f"CASE {cases} ELSE 'unknown' END"
+
+    def spelled(p: str) -> str:
+        left, right = p.startswith(r"\b"), p.endswith(r"\b")
+        return (_EDGE_L if left else "") + "(?:" + p[2 * left: len(p) - 2 * right] + ")" + (_EDGE_R if right else "")
+    cases = " ".join(f"WHEN regexp_matches({t}, '{'|'.join(spelled(p) for p in pats)}') THEN '{g}'" for g, pats in labels.items())
+    return f"CASE {cases} ELSE 'unknown' END AS {name}"
 
 
-ORACLES["document_grade_labels"] = f"SELECT doc_id, {_grade_sql()} AS grade FROM documents"
+_DOC_GRADES = {"intern": [r"\bthing(s|ing)?\b", r"\beauou\b"], "junior": [r"\bund\s+sch\b", r"\bel\s*ción"], "middle": [r"\best[,.]? le\b"],
+               "senior": [r"\b(und|oder) der\b"], "lead": [r"\bsa\b", r"\bque\b"]}
+ORACLES["document_grade_labels"] = "SELECT doc_id, " + _label_sql(_C.GRADE_KEYWORDS, _C.LEAD_STOPWORDS, "grade") + ", " + \
+    _label_sql(_DOC_GRADES, ["que el", "que la"], "language_grade") + " FROM documents"
 ORACLES["document_text_stats"] = r"""
 SELECT doc_id, CAST(length(coalesce(text, '')) AS BIGINT) AS description_len_chars,
   CAST(CASE WHEN trim(coalesce(text, '')) = '' THEN 0

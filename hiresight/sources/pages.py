@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import elements as EL
 from ..functions import text as TX
+from ..functions.dictionary import with_flags, with_label
 from ..functions.exprs import contains_any
 
 
@@ -79,10 +80,10 @@ def vacancy_rows(pages: DataFrame, url_col: str = "url", html_col: str = "html",
         "_format": TX.work_format(full, F.col("description")),
         "published_at_raw": F.coalesce(F.nullif(TX.publication_phrase(full), F.lit("")), F.col("_posted"))})
     text = F.col("_combined")
-    data = TX.keyword_flags(F.col("_skill_text"), C.DATA_SKILL_KEYWORDS)
-    flags = {k: v for m in (C.ROLE_KEYWORDS, C.TECH_KEYWORDS, C.BENEFIT_KEYWORDS, C.SOFT_SKILL_KEYWORDS, C.DOMAIN_KEYWORDS)
-             for k, v in TX.keyword_flags(text, m).items()}
-    raw = raw.withColumns({**flags, **data})
+    flagged = [C.ROLE_KEYWORDS, C.TECH_KEYWORDS, C.BENEFIT_KEYWORDS, C.SOFT_SKILL_KEYWORDS, C.DOMAIN_KEYWORDS]
+    raw = with_flags(with_flags(raw, text, *flagged), F.col("_skill_text"), C.DATA_SKILL_KEYWORDS)
+    raw = with_label(raw, text, C.GRADE_KEYWORDS, "grade", C.LEAD_STOPWORDS)
+    flags, data = [k for m in flagged for k in m], list(C.DATA_SKILL_KEYWORDS)
     tech, skill = {k: F.col(k) for k in C.TECH_KEYWORDS}, {k: F.col(k) for k in C.DATA_SKILL_KEYWORDS}
     raw = raw.withColumns({
         **TX.data_skill_counts(skill, tech),
@@ -101,7 +102,7 @@ def vacancy_rows(pages: DataFrame, url_col: str = "url", html_col: str = "html",
         "requirements_count": TX.count_bullets(F.col("_sections.requirements")),
         "responsibilities_count": TX.count_bullets(F.col("_sections.duties")),
         "skills_count": F.when(F.col("skills") == "", 0).otherwise(F.size(F.split("skills", ", "))).cast("long"),
-        "vacancy_code": TX.vacancy_code(full), "grade": TX.first_regex_label(text),
+        "vacancy_code": TX.vacancy_code(full),
         "is_remote": F.col("_format.is_remote") | F.col("benefit_remote_compensation"),
         "skill_airflow": F.col("skill_airflow") | F.col("has_airflow")})
     kept = ["vacancy_url", "scraped_at_utc", "title", "company", "employer_url", "address", "experience", "skills", "description",
