@@ -279,6 +279,16 @@ EMPLOYER_PERKS = [["удал", "remote"], ["гибк", "flexible"], ["дмс", "
 EMPLOYER_AGENCY_TOKENS = ["кадров", "агентств"]
 DEFAULT_CITY = "Москва"
 
+# Ready-made personas: name, skills and target segment.
+PERSONA_PRESETS = [
+    {"name": "data_student", "description": "student of data, first junior job",
+     "current_skills": ["skill_sql", "skill_excel", "has_python"], "target_role": "analyst", "target_grade": "junior"},
+    {"name": "switcher_bi", "description": "from a neighbouring field to BI",
+     "current_skills": ["skill_excel", "skill_powerbi"], "target_role": "product", "target_grade": "junior"},
+    {"name": "mid_data_analyst", "description": "middle analyst, wants a wider stack",
+     "current_skills": ["skill_sql", "skill_excel", "skill_powerbi"], "target_role": "analyst", "target_grade": "middle"},
+]
+
 # Experience buckets (right-closed) and stack-size buckets (left-closed).
 EXPERIENCE_BUCKET_EDGES = [-1, 1, 3, 6, 100]
 EXPERIENCE_BUCKET_LABELS = ["0-1", "1-3", "3-6", "6+"]

@@ -1,23 +1,26 @@
 """Personas: target segment with ordered relaxation, skill demand, skill gap.
 
 Relaxation never runs one count per step: a single aggregate computes
-``count_if`` of every relaxation level (for every persona at once in the batch
-form); the level is picked on the driver from that one small row and the
-segment stays a lazy filter, so the filter reaches the Parquet scan.  Skill
-shares of a segment are one wide aggregate unpivoted on the one-row result.
+``count_if`` of every relaxation level; the level is picked on the driver from that
+one small row and the segment stays a lazy filter, so the filter reaches the Parquet
+scan.  Skill shares of a segment are one wide aggregate unpivoted on the one-row
+result.  The batch form counts the rows once by the combinations of all filter columns
+and joins the personas' levels with these counts.
 """
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 from functools import reduce
+from itertools import product
 from typing import Any, Dict, List, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions import exprs as X
-from .quantiles import grouped_quantiles, join_on_keys
+from .quantiles import grouped_quantiles, join_on_keys, localized
 from .segments import hard_skill_columns
 
 MIN_MARKET_N = 80
@@ -201,34 +204,89 @@ def analyze_persona(df: DataFrame, persona: Persona, top_k: int = 10, measure: s
             "warnings": res.warnings, "grade_column_used": res.grade_column_used}
 
 
+def _levels_table(df: DataFrame, personas: Sequence[Persona]) -> tuple[DataFrame, list[tuple[str, ...]], list[str], dict]:
+    """The personas' relaxing levels as rows (persona, level, mask, a text column for each
+    filter column), the masks (sets of columns filtered together), all filter columns, and
+    the relaxing order of each persona.  A filter on several values is a row for each."""
+    ladders = {p.name: relaxation_levels(df, p) for p in personas}
+    if len(ladders) != len(personas):
+        raise ValueError("personas need different names")
+    cols = list(dict.fromkeys(c for levels, *_ in ladders.values() for lv in levels for c, _ in lv))
+    masks = list(dict.fromkeys(tuple(c for c in cols if c in dict(lv)) for levels, *_ in ladders.values() for lv in levels))
+    rows = []
+    for name, (levels, *_rest) in ladders.items():
+        for i, lv in enumerate(levels):
+            options = {c: list(dict.fromkeys(v)) if isinstance(v, (list, tuple, set)) else [v] for c, v in lv}
+            text = {c: [str(x).lower() if isinstance(x, bool) else str(x) for x in xs if x is not None] for c, xs in options.items()}
+            mask = tuple(c for c in cols if c in text)
+            for values in product(*(text[c] for c in mask)):
+                row = dict(zip(mask, values))
+                rows.append((name, i, masks.index(mask), *(row.get(c) for c in cols)))
+    schema = T.StructType([T.StructField("persona", T.StringType()), T.StructField("level", T.IntegerType()), T.StructField("mask", T.IntegerType()),
+                           *(T.StructField(f"_f{j}", T.StringType()) for j in range(len(cols)))])
+    table = df.sparkSession.createDataFrame(rows, schema)
+    # as the data's type prints them: 5 of a double column is 5.0; what doesn't fit matches nothing
+    typed = {f"_f{j}": F.col(f"_f{j}").try_cast(df.schema[c].dataType).cast("string") for j, c in enumerate(cols)}
+    return table.withColumns(typed) if typed else table, masks, cols, {name: relaxed for name, (_, relaxed, *_r) in ladders.items()}
+
+
+def batch_segments(df: DataFrame, personas: Sequence[Persona], skill_cols: Sequence[str] = (), min_market_n: int = MIN_MARKET_N) -> DataFrame:
+    """Each persona's chosen level: persona, level, relaxed (names, in order),
+    market_n, and a count ``_s{i}`` of rows with each skill.
+
+    The rows are read once: they are counted by the combinations of the filter columns.
+    These few counts are rolled up for each set of columns that some level filters, and the
+    levels of all personas are one table joined with them on equal values, so thousands of
+    personas cost one pass over the data."""
+    levels, masks, cols, relaxed = _levels_table(df, personas)
+    n = range(len(skill_cols))
+    combos = df.groupBy(*[F.col(f"`{c}`").cast("string").alias(f"_f{j}") for j, c in enumerate(cols)]) \
+        .agg(F.count(F.lit(1)).alias("_n"), *[F.sum(X.flag_int(c)).alias(f"_s{i}") for i, c in enumerate(skill_cols)])
+    combos = localized(combos)
+    names = [f"_f{j}" for j in range(len(cols))]
+    rolled = None
+    for m, mask in enumerate(masks):
+        own = [f"_f{cols.index(c)}" for c in mask]
+        part = combos.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in own], F.lit(True))) \
+            .groupBy(*own).agg(F.sum("_n").alias("_n"), *[F.sum(f"_s{i}").alias(f"_s{i}") for i in n])
+        part = part.select(F.lit(m).alias("mask"), *[F.col(c) if c in own else F.lit(None).cast("string").alias(c) for c in names], "_n", *[f"_s{i}" for i in n])
+        rolled = part if rolled is None else rolled.unionByName(part)
+    key = lambda t: F.concat_ws("\u0001", *[F.coalesce(F.concat(F.lit("="), t[c]), F.lit("")) for c in names], F.lit(""))
+    sized = levels.select("persona", "level", "mask", key(levels).alias("_key")).join(
+        rolled.select("mask", key(rolled).alias("_key"), "_n", *[f"_s{i}" for i in n]), ["mask", "_key"], "left") \
+        .groupBy("persona", "level").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("market_n"), *[F.coalesce(F.sum(f"_s{i}"), F.lit(0)).alias(f"_s{i}") for i in n])
+    total = combos.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_total"))
+    every = Window.partitionBy("persona")
+    enough = F.min(F.when(F.col("market_n") >= min_market_n, F.col("level"))).over(every)
+    first = F.max(F.when(F.col("level") == 0, F.col("market_n"))).over(every)
+    thin = join_on_keys(sized, total, []).withColumn("_pick", F.when(
+        F.lit(not min_market_n) | (F.col("_total") < min_market_n) | (first >= min_market_n), 0).otherwise(F.coalesce(enough, F.max("level").over(every))))
+    order = df.sparkSession.createDataFrame([(k, v) for k, v in relaxed.items()], "persona string, _order array<string>")
+    return thin.where(F.col("level") == F.col("_pick")).join(order, "persona") \
+        .select("persona", "level", F.slice("_order", F.lit(1), F.col("level")).alias("relaxed"), "market_n", *[f"_s{i}" for i in n])
+
+
 def batch_skill_gaps(df: DataFrame, personas: Sequence[Persona], min_share: float = 0.1, top_n: int | None = 20,
                      min_market_n: int = MIN_MARKET_N, skill_cols: Sequence[str] | None = None) -> DataFrame:
-    """Gap tables of many personas in two passes over the data.
-
-    Pass 1: one aggregate with the level counts of every persona.  Pass 2: each
-    row is tagged with the personas whose chosen segment it falls in
-    (``explode`` of a bounded array) and one grouped aggregate computes every
-    persona's skill shares (partial aggregation keeps a big segment cheap)."""
+    """Gap tables of many personas in one pass over the data (``batch_segments``): persona,
+    skill_name, market_share, persona_has, gap; personas without rows in their segment
+    have none."""
     cols = list(skill_cols) if skill_cols is not None else persona_skill_columns(df)
-    plans = [relaxation_levels(df, p) for p in personas]
-    aggs = [F.count(F.lit(1)).alias("total")]
-    for j, (levels, *_rest) in enumerate(plans):
-        aggs += [F.count_if(filter_condition(lv)).alias(f"p{j}_n{i}") for i, lv in enumerate(levels)]
-    row = df.agg(*aggs).first()
-    chosen = []
-    for j, (levels, *_rest) in enumerate(plans):
-        counts = [int(row[f"p{j}_n{i}"]) for i in range(len(levels))]
-        chosen.append(filter_condition(levels[choose_level(int(row["total"]), counts, min_market_n)]))
-    tags = F.filter(F.array(*[F.when(c, F.lit(p.name)) for c, p in zip(chosen, personas)]), lambda x: x.isNotNull())
-    tagged = df.select(F.explode(tags).alias("persona"), *cols)
-    wide = tagged.groupBy("persona").agg(*[X.flag_share(c).alias(c) for c in cols])
-    long = wide.unpivot(["persona"], cols, "skill_name", "market_share").where(F.col("market_share") >= min_share)
-    skills = F.create_map(*[x for p in personas for x in (F.lit(p.name), F.array(*[F.lit(s) for s in p.current_skills])
-                                                           if p.current_skills else F.array().cast("array<string>"))])
-    out = long.withColumn("persona_has", F.array_contains(skills[F.col("persona")], F.col("skill_name"))) \
+    schema = "persona string, skill_name string, market_share double, persona_has boolean, gap boolean"
+    if not cols or not personas:
+        return df.sparkSession.createDataFrame([], schema)
+    wide = batch_segments(df, personas, cols, min_market_n).where("market_n > 0")
+    each = F.inline(F.array(*[F.struct(F.lit(c).alias("skill_name"), (F.col(f"_s{i}") / F.col("market_n")).alias("market_share")) for i, c in enumerate(cols)]))
+    long = wide.select("persona", each).where(F.col("market_share") >= min_share)
+    own = df.sparkSession.createDataFrame([(p.name, s) for p in personas for s in dict.fromkeys(p.current_skills)], "persona string, skill_name string")
+    out = long.join(own.withColumn("persona_has", F.lit(True)), ["persona", "skill_name"], "left") \
+              .withColumn("persona_has", F.coalesce("persona_has", F.lit(False))) \
               .withColumn("gap", ~F.col("persona_has") & (F.col("market_share") >= min_share))
     if top_n is not None:
-        from pyspark.sql import Window
         w = Window.partitionBy("persona").orderBy(F.col("gap").desc(), F.col("market_share").desc(), F.col("skill_name"))
         out = out.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= top_n).drop("_rk")
     return out
+
+
+#: The ready-made personas.
+PRESETS = [Persona(**p) for p in C.PERSONA_PRESETS]

@@ -419,6 +419,34 @@ def q_persona_batch(spark, sf):
     return batch_skill_gaps(V(spark, sf), binding_personas(), min_share=0.1, top_n=20)
 
 
+def preset_market(spark, sf):
+    """The feature stage with the names that the presets use."""
+    role = F.when(F.col("primary_role") == "gear", "analyst").when(F.col("primary_role") == "bolt", "product").otherwise(F.col("primary_role"))
+    names = {"skill_red": "skill_sql", "skill_blue": "skill_excel", "skill_small": "skill_powerbi", "has_tax": "has_python"}
+    return V(spark, sf).withColumn("primary_role", role).withColumnsRenamed(names)
+
+
+def narrow_personas():
+    """Personas that must give up two and four of their filters, one of several values."""
+    from ..operators.personas import Persona
+    return [Persona("narrow", "", ["skill_sql"], "analyst", "lead", "ASIA", "hybrid", {"company": "Brand#13", "vacancy_id": 7}),
+            Persona("absent", "", [], "analyst", "architect", "ASIA", "field", {}),
+            Persona("either", "", ["has_python"], "product", "junior", None, None, {"city_tier": ["ASIA", "EUROPE"], "is_hybrid": True, "no_such": 1})]
+
+
+@query("persona_presets")
+def q_persona_presets(spark, sf):
+    from ..operators.personas import PRESETS, batch_skill_gaps
+    return batch_skill_gaps(preset_market(spark, sf), PRESETS, min_share=0.1, top_n=20)
+
+
+@query("persona_levels")
+def q_persona_levels(spark, sf):
+    from ..operators.personas import PRESETS, batch_segments
+    out = batch_segments(preset_market(spark, sf), [*PRESETS, *narrow_personas()])
+    return out.withColumn("relaxed", F.array_join("relaxed", ","))
+
+
 # ---------------------------------------------------------------- quality --
 @query("orders_missing_share")
 def q_missing(spark, sf):

@@ -369,15 +369,24 @@ FROM pages LEFT JOIN x USING (page_id) GROUP BY page_id"""
 
 
 # --------------------------------------------------------------- personas --
-def _persona_sql_parts(persona, columns, thr=80):
-    from ..operators.personas import levels_for_columns
-    levels, _, _, _ = levels_for_columns(columns, persona)
-
-    def cond(lv):
-        if not lv:
-            return "true"
-        return "coalesce(" + " AND ".join(f"{c} = '{_sq(str(v))}'" for c, v in lv) + ", false)"
-    conds = [cond(lv) for lv in levels]
+# Each persona's filters in the order in which they are given up: first the constraints, then work mode,
+# city tier, grade (the final one) and role.
+_LADDERS = {
+    "gear_junior": ["company = 'Brand#1'", "work_mode = 'remote'", "city_tier = 'EUROPE'", "grade_final = 'junior'", "primary_role = 'gear'"],
+    "bolt_switcher": ["grade_final = 'senior'", "primary_role = 'bolt'"],
+    "ring_mid": ["work_mode = 'hybrid'", "grade_final = 'middle'", "primary_role = 'ring'"],
+    "data_student": ["grade_final = 'junior'", "primary_role = 'gear'"],
+    "switcher_bi": ["grade_final = 'junior'", "primary_role = 'bolt'"],
+    "mid_data_analyst": ["grade_final = 'middle'", "primary_role = 'gear'"],
+    "narrow": ["company = 'Brand#13'", "vacancy_id = 7", "work_mode = 'hybrid'", "city_tier = 'ASIA'", "grade_final = 'lead'", "primary_role = 'gear'"],
+    "absent": ["work_mode = 'field'", "city_tier = 'ASIA'", "grade_final = 'architect'", "primary_role = 'gear'"],
+    "either": ["city_tier IN ('ASIA', 'EUROPE')", "is_hybrid", "grade_final = 'junior'", "primary_role = 'bolt'"],
+}
+
+
+def _persona_sql_parts(persona, thr=80):
+    filters = _LADDERS[persona if isinstance(persona, str) else persona.name]
+    conds = ["coalesce(" + " AND ".join(filters[i:]) + ", false)" if filters[i:] else "true" for i in range(len(filters) + 1)]
     counts = ", ".join(f"count(*) FILTER (WHERE {c}) AS n{i}" for i, c in enumerate(conds))
     pick = ("CASE WHEN total < {t} OR n0 >= {t} THEN 0 ".format(t=thr)
             + " ".join(f"WHEN n{i} >= {thr} THEN {i}" for i in range(1, len(conds)))
@@ -386,11 +395,6 @@ def _persona_sql_parts(persona, columns, thr=80):
     return counts, pick, seg
 
 
-def _v_columns():
-    """Columns of the feature view that persona filters may name."""
-    return ["vacancy_id", "primary_role", "grade", "grade_final", "city_tier", "work_mode", "company"]
-
-
 def _personas():
     from .catalog import binding_personas
     return binding_personas()
@@ -400,7 +404,7 @@ PERSONA_SKILLS = SKILLS
 
 
 def persona_gap_sql(persona, min_share=0.1, top_n=20, tag=False, round_share=True):
-    counts, pick, seg = _persona_sql_parts(persona, _v_columns())
+    counts, pick, seg = _persona_sql_parts(persona)
     has = ", ".join(f"'{s}'" for s in persona.current_skills) or "NULL"
     pname = f"'{persona.name}' AS persona, " if tag else ""
     return f"""(WITH lv AS (SELECT count(*) AS total, {counts} FROM v),
@@ -415,7 +419,7 @@ ORDER BY gap DESC, share DESC, skill LIMIT {top_n})"""
 
 
 ORACLES["persona_skill_gap"] = V + "SELECT * FROM " + persona_gap_sql(_personas()[0])
-_p0_counts, _p0_pick, _p0_seg = _persona_sql_parts(_personas()[0], _v_columns())
+_p0_counts, _p0_pick, _p0_seg = _persona_sql_parts("gear_junior")
 ORACLES["persona_market_summary"] = V + f"""
 , lv AS (SELECT count(*) AS total, {_p0_counts} FROM v), pick AS (SELECT {_p0_pick} AS lvl FROM lv),
 seg AS (SELECT v.* FROM v, pick WHERE {_p0_seg})
@@ -425,6 +429,37 @@ SELECT count(*) AS vacancy_count, {share('is_remote')} AS remote_share, {share('
 ORACLES["persona_batch_gaps"] = V + " UNION ALL ".join(
     "SELECT * FROM " + persona_gap_sql(p, tag=True) for p in _personas())
 
+_PRESET_SKILLS = {"skill_red": "skill_sql", "skill_blue": "skill_excel", "skill_small": "skill_powerbi", "has_tax": "has_python"}
+
+
+def _preset_sql(name: str, own: list[str]) -> str:
+    counts, pick, seg = _persona_sql_parts(name)
+    skills = [(c, _PRESET_SKILLS.get(c, c)) for c in PERSONA_SKILLS]
+    has = ", ".join(f"'{s}'" for s in own)
+    return f"""SELECT * FROM (WITH lv AS (SELECT count(*) AS total, {counts} FROM v), pick AS (SELECT {pick} AS lvl FROM lv),
+seg AS (SELECT v.* FROM v, pick WHERE {seg}),
+u AS ({' UNION ALL '.join(f"SELECT '{new}' AS skill_name, avg(CAST(coalesce({old}, false) AS INTEGER)) AS share FROM seg" for old, new in skills)})
+SELECT '{name}' AS persona, skill_name, round(share, 6) AS market_share, skill_name IN ({has}) AS persona_has, NOT skill_name IN ({has}) AS gap
+FROM u WHERE share >= 0.1 ORDER BY gap DESC, share DESC, skill_name LIMIT 20)"""
+
+
+ORACLES["persona_presets"] = V + " UNION ALL ".join([
+    _preset_sql("data_student", ["skill_sql", "skill_excel", "has_python"]), _preset_sql("switcher_bi", ["skill_excel", "skill_powerbi"]),
+    _preset_sql("mid_data_analyst", ["skill_sql", "skill_excel", "skill_powerbi"])])
+
+
+def _level_sql(name: str) -> str:
+    counts, pick, _ = _persona_sql_parts(name)
+    filters = _LADDERS[name]
+    names = "[" + ", ".join("'" + f.split(" ")[0] + "'" for f in filters) + "]"
+    n = "CASE lvl " + " ".join(f"WHEN {i} THEN n{i}" for i in range(len(filters) + 1)) + " END"
+    return f"""SELECT '{name}' AS persona, lvl::INTEGER AS level, array_to_string({names}[:lvl], ',') AS relaxed, {n} AS market_n
+FROM (SELECT *, {pick} AS lvl FROM (SELECT count(*) AS total, {counts} FROM v) AS a) AS b"""
+
+
+ORACLES["persona_levels"] = V + " UNION ALL ".join(_level_sql(n) for n in (
+    "data_student", "switcher_bi", "mid_data_analyst", "narrow", "absent", "either"))
+
 # ---------------------------------------------------------------- quality --
 ORDERS_RAW = """WITH r AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
    CASE WHEN o_orderpriority = '1-URGENT' THEN 'Yes' WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'n/a'
