@@ -4,6 +4,7 @@ aggregate (one output row) unpivoted into a small long table.
 """
 from __future__ import annotations
 
+from functools import reduce
 from typing import Iterable, Sequence
 
 from pyspark.sql import DataFrame
@@ -78,18 +79,36 @@ def unknown_share(c: str) -> F.Column:
     return F.avg((F.lower(F.coalesce(F.col(c), F.lit("unknown"))) == "unknown").cast("double"))
 
 
-def stage_summary(name: str, df: DataFrame, measure: str = "salary_mid", currency_col: str = "currency",
-                  remote_col: str = "is_remote", unknown_cols: Sequence[str] = ("grade",)) -> DataFrame:
-    """One row per stage: rows, columns, measure coverage, non-RUB share,
-    remote share (NULL as false), mean unknown share of the listed columns."""
-    unk = [unknown_share(c) for c in unknown_cols if c in df.columns]
+SALARY_COLUMNS = ("salary_mid_rub_capped", "salary_mid", "salary_from", "salary_to")
+
+
+def stage_summary(name: str, df: DataFrame, weight_col: str | None = None, salary_cols: Sequence[str] = SALARY_COLUMNS,
+                  currency_col: str = "currency", mode_col: str = "work_mode") -> DataFrame:
+    """One row per stage: rows, columns, share of rows with any salary, share not in
+    roubles (no currency counts as not), share of remote or hybrid work, share of unknown
+    work mode.  Remote work is told by the work mode, else by ``is_remote``, else by the
+    mean of ``remote_share``, weighted by ``weight_col`` where that is given and positive.
+    What a table has no columns for is NULL."""
+    null = F.lit(None).cast("double")
+    salary = [F.col(c).isNotNull() for c in salary_cols if c in df.columns]
+    mode = F.lower(F.coalesce(F.col(mode_col), F.lit("unknown"))) if mode_col in df.columns else None
+    if mode is not None:
+        remote = F.avg(mode.isin("remote", "hybrid").cast("double"))
+    elif "is_remote" in df.columns:
+        remote = X.flag_share("is_remote")
+    elif "remote_share" in df.columns:
+        remote = F.avg("remote_share")
+        if weight_col and weight_col in df.columns:
+            weight = F.col(weight_col).cast("double")
+            total = F.sum(weight)
+            remote = F.when(total > 0, F.try_divide(F.sum(F.col("remote_share") * weight), total)).otherwise(remote)
+    else:
+        remote = null
     return df.agg(
         F.lit(name).alias("stage"), F.count(F.lit(1)).alias("rows"), F.lit(len(df.columns)).alias("columns"),
-        (F.avg(F.col(measure).isNotNull().cast("double")) if measure in df.columns else F.lit(None).cast("double"))
-        .alias("salary_share"),
-        non_currency_share(df, currency_col).alias("non_rub_share"),
-        (X.flag_share(remote_col) if remote_col in df.columns else F.lit(None).cast("double")).alias("remote_share"),
-        (sum(unk[1:], unk[0]) / len(unk) if unk else F.lit(None).cast("double")).alias("unknown_share"))
+        (F.avg(reduce(lambda a, b: a | b, salary).cast("double")) if salary else null).alias("salary_share"),
+        (F.avg((F.coalesce(F.col(currency_col), F.lit("")) != "RUB").cast("double")) if currency_col in df.columns else null).alias("non_rub_share"),
+        remote.alias("remote_share"), (F.avg((mode == "unknown").cast("double")) if mode is not None else null).alias("unknown_share"))
 
 
 def stage_table(stages: Sequence[tuple[str, DataFrame]], **kw) -> DataFrame:

@@ -481,9 +481,43 @@ def q_describe(spark, sf):
 @query("stage_summary")
 def q_stage(spark, sf):
     from ..operators.quality import stage_table
+    from ..operators.market import build_market_view
     from .binding import vacancy_raw
-    return stage_table([("raw", vacancy_raw(spark, sf)), ("features", V(spark, sf))],
-                       unknown_cols=["grade", "work_mode"])
+    v = V(spark, sf)
+    return stage_table([("raw", vacancy_raw(spark, sf)), ("features", v), ("market", build_market_view(v, M))], weight_col="vacancy_count")
+
+
+@query("salary_by_frequent_domain")
+def q_frequent_domain(spark, sf):
+    v = V(spark, sf)
+    return S.describe_by_domain(v, M, S.frequency_order(v, "domain_"))
+
+
+@query("salary_by_english_level")
+def q_english_level(spark, sf):
+    return S.salary_by_english_level(orders_requirements(spark, sf), "o_totalprice")
+
+
+@query("english_stats_filled")
+def q_english_filled(spark, sf):
+    from .stages import requirement_stats_filled
+    o = orders_requirements(spark, sf).withColumn("lang_english_required", F.when(F.col("o_orderkey") % 3 > 0, F.col("lang_english_required")))
+    return requirement_stats_filled(o, ["lang_english_required", "absent"], "english", measure="o_totalprice")
+
+
+@query("soft_employer_heatmap")
+def q_soft_heatmap(spark, sf):
+    from ..operators.charts import employer_flag_heatmap
+    return employer_flag_heatmap(V(spark, sf), "company", "soft_", 10, 2)
+
+
+@query("salary_cells")
+def q_cells(spark, sf):
+    """The medians of given (grade, city tier) cells, some of which don't exist."""
+    n = table(spark, sf, "nation").join(F.broadcast(table(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    grade = F.get(F.array(*[F.lit(g) for g in ("intern", "senior", None, "architect", "lead")]), (F.col("n_nationkey") % 5).cast("int"))
+    requests = n.select("n_nationkey", grade.alias("grade"), F.when(F.col("n_nationkey") % 7 > 0, F.col("r_name")).otherwise("NOWHERE").alias("city_tier"))
+    return S.lookup_cells(S.two_key_quartiles(V(spark, sf), "grade", "city_tier", M), requests, ["grade", "city_tier"], ["count", "median"])
 
 
 @query("clean_validation")

@@ -505,19 +505,18 @@ SELECT '{c}' AS "column", count({c}) AS count, {r(f'avg({c})')} AS mean, {r(f'st
                                                   for c in ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
 
 
-def _stage_sql(name: str, src: str, ncols: str) -> str:
-    unk = " + ".join(f"avg(CAST(lower(coalesce({c}, 'unknown')) = 'unknown' AS DOUBLE))" for c in ["grade", "work_mode"])
-    unk_raw = "avg(CAST(lower(coalesce(grade, 'unknown')) = 'unknown' AS DOUBLE))"
-    return f"""SELECT '{name}' AS stage, count(*) AS rows, {ncols} AS columns,
-  {r('avg(CAST(salary_mid IS NOT NULL AS DOUBLE))')} AS salary_share,
-  {r("avg(CAST(coalesce(currency, '') <> 'RUB' AS DOUBLE))")} AS non_rub_share,
-  {share('is_remote')} AS remote_share,
-  {r(f'({unk}) / 2') if name == 'features' else r(unk_raw)} AS unknown_share FROM {src}"""
-
-
-ORACLES["stage_summary"] = V + ", raw0 AS (" + __import__("hiresight.plans.binding", fromlist=["x"]).VACANCY_RAW_SQL + ")\n" + \
-    _stage_sql("raw", "raw0", "(SELECT count(*) FROM (DESCRIBE raw0))") + " UNION ALL " + \
-    _stage_sql("features", "v", "(SELECT count(*) FROM (DESCRIBE v))")
+_MARKET_KEYS = "primary_role, grade, city_tier, domain"
+ORACLES["stage_summary"] = V + ", raw0 AS (" + __import__("hiresight.plans.binding", fromlist=["x"]).VACANCY_RAW_SQL + f"""),
+m AS (SELECT {_MARKET_KEYS}, count({M}) AS vacancy_count, avg(CAST(coalesce(is_remote, false) AS DOUBLE)) AS remote_share FROM v
+      WHERE primary_role IS NOT NULL AND grade IS NOT NULL AND city_tier IS NOT NULL AND domain IS NOT NULL GROUP BY ALL)
+SELECT 'raw' AS stage, count(*) AS rows, (SELECT count(*) FROM (DESCRIBE raw0))::INTEGER AS columns, {r('avg(CAST(salary_mid IS NOT NULL AS DOUBLE))')} AS salary_share,
+  {r("avg(CAST(currency IS DISTINCT FROM 'RUB' AS DOUBLE))")} AS non_rub_share, {share('is_remote')} AS remote_share, NULL::DOUBLE AS unknown_share FROM raw0
+UNION ALL
+SELECT 'features', count(*), (SELECT count(*) FROM (DESCRIBE v))::INTEGER, {r(f'avg(CAST({M} IS NOT NULL OR salary_mid IS NOT NULL AS DOUBLE))')},
+  {r("avg(CAST(currency IS DISTINCT FROM 'RUB' AS DOUBLE))")}, {r("avg(CAST(work_mode IN ('remote', 'hybrid') AS DOUBLE))")},
+  {r("avg(CAST(work_mode = 'unknown' AS DOUBLE))")} FROM v
+UNION ALL
+SELECT 'market', count(*), 12, NULL, NULL, {r('sum(remote_share * vacancy_count) / sum(vacancy_count)')}, NULL FROM m"""
 ORACLES["clean_validation"] = V + """
 SELECT count(*) AS rows, CAST(sum(""" + " + ".join(
     f"CAST(coalesce(lower(trim({c})) IN ('unknown', 'не указано', 'неизвестно', '', 'n/a', 'nan', '-', '—'), false) AS BIGINT)"
@@ -624,3 +623,26 @@ SELECT doc_id, (q::BIGINT + e::BIGINT + (b OR ta)::BIGINT + (py OR r)::BIGINT) A
    + (pt AND contains(x, 'pytorch'))::BIGINT + (tf AND contains(x, 'tensorflow'))::BIGINT + (sp AND contains(x, 'spark'))::BIGINT
    + (ka AND contains(x, 'kafka'))::BIGINT) AS hits
 FROM f"""
+
+# ------------------------------------------------- frequencies, cells, fills --
+_BY_COUNT = {"color": ["red", "blue"], "temperature": ["hot", "cold"], "size": ["small", "large"], "age": ["old", "new"]}
+ORACLES["salary_by_frequent_domain"] = V + """
+, f AS (SELECT name, row_number() OVER (ORDER BY n DESC, name) AS place FROM (""" + " UNION ALL ".join(
+    f"SELECT '{d}' AS name, count(*) FILTER (WHERE domain_{d}) AS n FROM v" for d in _BY_COUNT) + """)),
+w AS (SELECT v.* EXCLUDE (domain), coalesce((SELECT arg_min(name, place) FROM f WHERE CASE name """ + " ".join(
+    f"WHEN '{d}' THEN v.domain_{d}" for d in _BY_COUNT) + """ END), 'unknown') AS dom FROM v)
+""" + requirement_sql("w", "dom", "domain", M)
+ORACLES["salary_by_english_level"] = ORDERS_REQ + summary_sql("o", ["lang_english_level"], "o_totalprice", ["n", "median", "mean", "std"])
+ORACLES["english_stats_filled"] = ORDERS_REQ + """, filled AS (SELECT * REPLACE (coalesce(CASE WHEN o_orderkey % 3 > 0 THEN lang_english_required END, false) AS lang_english_required) FROM o)
+""" + requirement_sql("filled", _ENG_MAP, "english_level", "o_totalprice")
+ORACLES["soft_employer_heatmap"] = V + f"""
+, w AS (SELECT company, {', '.join(f"avg(CAST(coalesce({c}, false) AS INTEGER)) AS {c}" for c in SOFT)}
+        FROM v WHERE company IN {top_sql('v', 'company', 10)} GROUP BY 1),
+u AS (SELECT company, flag, share FROM w UNPIVOT INCLUDE NULLS (share FOR flag IN ({', '.join(SOFT)}))),
+rk AS (SELECT flag FROM u GROUP BY flag ORDER BY avg(share) DESC, flag LIMIT 2)
+SELECT company, flag, round(share, 6) AS share FROM u WHERE flag IN (SELECT flag FROM rk)"""
+ORACLES["salary_cells"] = V + f"""
+, q AS (SELECT n_nationkey, ['intern', 'senior', NULL, 'architect', 'lead'][n_nationkey % 5 + 1] AS grade,
+          CASE WHEN n_nationkey % 7 > 0 THEN r_name ELSE 'NOWHERE' END AS city_tier FROM nation JOIN region ON n_regionkey = r_regionkey),
+c AS (SELECT grade, city_tier, count({M}) AS count, {r(f'quantile_cont({M}, 0.5)')} AS median FROM v GROUP BY ALL)
+SELECT q.*, count, median FROM q LEFT JOIN c USING (grade, city_tier)"""

@@ -55,6 +55,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def shared_path(spark: SparkSession, path: str):
+    """(file system, path) of a path in any store that Spark opens."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
 def reliable_checkpoint(df):
     """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
+from ..functions import exprs as X
 from .csvsplit import read_csv
 
 _S, _L, _D, _B, _TS = T.StringType(), T.LongType(), T.DoubleType(), T.BooleanType(), T.TimestampType()
@@ -65,10 +66,17 @@ def load_raw(spark: SparkSession, path: str, schema: T.StructType | None = None)
 
 def save_stage(df: DataFrame, path: str, fmt: str | None = None, partition_by: list[str] | None = None) -> None:
     """Write a stage table (Parquet unless the path ends with .csv).  Before
-    writing, ``salary_gross`` is forced to boolean (C5); declared types are
-    kept otherwise (all-NULL strings are not turned into booleans)."""
-    from ..operators.cleaning import ensure_boolean
+    writing, ``salary_gross`` is forced to boolean (C5) and string columns whose
+    values are all boolean-like become boolean (C6: true/yes/1, false/no/0, unknown
+    markers as NULL; found in one aggregate); columns without any true or false keep
+    their type."""
+    from ..operators.cleaning import bool_like_expr, detect_bool_like, ensure_boolean
     out = ensure_boolean(df, "salary_gross")
+    strings = X.string_columns(out)
+    if strings:
+        told = out.agg(*[F.count(bool_like_expr(F.col(f"`{c}`"))).alias(c) for c in strings]).first()
+        like = detect_bool_like(out, [c for c in strings if told[c]])
+        out = out.withColumns({c: bool_like_expr(F.col(c)) for c in like}) if like else out
     fmt = fmt or ("csv" if path.lower().endswith(".csv") else "parquet")
     w = out.write.mode("overwrite")
     if partition_by:

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.cleaning import deduplicate
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, shared_path
 
 BUCKETS = 16
 COMMIT = "epoch long, bucket int, rows long, buckets int"
@@ -43,18 +43,12 @@ def _stream(spark: SparkSession, source_dir: str, schema: T.StructType, ts_col:
     return stream
 
 
-def _files(spark: SparkSession, path: str):
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    p = hadoop.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
 def commits(spark: SparkSession, base: str) -> list:
     """The commit records: a row for each bucket of each committed batch."""
-    fs, p = _files(spark, f"{base}/commits")
+    fs, p = shared_path(spark, f"{base}/commits")
     if not fs.exists(p):
         return []
-    done = [str(s.getPath().getName()) for s in fs.listStatus(p) if fs.exists(_files(spark, f"{s.getPath()}/_SUCCESS")[1])]
+    done = [str(s.getPath().getName()) for s in fs.listStatus(p) if fs.exists(shared_path(spark, f"{s.getPath()}/_SUCCESS")[1])]
     if not done:
         return []
     return spark.read.schema(COMMIT).json([f"{base}/commits/{d}" for d in done]).collect()
@@ -124,7 +118,7 @@ def forget_old(spark: SparkSession, base: str) -> int:
     held = {b: e for b, (e, _) in versions(spark, base).items()}
     old = [f"{base}/rows/epoch={r.epoch}/_bucket={r.bucket}" for r in done if held[r.bucket] != r.epoch]
     old += [f"{base}/batches/epoch={e}" for e in sorted({r.epoch for r in done})]
-    return sum(bool(fs.exists(p) and fs.delete(p, True)) for fs, p in (_files(spark, path) for path in old))
+    return sum(bool(fs.exists(p) and fs.delete(p, True)) for fs, p in (shared_path(spark, path) for path in old))
 
 
 def first_seen_stream(stream: DataFrame, id_col: str, ts_col: str, delay: str = "1 day") -> DataFrame:
