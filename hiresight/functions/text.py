@@ -185,9 +185,8 @@ def count_bullets(text: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     """F16: ``len(str.split())`` — Unicode whitespace runs; 0 for blank text."""
-    t = F.coalesce(text, F.lit(""))
-    stripped = F.regexp_replace(t, r"(?U)^\s+|\s+$", "")
-    return F.when(stripped == "", F.lit(0).cast("long")).otherwise(F.size(F.split(stripped, r"(?U)\s+")).cast("long"))
+    plain = F.translate(F.coalesce(text, F.lit("")), EL.BLANKS + "\x1c\x1d\x1e\x1f", " " * (len(EL.BLANKS) + 4))
+    return F.size(F.filter(F.split(plain, " "), lambda w: w != "")).cast("long")
 
 
 def paragraph_count(text: Column) -> Column:

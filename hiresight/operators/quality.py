@@ -22,12 +22,19 @@ def missing_share(df: DataFrame, top_n: int | None = 20) -> DataFrame:
     return out.limit(top_n) if top_n else out
 
 
-def basic_profile(df: DataFrame) -> dict:
-    """Shape, type counts and the top-20 missing shares (one action for rows)."""
+def profile_table(df: DataFrame, top_n: int = 20) -> DataFrame:
+    """(section, name, value): number of rows and columns, columns of each type, and
+    the largest shares of NULLs (ties by name); one aggregate."""
     types: dict[str, int] = {}
     for f in df.schema.fields:
         types[f.dataType.simpleString()] = types.get(f.dataType.simpleString(), 0) + 1
-    return {"shape": (df.count(), len(df.columns)), "dtypes_summary": types, "missing_top20": missing_share(df, 20)}
+    nulls = [F.struct((-F.avg(F.col(f"`{c}`").isNull().cast("double"))).alias("neg"), F.lit(c).alias("name")) for c in df.columns]
+    one = df.agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.array(*nulls)).alias("shares"))
+    row = lambda section, name, value: F.struct(F.lit(section).alias("section"), name.alias("name"), value.cast("double").alias("value"))
+    fixed = [row("shape", F.lit("rows"), F.col("n")), row("shape", F.lit("columns"), F.lit(len(df.columns))),
+             *[row("type", F.lit(t), F.lit(k)) for t, k in types.items()]]
+    missing = F.transform(F.slice("shares", 1, top_n), lambda s: row("missing", s["name"], F.abs(s["neg"])))
+    return one.select(F.inline(F.concat(F.array(*fixed), missing)))
 
 
 def _pct(share) -> F.Column:
@@ -120,8 +127,9 @@ def stage_table(stages: Sequence[tuple[str, DataFrame]], **kw) -> DataFrame:
 
 
 def validate_clean(df: DataFrame, boolean_cols: Sequence[str] = ("salary_gross",), id_col: str = "vacancy_id",
-                   age_col: str = "vacancy_age_days", markers: Iterable[str] | None = None) -> DataFrame:
-    """Q-2: invariants of the clean table in one aggregate, returned as one row."""
+                   age_col: str = "vacancy_age_days", markers: Iterable[str] | None = None, dropped_cols: Sequence[str] = ()) -> DataFrame:
+    """Q-2: invariants of the clean table in one aggregate, returned as one row: also
+    that none of the columns dropped for missing values is left."""
     from pyspark.sql import types as T
     bool_ok = all(isinstance(df.schema[c].dataType, T.BooleanType) for c in boolean_cols if c in df.columns)
     strings = X.string_columns(df)
@@ -132,4 +140,4 @@ def validate_clean(df: DataFrame, boolean_cols: Sequence[str] = ("salary_gross",
             non_currency_share(df).alias("non_rub_share")]
     if id_col in df.columns:
         aggs.append((F.count(F.lit(1)) - F.countDistinct(id_col)).cast("long").alias("duplicate_ids"))
-    return df.agg(*aggs).withColumn("booleans_ok", F.lit(bool_ok))
+    return df.agg(*aggs).withColumns({"booleans_ok": F.lit(bool_ok), "dropped_left": F.lit(sum(c in df.columns for c in dropped_cols))})

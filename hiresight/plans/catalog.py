@@ -359,9 +359,11 @@ def q_doc_grade(spark, sf):
 
 @query("document_text_stats")
 def q_doc_stats(spark, sf):
+    """Sentences after a comma's clause are put on lines of their own, every second kind as a bullet."""
     from ..functions.text import description_stats
     d = table(spark, sf, "documents")
-    return d.select("doc_id", description_stats(F.col("text")).alias("s")).select("doc_id", "s.*")
+    lines = F.replace(F.replace(F.col("text"), F.lit(". "), F.lit("\n- ")), F.lit(", "), F.lit(",\n\n"))
+    return d.select("doc_id", description_stats(lines).alias("s")).select("doc_id", "s.*")
 
 
 @query("page_links")
@@ -523,7 +525,28 @@ def q_cells(spark, sf):
 @query("clean_validation")
 def q_validate(spark, sf):
     from ..operators.quality import validate_clean
-    return validate_clean(V(spark, sf), ["is_remote"], "vacancy_id", "exp_max_years")
+    v = V(spark, sf).withColumn("vacancy_age_days", F.when(F.col("exp_max_years") > 2, F.datediff(F.lit("1999-01-01").cast("date"), "published_at_iso")))
+    return validate_clean(v, ["is_remote"], "vacancy_id", "vacancy_age_days", dropped_cols=["note", "company"])
+
+
+@query("orders_profile")
+def q_profile(spark, sf):
+    from ..operators.quality import profile_table
+    return profile_table(orders_raw(spark, sf), 5)
+
+
+@query("stack_counts")
+def q_stack_counts(spark, sf):
+    """F6 with the names that the core and ML stacks are made of."""
+    from ..operators.features import add_stack_aggregates
+    v = preset_market(spark, sf).withColumnsRenamed({"has_bulk": "has_spark", "has_discount": "has_kafka"})
+    return add_stack_aggregates(v).select("vacancy_id", "core_data_skills_count", "ml_stack_count", "tech_stack_size")
+
+
+@query("role_work_mode_matrix")
+def q_matrix(spark, sf):
+    from ..operators.charts import pivot_long
+    return pivot_long(S.two_key_median(V(spark, sf), "primary_role", "work_mode", M), "primary_role", "work_mode", "salary_median", ["remote", "hybrid", "unknown"])
 
 
 # ----------------------------------------------------------------- charts --
@@ -608,7 +631,11 @@ def q_first_seen(spark, sf):
 def q_doc_salary(spark, sf):
     from ..functions.text import parse_salary
     d = table(spark, sf, "documents")
-    return d.select("doc_id", parse_salary(F.col("text")).alias("s")).select("doc_id", "s.*")
+    words = {" the ": " до вычета ", " und ": " на руки ", " of ": " от ", " la ": " до "}   # so that every branch occurs
+    t = F.col("text")
+    for old, new in words.items():
+        t = F.replace(t, F.lit(old), F.lit(new))
+    return d.select("doc_id", parse_salary(t).alias("s")).select("doc_id", "s.*")
 
 
 @query("employer_enrichment")

@@ -339,7 +339,7 @@ SELECT doc_id, CAST(length(coalesce(text, '')) AS BIGINT) AS description_len_cha
        lambda i: trim(string_split(coalesce(text, ''), chr(10))[i]) <> '' AND
             (i = 1 OR trim(string_split(coalesce(text, ''), chr(10))[i - 1]) = ''))),
        CASE WHEN coalesce(text, '') <> '' THEN 1 ELSE 0 END) AS BIGINT) AS description_paragraphs_count
-FROM documents"""
+FROM (SELECT doc_id, replace(replace(text, '. ', chr(10) || '- '), ', ', ',' || chr(10) || chr(10)) AS text FROM documents)"""
 ORACLES["page_links"] = r"""
 SELECT page_id, CAST(pos AS INTEGER) AS pos,
   split_part(CASE WHEN starts_with(href, '/') THEN 'https://example.com' || href ELSE href END, '?', 1) AS link
@@ -522,7 +522,7 @@ SELECT count(*) AS rows, CAST(sum(""" + " + ".join(
     f"CAST(coalesce(lower(trim({c})) IN ('unknown', 'не указано', 'неизвестно', '', 'n/a', 'nan', '-', '—'), false) AS BIGINT)"
     for c in ["title", "company", "city", "city_tier", "currency", "grade", "work_mode", "grade_from_experience",
               "grade_final", "primary_role", "domain"]) + """) AS BIGINT) AS markers_left,
-  count(exp_max_years) > 0 AS age_present, """ + r("avg(CAST(coalesce(currency, '') <> 'RUB' AS DOUBLE))") + """ AS non_rub_share,
+  count(*) FILTER (WHERE exp_max_years > 2 AND published_at_iso IS NOT NULL) > 0 AS age_present, 1 AS dropped_left, """ + r("avg(CAST(coalesce(currency, '') <> 'RUB' AS DOUBLE))") + """ AS non_rub_share,
   CAST(count(*) - count(DISTINCT vacancy_id) AS BIGINT) AS duplicate_ids, true AS booleans_ok FROM v"""
 
 # ----------------------------------------------------------------- charts --
@@ -584,7 +584,8 @@ ORACLES["events_stream_latest"] = ORACLES["events_latest_per_user"]
 ORACLES["events_stream_first_seen"] = "SELECT DISTINCT user_id, 1::BIGINT AS first_rows FROM events"
 
 ORACLES["document_salary_text"] = r"""
-WITH t AS (SELECT doc_id, replace(replace(coalesce(text, ''), chr(160), ' '), chr(8239), ' ') AS c FROM documents),
+WITH w AS (SELECT doc_id, replace(replace(replace(replace(text, ' the ', ' до вычета '), ' und ', ' на руки '), ' of ', ' от '), ' la ', ' до ') AS text FROM documents),
+t AS (SELECT doc_id, replace(replace(coalesce(text, ''), chr(160), ' '), chr(8239), ' ') AS c FROM w),
 n AS (SELECT doc_id, c, list_transform(regexp_extract_all(c, '\d[\d ]*'),
                                        lambda s: TRY_CAST(regexp_replace(s, '\D', '', 'g') AS BIGINT)) AS nums FROM t)
 SELECT doc_id,
@@ -646,3 +647,16 @@ ORACLES["salary_cells"] = V + f"""
           CASE WHEN n_nationkey % 7 > 0 THEN r_name ELSE 'NOWHERE' END AS city_tier FROM nation JOIN region ON n_regionkey = r_regionkey),
 c AS (SELECT grade, city_tier, count({M}) AS count, {r(f'quantile_cont({M}, 0.5)')} AS median FROM v GROUP BY ALL)
 SELECT q.*, count, median FROM q LEFT JOIN c USING (grade, city_tier)"""
+
+# ------------------------------------------------------ profile, stacks, matrix --
+_RAW_TYPES = {t: sum(x == t for _, x in _RAW_COLS) for t in dict(_RAW_COLS).values()}
+ORACLES["orders_profile"] = ORDERS_RAW + "SELECT 'shape' AS section, 'rows' AS name, count(*)::DOUBLE AS value FROM r UNION ALL " + \
+    f"SELECT 'shape', 'columns', {len(_RAW_COLS)} UNION ALL " + " UNION ALL ".join(f"SELECT 'type', '{t}', {n}" for t, n in _RAW_TYPES.items()) + \
+    " UNION ALL SELECT * FROM (SELECT 'missing', name, round(value, 6) FROM (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS name, avg(CAST({c} IS NULL AS DOUBLE)) AS value FROM r" for c, _ in _RAW_COLS) + ") AS q ORDER BY value DESC, name LIMIT 5) AS p"
+ORACLES["stack_counts"] = V + """
+SELECT vacancy_id, (skill_red::INT + skill_blue::INT + skill_small::INT + has_tax::INT) AS core_data_skills_count, (has_bulk::INT + has_discount::INT) AS ml_stack_count,
+  (""" + " + ".join(f"coalesce({c}, false)::INT" for c in ["has_mentoring", "has_test_task", *SKILLS]) + """) AS tech_stack_size FROM v"""
+ORACLES["role_work_mode_matrix"] = V + f"""
+SELECT primary_role, """ + ", ".join(f"{r(f'quantile_cont({M}, 0.5) FILTER (WHERE work_mode = {chr(39)}{m}{chr(39)})')} AS {m}" for m in ("remote", "hybrid", "unknown")) + """
+FROM v WHERE primary_role IS NOT NULL GROUP BY 1"""

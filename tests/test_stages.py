@@ -49,7 +49,7 @@ def test_chain_is_restarted_after_a_kill(spark, tmp_path, monkeypatch):
     rebuilt = ST.run_stages(raw, out)
     assert rebuilt.reused == ["clean", "features"] and sorted(map(str, rebuilt.market.collect())) == want
     other = ST.run_stages(raw_frame(spark, 35), out)                          # other input: everything anew
-    assert other.reused == [] and ST.run_stages(raw, out, drop_threshold=0.5).reused == []
+    assert other.reused == [] and ST.run_stages(raw, out, drop_threshold=0.99).reused == []
     plain = ST.run_stages(raw)
     assert sorted(map(str, plain.market.collect())) == want and plain.reused == []
     assert features is ST.FE.assemble_features
