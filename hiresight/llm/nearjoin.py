@@ -8,13 +8,17 @@
     at least one is equal in both.  Every class puts down one key per partition;
     classes that share a key are chained through the key's least class (one edge
     per class, never all pairs).  The components of that chain hold every link.
-3.  Inside such a component, classes go into blocks by size band and hash, of
+3.  Below ``PARTITIONS_FROM`` percent, keys chain many texts that only share common
+    shingles.  There classes first meet with bitmap signatures alone (a twentieth of
+    their arrays): pairs whose bound allows a link are chained anew, and the finer
+    components hold every link still; classes without such a partner go.
+4.  Inside such a component, classes go into blocks by size band and hash, of
     bounded bytes, and pairs of blocks of equal or neighbouring bands are tiles.
     In a tile, hashed bitmap signatures bound each overlap from above: every bit
     that differs stands for an element that differs.  Pairs that pass are
     settled by the exact intersection of the sorted arrays, unless already
     connected.  A tile returns a spanning forest of its links, not the links.
-4.  The components of the forests are the result.
+5.  The components of the forests are the result.
 
 Nothing grows with the square of a group of copies, no group is held whole in a
 task, and no link between different arrays is lost.
@@ -168,12 +172,12 @@ def candidate_chains(docs: DataFrame, id_col: str, text_col: str, k: int, percen
         .select(F.col("fp").alias("u"), F.col("hub").alias("v")).distinct()
 
 
-def _blocks(nodes: DataFrame, percent: int) -> DataFrame:
+def _blocks(nodes: DataFrame, percent: int, bytes_each: float = 8.0, rows_each: int = BLOCK_ROWS) -> DataFrame:
     """nodes (fp, label, n, doc_id) with their tiles: one row per tile.  Bands are
-    a little wider than linked sizes can lie apart."""
+    a little wider than linked sizes can lie apart.  ``bytes_each``: of one shingle."""
     placed = nodes.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / -math.log(percent / 100 - 0.01)).cast("int"))
     count = placed.groupBy("label", "band").agg(F.count("*").alias("rows"), F.sum("n").alias("hashes")) \
-        .withColumn("k", F.greatest(F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("hashes") * 8 / BLOCK_BYTES)).cast("int"))
+        .withColumn("k", F.greatest(F.ceil(F.col("rows") / rows_each), F.ceil(F.col("hashes") * bytes_each / BLOCK_BYTES)).cast("int"))
     count = reliable_checkpoint(count)
     up = count.select("label", (F.col("band") - 1).alias("band"), F.col("k").alias("k_up"))
     down = count.select("label", (F.col("band") + 1).alias("band"), F.col("k").alias("k_down"))
@@ -190,7 +194,7 @@ def _blocks(nodes: DataFrame, percent: int) -> DataFrame:
     same = each(F.when(F.col("rows") > 1, F.col("k")).otherwise(F.lit(0)), lambda x: tile("same", b, F.least(own, x), F.greatest(own, x), 0))
     low = each(F.col("k_up"), lambda x: tile("next", b, own, x, 0))
     high = each(F.col("k_down"), lambda x: tile("next", b - 1, x, own, 1))
-    return p.select("doc_id", "fp", "label", F.explode(F.concat(same, low, high)).alias("t")).select("doc_id", "fp", "label", "t.*")
+    return p.select("doc_id", "fp", "label", "n", F.explode(F.concat(same, low, high)).alias("t")).select("doc_id", "fp", "label", "n", "t.*")
 
 
 def bitmaps(arrays: list[np.ndarray]) -> np.ndarray:
@@ -251,11 +255,59 @@ def _tile_links(table: pa.Table, percent: int) -> pa.Table:
     return pa.table({"u": pa.array([own[a] for a, _ in found], pa.int64()), "v": pa.array([own[b] for _, b in found], pa.int64())})
 
 
-def links(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
-    """(u, v) fingerprints: enough links to connect all classes that links connect."""
-    label = components(candidate_chains(docs, id_col, text_col, k, percent)).withColumnRenamed("node", "fp")
-    first = sets.where(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
-    tiles = reliable_checkpoint(_blocks(reliable_checkpoint(label.join(first, "fp")), percent))
+#: A signature has up to six bits a shingle; so many of them meet in a block.
+SIGNATURE_BYTES, SIGNATURE_ROWS = 0.75, 8192
+
+
+def signature(h: np.ndarray) -> bytes:
+    """A set's hashed bitmap of at least three bits a shingle; ``folded`` makes it narrower."""
+    bits = 256
+    while bits < 3 * len(h):
+        bits *= 2
+    out = np.zeros(bits, np.uint8)
+    out[(h & np.uint64(bits - 1)).astype(np.int64)] = 1
+    return np.packbits(out).tobytes()
+
+
+def folded(maps: list[bytes]) -> np.ndarray:
+    """Signatures at the width of the narrowest, a row of 64-bit words each."""
+    width = min(map(len, maps))
+    return np.stack([np.bitwise_or.reduce(np.frombuffer(m, np.uint64).reshape(-1, width // 8), axis=0) for m in maps])
+
+
+def possible_tile(maps: list[bytes], n: np.ndarray, side: np.ndarray, across: bool, percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs whose signatures allow a link."""
+    order = np.argsort(n, kind="stable")
+    n, side, words_, group, out = n[order], side[order], folded([maps[i] for i in order]), np.arange(len(n)), []
+    first = np.searchsorted(n, -(-percent * n // 100))
+    for i in range(1, len(n)):
+        open_ = group[first[i]:i] != group[i]
+        if across:
+            open_ &= side[first[i]:i] != side[i]
+        js = np.flatnonzero(open_) + first[i]
+        if not len(js):
+            continue
+        differ = np.bitwise_count(words_[js] ^ words_[i]).sum(1, dtype=np.int64)
+        js = js[(n[js] + n[i] - differ) // 2 >= least_overlap(n[js], n[i], percent)]
+        if len(js):
+            _, at = np.unique(group[js], return_index=True)
+            out += [(int(order[j]), int(order[i])) for j in js[at]]
+            group[np.isin(group, group[js])] = group[i]
+    return out
+
+
+def _possible(table: pa.Table, percent: int) -> pa.Table:
+    fps = table.column("fp").to_numpy()
+    _, keep = np.unique(fps, return_index=True)
+    maps, n = table.column("set").take(pa.array(keep)).to_pylist(), table.column("n").to_numpy()[keep]
+    side, own = table.column("side").to_numpy()[keep], fps[keep]
+    found = possible_tile(maps, n, side, table.column("kind")[0].as_py() == "next", percent) if len(keep) > 1 else []
+    return pa.table({"u": pa.array([own[a] for a, _ in found], pa.int64()), "v": pa.array([own[b] for _, b in found], pa.int64())})
+
+
+def in_tiles(docs: DataFrame, tiles: DataFrame, id_col: str, text_col: str, k: int, pack) -> DataFrame:
+    """The rows of ``tiles`` with each class's set, as ``pack`` makes it of the sorted
+    hashes; a class's text is read once."""
     wanted = reliable_checkpoint(tiles.select("doc_id", "fp").distinct())
     few = wanted.count() <= BROADCAST_ROWS
     ids = wanted.select(F.col("doc_id").alias("wanted_id"), F.col("fp").alias("wanted_fp"))
@@ -268,7 +320,7 @@ def links(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str, k: int,
                 h = shingle_set(text, k)
                 if set_fingerprint(h) == fp:
                     fps.append(fp)
-                    packs.append(h.tobytes())
+                    packs.append(pack(h))
                     held += len(packs[-1])
                 if held > BLOCK_BYTES // 2:
                     yield pa.RecordBatch.from_pydict({"fp": fps, "set": pa.array(packs, pa.binary())})
@@ -279,8 +331,22 @@ def links(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str, k: int,
     arrays = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")) \
         .join(F.broadcast(ids) if few else ids, F.col("id") == F.col("wanted_id")).select("text", "wanted_fp") \
         .mapInArrow(packed, "fp bigint, set binary")
-    places = tiles.select("fp", "label", "kind", "at", "i", "j", "side")
-    members = arrays.join(F.broadcast(places) if places.count() <= BROADCAST_ROWS else places, "fp")  # broadcast: sets are dealt out once, not twice
+    places = tiles.select("fp", "label", "n", "kind", "at", "i", "j", "side")
+    return arrays.join(F.broadcast(places) if places.count() <= BROADCAST_ROWS else places, "fp")  # broadcast: sets are dealt out once, not twice
+
+
+def links(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
+    """(u, v) fingerprints: enough links to connect all classes that links connect."""
+    label = components(candidate_chains(docs, id_col, text_col, k, percent)).withColumnRenamed("node", "fp")
+    first = sets.where(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
+    nodes = reliable_checkpoint(label.join(first, "fp"))
+    if percent < PARTITIONS_FROM:
+        tiles = reliable_checkpoint(_blocks(nodes, percent, SIGNATURE_BYTES, SIGNATURE_ROWS))
+        met = in_tiles(docs, tiles, id_col, text_col, k, signature).groupBy("label", "kind", "at", "i", "j")
+        finer = components(met.applyInArrow(lambda t: _possible(t, percent), "u bigint, v bigint")).withColumnRenamed("node", "fp")
+        nodes = reliable_checkpoint(finer.join(nodes.drop("label"), "fp"))
+    tiles = reliable_checkpoint(_blocks(nodes, percent))
+    members = in_tiles(docs, tiles, id_col, text_col, k, np.ndarray.tobytes)
     return members.groupBy("label", "kind", "at", "i", "j").applyInArrow(lambda t: _tile_links(t, percent), "u bigint, v bigint")
 
 

@@ -220,3 +220,32 @@ def test_sql_of_exact_operators(spark, tmp_path, vectors):
         cols = [d[0] for d in res.description]
         assert sorted(cols) == sorted(got.columns)
         assert sorted(map(str, map(tuple, got.select(*cols).collect()))) == sorted(map(str, map(tuple, res.fetchall())))
+
+
+# ---------------------------------------------- signatures of the Jaccard join --
+def test_signatures_lose_no_link():
+    from hiresight.llm import nearjoin as NJ
+    r = np.random.default_rng(6)
+    base = [np.unique(r.integers(0, 1 << 63, m, dtype=np.uint64)) for m in (5, 40, 90, 100, 300, 3000)]
+    arrays = [np.unique(np.concatenate([r.permutation(b)[: max(1, int(len(b) * (1 - cut)))], r.integers(0, 1 << 63, int(len(b) * add), dtype=np.uint64)]))
+              for b in base for cut, add in ((0, 0), (0.05, 0.02), (0.1, 0.1), (0.3, 0), (0.02, 0.2))]
+    n = np.array([len(a) for a in arrays])
+    assert all(NJ.folded([NJ.signature(arrays[-1]), NJ.signature(a)])[0].tobytes() == np.bitwise_or.reduce(
+        np.frombuffer(NJ.signature(arrays[-1]), np.uint64).reshape(-1, len(NJ.signature(a)) // 8), axis=0).tobytes() for a in arrays[:3])
+    for percent in (80, 60):
+        for across in (False, True):
+            side = r.integers(0, 2, len(arrays))
+            edges = NJ.possible_tile([NJ.signature(a) for a in arrays], n, side, across, percent)
+            group = list(range(len(arrays)))
+
+            def root(i):
+                while group[i] != i:
+                    i = group[i]
+                return i
+            for u, v in edges:
+                assert root(u) != root(v)                                       # a forest
+                group[root(u)] = root(v)
+            for i in range(len(arrays)):
+                for j in range(i):
+                    if (not across or side[i] != side[j]) and NJ.overlap(arrays[i], arrays[j]) >= NJ.least_overlap(int(n[i]), int(n[j]), percent):
+                        assert root(i) == root(j)
