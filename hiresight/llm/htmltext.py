@@ -16,10 +16,13 @@ a page; repeated rows are treated alike; other columns pass through.
 """
 from __future__ import annotations
 
+import bisect
 import functools
 import html as html_lib
+import itertools
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,25 +41,31 @@ VOID_TAGS = frozenset("area base br col embed hr img input link meta param sourc
 #: Text up to the end tag, or else to the end of the page, is none of the page's.
 RAW_TAGS = "script|style|textarea"
 #: What is inside isn't shown; without an end tag, or ending in "/>", they hold nothing.
-HIDDEN_TAGS = frozenset("svg template iframe noembed noframes".split())
+HIDDEN_TAGS = frozenset("svg template iframe noembed noframes button".split())
+#: A button that is a heading's text is read.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 summary dt".split())
 #: Opening tags of page text, which end an svg.
 BREAKOUT_TAGS = BLOCK_TAGS - {"title"}
 CLOSED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
              "option": ("option",), "body": ("head",)}
 
-TOKEN = re.compile(
-    r"<!--(?:.*?-->|.*+)|<![^>]*+>?|<\?[^>]*+>?"
-    rf"|<(?P<raw>{RAW_TAGS})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>?(?:.*?</(?P=raw)(?=[\s/>])[^>]*+>?|.*+)"
-    r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*+)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<(?P<end2>/?)(?P<tag2>[a-z][^\s/>]*+)(?P<attrs2>[^>]*+)>"
-    r"|(?P<text>[^<]++)|(?P<stray><)", re.I | re.S)
+MARKUP = re.compile(r"<!--(?:.*?-->|.*+)|<![^>]*+>?|<\?[^>]*+>?|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*+)", re.I | re.S)
+#: The rest of a tag whose quotes are closed.
+TAG_REST = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
+TAG_SIGNS = re.compile(r"[>\"']")
+RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*+>?", re.I) for t in RAW_TAGS.split("|")}
 HIDDEN_OPEN = re.compile(rf"<(?:{'|'.join(sorted(HIDDEN_TAGS))})[\s/>]", re.I)
 ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 WORDS = re.compile(r"[a-z]+|\d+")
-PATH_DIM, WORD_DIM, COUNTS = 1024, 32, 12
+PATH_DIM, WORD_DIM, COUNTS = 8192, 32, 12
+#: A block's path: the distinct tokens of its ancestors, the latest so many of
+#: them, so that mere depth of nesting changes nothing.
+PATH_TOKENS = 64
 #: Pages are labelled together up to so many, and so many blocks with padding (a
 #: longer page goes alone).
 PAGES, CELLS = 64, 32768
+#: Blocks whose path weights are gathered at once.
+GATHER = 4096
 HIDDEN = 20
 
 
@@ -77,33 +86,150 @@ def _tokens(tag: str, attrs: str) -> tuple[str, ...]:
     out = [f"<{tag}"]
     for name, a, b, c in ATTR.findall(attrs) if "=" in attrs else ():
         out += [f"{'role' if name.lower() == 'role' else ''}.{w}" for w in WORDS.findall((a or b or c).lower())]
-    return tuple(out)
-
-
-def _hidden_runs(tokens: list[re.Match]) -> dict[int, int]:
+    return tuple(out) if len(out) == 1 else (f"<{tag}[", *out)
+
+
+class _TagEnds:
+    """Ends of tags in time linear in the page: the first tag whose quotes stay
+    open makes a table of all ends, from the last sign to the first."""
+
+    def __init__(self, page: str):
+        self.page, self.last, self.table = page, page.rfind(">"), None
+
+    def after(self, at: int) -> int:
+        """Where the tag ends whose name ends at ``at``: after the first ">" outside
+        quotes, or else after the first one; -1 if there is none."""
+        if at > self.last:
+            return -1
+        if self.table is None:
+            m = TAG_REST.match(self.page, at)
+            if m:
+                return m.end()
+            self.table = self._ends()
+        places, outside, plain = self.table
+        k = bisect.bisect_left(places, at)
+        return outside[k] if outside[k] >= 0 else plain[k]
+
+    def _ends(self) -> tuple[list[int], list[int], list[int]]:
+        places = [m.start() for m in TAG_SIGNS.finditer(self.page)]
+        outside, plain = [-1] * (len(places) + 1), [-1] * (len(places) + 1)
+        later = {'"': -1, "'": -1}  # where a tag ends that goes on after the next such quote
+        for k in range(len(places) - 1, -1, -1):
+            sign = self.page[places[k]]
+            if sign == ">":
+                outside[k] = plain[k] = places[k] + 1
+            else:
+                outside[k], plain[k] = later[sign], plain[k + 1]
+                later[sign] = outside[k + 1]
+        return places, outside, plain
+
+
+def markup(page: str) -> list[tuple[str, str, str]]:
+    """Tokens (kind, tag or text, attributes): "text", "open" and "close"."""
+    out: list[tuple[str, str, str]] = []
+    ends, at = _TagEnds(page), 0
+    while at < len(page):
+        if page[at] != "<":
+            to = page.find("<", at)
+            to = len(page) if to < 0 else to
+            out.append(("text", page[at:to], ""))
+            at = to
+            continue
+        m = MARKUP.match(page, at) if at <= ends.last or page.startswith(("<!", "<?"), at) else None
+        if m and not m["tag"]:
+            at = m.end()
+            continue
+        to = ends.after(m.end()) if m else -1
+        tag = m["tag"].lower() if m else ""
+        if tag in RAW_END and not m["end"]:
+            close = RAW_END[tag].search(page, max(to, m.end()))
+            at = close.end() if close else len(page)
+        elif to < 0:
+            out.append(("text", "<", ""))
+            at += 1
+        else:
+            out.append(("close" if m["end"] else "open", tag, page[m.end():to - 1]))
+            at = to
+    return out
+
+
+def _hidden_runs(tokens: list[tuple[str, str, str]]) -> dict[int, int]:
     """For each token that opens a hidden element, the last token of that element."""
     last: dict[int, int] = {}
     stack: list[tuple[str, int]] = []
-    for i, m in enumerate(tokens):
-        tag = (m["tag"] or m["tag2"] or "").lower()
+    held: Counter[str] = Counter()
+
+    def leave() -> tuple[str, int]:
+        held[stack[-1][0]] -= 1
+        return stack.pop()
+
+    for i, (kind, tag, attrs) in enumerate(tokens):
+        if kind == "text":
+            continue
         if tag in HIDDEN_TAGS:
-            if not (m["end"] or m["end2"]):
-                if not (m["attrs"] or m["attrs2"] or "").endswith("/"):
+            if kind == "open":
+                if not attrs.endswith("/"):
                     stack.append((tag, i))
-            elif any(tag == name for name, _ in stack):
+                    held[tag] += 1
+            elif held[tag]:
                 while stack[-1][0] != tag:
-                    stack.pop()
-                last[stack.pop()[1]] = i
-        elif tag in BREAKOUT_TAGS and not (m["end"] or m["end2"]):
+                    leave()
+                last[leave()[1]] = i
+        elif tag in BREAKOUT_TAGS and kind == "open":
             while stack and stack[-1][0] == "svg":
-                last[stack.pop()[1]] = i - 1
+                last[leave()[1]] = i - 1
     return last
 
 
+class _Path:
+    """The open elements of a page."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, tuple[str, ...]]] = []
+        self.names: Counter[str] = Counter()
+        self.tokens: dict[str, int] = {}  # of open elements, in the order of their latest opening
+
+    def enter(self, tag: str, tokens: tuple[str, ...]) -> None:
+        self.stack.append((tag, tokens))
+        self.names[tag] += 1
+        for t in tokens:
+            self.tokens[t] = self.tokens.pop(t, 0) + 1
+
+    def cut(self, at: int) -> None:
+        while len(self.stack) > at:
+            tag, tokens = self.stack.pop()
+            self.names[tag] -= 1
+            for t in tokens:
+                self.tokens[t] -= 1
+                if not self.tokens[t]:
+                    del self.tokens[t]
+
+    def leave(self, tag: str) -> None:
+        if self.names[tag]:
+            while self.stack[-1][0] != tag:
+                self.cut(len(self.stack) - 1)
+            self.cut(len(self.stack) - 1)
+
+    def close(self, names: tuple[str, ...], within: int) -> None:
+        for at in range(len(self.stack) - 1, max(-1, len(self.stack) - 1 - within), -1):
+            if self.stack[at][0] in names:
+                self.cut(at)
+                return
+            if self.stack[at][0] in ("table", "ul", "ol", "article", "section", "div", "main", "body") and names != ("p",):
+                return
+
+    def near(self, *names: str, within: int) -> bool:
+        return any(name in names for name, _ in self.stack[-within:])
+
+    def features(self) -> list[str]:
+        nearest = [t for _, tokens in self.stack[-3:] for t in tokens][-3:]
+        return list(itertools.islice(reversed(self.tokens), PATH_TOKENS)) + ["^" + t for t in nearest]
+
+
 def blocks(page: str) -> list[tuple[str, list[str], float]]:
     """Leaf blocks in page order: text, path tokens, share of text in links."""
     out: list[tuple[str, list[str], float]] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    path = _Path()
     held: list[str] = []
     linked = total = 0
 
@@ -111,56 +237,45 @@ def blocks(page: str) -> list[tuple[str, list[str], float]]:
         nonlocal linked, total
         if held:
             text = " ".join(html_lib.unescape("".join(held)).split())
-            if text:
-                out.append((text, [t for _, tokens in stack for t in tokens], linked / max(1, total)))
+            if text and not path.names["title"]:
+                out.append((text, path.features(), linked / max(1, total)))
             held.clear()
         linked = total = 0
 
-    def close(names: tuple[str, ...], within: int) -> None:
-        for at in range(len(stack) - 1, max(-1, len(stack) - 1 - within), -1):
-            if stack[at][0] in names:
-                del stack[at:]
-                return
-            if stack[at][0] in ("table", "ul", "ol", "article", "section", "div", "main", "body") and names != ("p",):
-                return
-
-    tokens, until = list(TOKEN.finditer(page)), -1
+    tokens, until = markup(page), -1
     hidden = _hidden_runs(tokens) if HIDDEN_OPEN.search(page) else {}
-    for i, m in enumerate(tokens):
+    for i, (kind, tag, attrs) in enumerate(tokens):
         if i <= until:
             continue
-        text = m["text"] or m["stray"]
-        if text is not None:
-            held.append(text)
-            n = len(text.strip())
+        if kind == "text":
+            held.append(tag)
+            n = len(tag.strip())
             total += n
-            if any(name == "a" for name, _ in stack[-4:]):
+            if path.near("a", within=4):
                 linked += n
             continue
-        tag = (m["tag"] or m["tag2"] or "").lower()
-        if tag in HIDDEN_TAGS:
-            until = hidden.get(i, i)
+        if tag == "button" and i in hidden and not path.near(*HEADINGS, within=2):
+            held.append(" ")
+            until = hidden[i]
             continue
-        if not tag:
+        if tag in HIDDEN_TAGS and tag != "button":
+            until = hidden.get(i, i)
             continue
         if tag in BLOCK_TAGS:
             flush()
         elif tag == "br":
             held.append("\n")
-        if m["end"] or m["end2"]:
-            for at in range(len(stack) - 1, -1, -1):
-                if stack[at][0] == tag:
-                    del stack[at:]
-                    break
+        if kind == "close":
+            path.leave(tag)
             continue
         if tag in BLOCK_TAGS:
-            close(("p",), 4)
+            path.close(("p",), 4)
             if tag in CLOSED_BY:
-                close(CLOSED_BY[tag], 6)
-        if tag not in VOID_TAGS and len(stack) < 256:
-            stack.append((tag, _tokens(tag, m["attrs"] or m["attrs2"] or "")))
+                path.close(CLOSED_BY[tag], 6)
+        if tag not in VOID_TAGS:
+            path.enter(tag, _tokens(tag, attrs))
     flush()
-    return [b for b in out if "<title" not in b[1]]
+    return out
 
 
 def encode(bs: list[tuple[str, list[str], float]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -168,7 +283,7 @@ def encode(bs: list[tuple[str, list[str], float]]) -> tuple[np.ndarray, np.ndarr
     flat, starts, dense = [], [], np.zeros((len(bs), WORD_DIM + COUNTS), np.float32)
     for i, (text, path, links) in enumerate(bs):
         starts.append(len(flat))
-        flat += [_path_bucket(t) for t in path] + [_path_bucket("^" + t) for t in path[-3:]] + [PATH_DIM]
+        flat += [_path_bucket(t) for t in path] + [PATH_DIM]
         ws = text.split()
         n = len(ws)
         often = np.bincount([_word_bucket(w) for w in ws], minlength=2 * WORD_DIM)
@@ -188,13 +303,18 @@ class BlockLabeller:
         d = WORD_DIM + COUNTS
         self.p = {"out": r.normal(0, 0.1, (2 * HIDDEN, 1)).astype(np.float32), "bias": np.zeros(1, np.float32)}
         for side in "fb":
-            self.p[f"path{side}"] = r.normal(0, 0.05, (PATH_DIM + 1, 4 * HIDDEN)).astype(np.float32)
+            self.p[f"path{side}"] = r.normal(0, 0.01, (PATH_DIM + 1, 4 * HIDDEN)).astype(np.float32)
             self.p[f"in{side}"] = r.normal(0, 0.1, (d, 4 * HIDDEN)).astype(np.float32)
             self.p[f"rec{side}"] = r.normal(0, 1 / np.sqrt(HIDDEN), (HIDDEN, 4 * HIDDEN)).astype(np.float32)
 
     def gates_in(self, enc, side: str) -> np.ndarray:
         flat, starts, dense = enc
-        return np.add.reduceat(self.p[f"path{side}"][flat], starts, 0) + dense @ self.p[f"in{side}"]
+        out = dense @ self.p[f"in{side}"]
+        for a in range(0, len(starts), GATHER):  # a long page's paths a part at a time
+            part = starts[a: a + GATHER]
+            to = starts[a + GATHER] if a + GATHER < len(starts) else len(flat)
+            out[a: a + GATHER] += np.add.reduceat(self.p[f"path{side}"][flat[part[0]: to]], part - part[0], 0)
+        return out
 
     def run(self, batch: list, keep: bool = False):
         """Logits [batch, steps] of encoded sequences, padded; and what the
@@ -285,6 +405,7 @@ class _Grammar:
 
     def __init__(self, seed: int):
         self.r = np.random.default_rng(seed)
+        self.style, self.alias = "named", {}
         self.sounds = [a + b for a in "b c d f g h j k l m n p r s t v w z th sh ch st tr".split() for b in "a e i o u ea ou an en on".split()]
 
     def pick(self, xs):
@@ -300,6 +421,18 @@ class _Grammar:
     def prose(self) -> str:
         return " ".join(self.words(2, 14) + self.pick(". . . . , ! ?".split()) for _ in range(self.r.integers(1, 7)))
 
+    def new_style(self) -> None:
+        """How the next page's elements are named: tellingly, in words of no known
+        language (one to each known word), or not at all."""
+        self.style, self.alias = self.pick("named named named named named foreign foreign foreign bare bare"), {}
+
+    def attribute(self, name: str, value: str) -> str:
+        if self.style == "bare":
+            return ""
+        if self.style == "foreign" and name != "role":
+            value = re.sub("[a-z]+", lambda m: self.alias.setdefault(m[0], self.word() + self.word()), value)
+        return f' {name}="{value}"'
+
     def named(self, kinds: str) -> str:
         """Attributes: mostly telling, sometimes plain or none."""
         u = self.r.random()
@@ -308,7 +441,7 @@ class _Grammar:
             return ""
         joint = self.pick(["-", "_", " "])
         extra = joint + self.pick(self.PLAIN + " list items " + kinds) if self.r.random() < 0.4 else ""
-        return f' {self.pick("class class class id")}="{name}{extra}"'
+        return self.attribute(self.pick("class class class id"), name + extra)
 
     def links(self, n: int) -> list[tuple[str, str, int]]:
         return [(f'<li><a href="/{self.word()}">', self.words(1, 3), 0) for _ in range(n)]
@@ -335,10 +468,10 @@ class _Grammar:
             out += [("<h3>", self.words(1, 4), 0)] * int(r.random() < 0.6)
             out += self.links(r.integers(0, 6)) + [("<p>", self.prose(), 0) for _ in range(r.integers(0, 3))] + [(f"</{t}>", None, 0)]
         elif kind in ("ads", "notice"):
-            t = self.pick("div div div aside section p")
+            t = self.pick("div div div aside section p" if self.style == "named" else "div div div aside section")
             kinds = self.ADS if kind == "ads" else self.NOTICE
-            role = self.pick([' role="alert"', ' role="dialog"', "", ""]) if kind == "notice" else ""
-            name = f' {self.pick("class class id")}="{self.pick(kinds)}{self.pick(["", "", "-" + self.pick(self.PLAIN + " " + kinds)])}"'
+            role = self.attribute("role", self.pick(["alert", "dialog"])) if kind == "notice" and self.r.random() < 0.5 else ""
+            name = self.attribute(self.pick("class class id"), self.pick(kinds) + self.pick(["", "", "-" + self.pick(self.PLAIN + " " + kinds)]))
             out = [(f"<{t}{name}{role}>", None, 0), (self.pick(["", "", "<p>" if t != "p" else "", "<span>"]), self.pick([self.prose(), self.words(2, 8)]), 0)]
             out += [("<button>", self.words(1, 2), 0)] * int(r.random() < 0.3) + [(f"</{t}>", None, 0)]
         elif kind == "form":
@@ -347,10 +480,10 @@ class _Grammar:
             out += [("<input><button>", self.words(1, 2), 0), ("</form>", None, 0)]
         elif kind == "comment":
             t = self.pick("section div div ol ul")
-            out = [(f'<{t} {self.pick("class id")}="{self.pick(self.COMMENT)}{self.pick(["", "-list", "s", "-area"])}">', None, 0)]
+            out = [(f"<{t}{self.attribute(self.pick('class id'), self.pick(self.COMMENT) + self.pick(['', '-list', 's', '-area']))}>", None, 0)]
             out += [("<h3>", self.words(1, 3), 0)] * int(r.random() < 0.6)
             for _ in range(r.integers(1, 6)):
-                own = f' class="{self.pick(self.COMMENT)}{self.pick(["", "-body", "-text"])}"' if r.random() < 0.7 else ""
+                own = self.attribute("class", self.pick(self.COMMENT) + self.pick(["", "-body", "-text"])) if r.random() < 0.7 else ""
                 inner = self.pick("li") if t in ("ol", "ul") else self.pick("div article p")
                 out += [(f"<{inner}{own}>", None, 0)] + [("<b>", self.words(1, 2), 0)] * int(r.random() < 0.4)
                 out += [("<p>" if inner != "p" else "", self.prose(), 0), (f"</{inner}>", None, 0)]
@@ -384,6 +517,7 @@ class _Grammar:
 
     def page(self) -> tuple[list, np.ndarray]:
         r, parts = self.r, []
+        self.new_style()
         before = ["menu", "head", "ads", "notice", "form", "side"]
         after = ["foot", "side", "comment", "ads", "form", "menu", "notice"]
         for k in before:
