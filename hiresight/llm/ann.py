@@ -36,6 +36,8 @@ from ..session import reliable_checkpoint
 
 CURVES, DIMS, BITS = 16, 4, 10
 BLOCK = 4096
+#: A curve's keys are ranked in up to so many buckets of equal size.
+MOST_BUCKETS = 1000
 #: Queries whose true neighbours set the window, and vectors that set the projections' scale.
 SAMPLE_QUERIES, SAMPLE_VECTORS = 96, 2000
 RECALL = 0.97
@@ -43,11 +45,13 @@ HIT = "q bigint, c bigint, score double"
 
 
 def clean(rows: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(id, vec: array<float>) of the rows that take part."""
+    """(id, vec) of the rows that take part; components of integers or decimals as double."""
     v = F.col(vec_col)
+    kind = rows.schema[vec_col].dataType.elementType.simpleString()
+    kind = kind if kind in ("float", "double") else "double"
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
     r = rows.where(F.col(id_col).isNotNull() & v.isNotNull() & fine) \
-        .select(F.col(id_col).cast("bigint").alias("id"), F.transform(v, lambda x: x.cast("float") + F.lit(0.0).cast("float")).alias("vec"))
+        .select(F.col(id_col).cast("bigint").alias("id"), F.transform(v, lambda x: x.cast(kind) + F.lit(0.0).cast(kind)).alias("vec"))
     sizes = r.groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
     return r.where(F.size("vec") == (sizes[0].d if sizes else 0))
 
@@ -141,7 +145,8 @@ def ranked(cls: DataFrame, curves: Curves) -> DataFrame:
 
     keys = reliable_checkpoint(cls.select("cls", "vec", "asks").mapInArrow(task, "curve int, key bigint, cls bigint, query boolean"))
     n = cls.count()
-    cuts = [i / max(1, n // 4096) for i in range(1, n // 4096)][:1000]
+    buckets = min(MOST_BUCKETS, max(1, n // BLOCK))
+    cuts = [i / buckets for i in range(1, buckets)]
     bounds = keys.where(~F.col("query")).groupBy("curve").agg(F.percentile_approx("key", cuts or [0.5], 10000).alias("bounds"))
     placed = keys.join(F.broadcast(bounds), "curve").withColumn("bucket", F.size(F.filter("bounds", lambda b: b < F.col("key")))).drop("bounds")
     mine = (~F.col("query")).cast("bigint")

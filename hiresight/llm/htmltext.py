@@ -405,7 +405,7 @@ class _Grammar:
 
     def __init__(self, seed: int):
         self.r = np.random.default_rng(seed)
-        self.style, self.alias = "named", {}
+        self.style, self.alias, self.tone, self.last = "named", {}, "plain", []
         self.sounds = [a + b for a in "b c d f g h j k l m n p r s t v w z th sh ch st tr".split() for b in "a e i o u ea ou an en on".split()]
 
     def pick(self, xs):
@@ -419,12 +419,21 @@ class _Grammar:
         return " ".join(self.word() for _ in range(self.r.integers(lo, hi + 1))).capitalize()
 
     def prose(self) -> str:
-        return " ".join(self.words(2, 14) + self.pick(". . . . , ! ?".split()) for _ in range(self.r.integers(1, 7)))
+        said = [self.words(2, 14) + self.pick(". . . . , ! ?".split()) for _ in range(self.r.integers(1, 7))]
+        if self.tone == "loud":
+            return "!! ".join(" ".join(said).upper().split()) + self.pick(["", ".", "!!"])
+        if self.tone == "stutter":
+            return " ".join([said[0].split()[0]] * int(self.r.integers(2, 60)) + said)
+        if self.tone == "echo":
+            self.last = said if self.r.random() < 0.3 or not self.last else self.last
+            return " ".join(self.last)
+        return " ".join(said)
 
     def new_style(self) -> None:
         """How the next page's elements are named: tellingly, in words of no known
-        language (one to each known word), or not at all."""
-        self.style, self.alias = self.pick("named named named named named foreign foreign foreign bare bare"), {}
+        language (one to each known word), or not at all; and how its prose sounds."""
+        self.style, self.alias = self.pick("named named named named foreign foreign foreign foreign bare bare"), {}
+        self.tone, self.last = self.pick("plain plain plain plain plain plain plain plain plain plain plain plain loud stutter echo"), []
 
     def attribute(self, name: str, value: str) -> str:
         if self.style == "bare":
@@ -497,7 +506,7 @@ class _Grammar:
         out = [(f"<{t}{own}>", None, 0)]
         if r.random() < 0.85:
             out += [(self.pick(["<h1>", "<h1>", "<h2>", "<header><h1>"]), self.words(1, 12), 1), (self.pick(["</h1>", "</h1></header>", "</h2>"]), None, 0)]
-        for _ in range(r.integers(0, 25)):
+        for _ in range(r.integers(0, 80 if self.tone == "echo" else 25)):
             u = r.random()
             if u < 0.72:
                 lead = self.pick(["<p>", "<p>", "<p>", "<p>", "<p><b>", "<p><em>", "<br><p>", '<p><a href="/x">', "<div>"])
@@ -527,7 +536,8 @@ class _Grammar:
         parts = [parts[i] for i in r.permutation(len(parts))]
         wrap = self.pick(["", "", f"<div{self.named(self.PLAIN)}>", "<main>"])
         parts.append([(wrap, None, 0)] + (self.article() if r.random() < 0.95 else []))
-        tail = [self.boiler(k) for k in after if r.random() < (0.75 if k == "foot" else 0.4 if k == "comment" else 0.25)]
+        often = 0.4 if self.style == "named" else 0.6
+        tail = [self.boiler(k) for k in after if r.random() < (0.75 if k == "foot" else often if k == "comment" else 0.25)]
         parts += tail
         body = [("<html><body>", None, 0)] + [x for p in parts for x in p]
         # A mark word at the end of each text tells which block it came to.
@@ -542,7 +552,7 @@ class _Grammar:
 
 
 @functools.lru_cache(1)
-def trained(pages: int = 1400, epochs: int = 6, seed: int = 5) -> BlockLabeller:
+def trained(pages: int = 2000, epochs: int = 6, seed: int = 5) -> BlockLabeller:
     """The labeller, trained on ``pages`` made pages with Adam."""
     grammar, model = _Grammar(seed), BlockLabeller(seed)
     data = [(encode(bs), ys) for bs, ys in (grammar.page() for _ in range(pages)) if bs]
@@ -559,7 +569,7 @@ def trained(pages: int = 1400, epochs: int = 6, seed: int = 5) -> BlockLabeller:
                 target[i, : len(y)] = y
             grads, _ = model.gradient([e for e, _ in batch], target)
             t += 1
-            rate = 0.01 * (0.5 if epoch >= epochs - 2 else 1.0)
+            rate = 0.01 * (1.0 if epoch < epochs - 2 else 0.5 if epoch < epochs - 1 else 0.15)
             for k, gr in grads.items():
                 m[k] = 0.9 * m[k] + 0.1 * gr
                 v[k] = 0.999 * v[k] + 0.001 * gr * gr

@@ -5,7 +5,8 @@
     equal arrays are one class, represented by a fingerprint of the array.
 2.  Tiles of candidates.  Sizes fall into bands; within a band's reach two linked
     arrays differ in at most D hashes, so of D + 1 partitions of the hash range
-    at least one is equal in both.  Every class puts down one key per partition;
+    at least one is equal in both.  Every class puts down one key per partition
+    that isn't empty (more partitions make up for the empty ones);
     classes that share a key are chained through the key's least class (one edge
     per class, never all pairs).  The components of that chain hold every link.
 3.  Below ``PARTITIONS_FROM`` percent, keys chain many texts that only share common
@@ -24,8 +25,8 @@ Nothing grows with the square of a group of copies, no group is held whole in a
 task, and no link between different arrays is lost.
 
 Defined cases: a null or wordless text has no shingles and links with nothing;
-fewer than ``k`` words are one shingle; rows with one id are one document; rows
-without an id take no part and have no component; an empty table gives an empty
+fewer than ``k`` words are one shingle; rows with one id are one document, so
+that its texts are linked; rows without an id take no part and have no component; an empty table gives an empty
 result; texts may be of any length; 64-bit hashes stand for shingles and sets.
 """
 from __future__ import annotations
@@ -41,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import reliable_checkpoint
-from .frames import hash_share
+from .frames import hash_share, ship_package
 from .graph import components
 from .textkit import as_long, each_text, mix64, set_fingerprint, shingle_hashes, words
 
@@ -93,9 +94,17 @@ def prefix_keys(h: np.ndarray, percent: int, common: np.ndarray) -> np.ndarray:
     return as_long(np.concatenate([h[~often], h[often]])[: len(h) - (-(-percent * len(h) // 100)) + 1])
 
 
+#: Partitions beyond the least number, tried in turn.
+SPARE_PARTITIONS = (0, *(4 ** i for i in range(1, 12)))
+
+
 def partition_keys(h: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Keys of a sorted array, for its own size band and for that of its smallest
-    possible partner."""
+    possible partner.  Empty partitions give no key, since they are equal in
+    unrelated arrays too: an array goes on to divisions with more spare partitions
+    until it has no more empty ones than spare ones.  Where the first of two linked
+    arrays stops, both have keys, and D differing and the empty partitions are fewer
+    than all: an equal one remains that isn't empty."""
     low, many = _size_bands(percent)
     n = len(h)
     if n < 2:
@@ -107,13 +116,19 @@ def partition_keys(h: np.ndarray, percent: int = PERCENT) -> np.ndarray:
         np.cumsum(mix64(h), out=run[1:])
         out = []
         for band in range(least, own + 1):
-            parts = int(many[band])
-            if parts == 1:
+            if many[band] == 1:
                 continue  # linked arrays would be equal, that is one class
-            part = ((h >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-            cut = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
-            tag = mix64(np.arange(parts, dtype=np.uint64) + np.uint64(band << 40))
-            out.append(mix64((run[cut[1:]] - run[cut[:-1]]) ^ tag))
+            for spare in SPARE_PARTITIONS:
+                parts = int(many[band]) + spare
+                part = ((h >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+                cut = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
+                full = np.flatnonzero(cut[1:] > cut[:-1])
+                tag = mix64(full.astype(np.uint64) + np.uint64((band << 48) + (spare << 24)))
+                out.append(mix64((run[cut[full + 1]] - run[cut[full]]) ^ tag))
+                if parts - len(full) <= spare:
+                    break
+            else:  # never met by hashes; the first division with its empty partitions loses nothing
+                out.append(mix64(np.arange(int(many[band]), dtype=np.uint64) + np.uint64((band << 48) + (1 << 47))))
     return as_long(np.concatenate(out)) if out else np.empty(0, np.int64)
 
 
@@ -350,10 +365,18 @@ def links(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str, k: int,
     return members.groupBy("label", "kind", "at", "i", "j").applyInArrow(lambda t: _tile_links(t, percent), "u bigint, v bigint")
 
 
+def same_document(sets: DataFrame) -> DataFrame:
+    """(u, v): links between different classes that rows of one id hold."""
+    worded = sets.where(F.col("doc_id").isNotNull() & (F.col("n") > 0)).select("doc_id", "fp")
+    hubs = worded.groupBy("doc_id").agg(F.min("fp").alias("hub"), F.max("fp").alias("last")).where(F.col("hub") < F.col("last"))
+    return worded.join(hubs.select("doc_id", "hub"), "doc_id").where(F.col("fp") != F.col("hub")).select(F.col("fp").alias("u"), F.col("hub").alias("v")).distinct()
+
+
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs``."""
+    ship_package(docs.sparkSession)
     sets = reliable_checkpoint(with_sets(docs, id_col, text_col, k))
-    label = components(links(docs, sets, id_col, text_col, k, percent)).withColumnRenamed("node", "fp")
+    label = components(links(docs, sets, id_col, text_col, k, percent).unionByName(same_document(sets))).withColumnRenamed("node", "fp")
     whole = sets.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     classes = whole.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")) \
         .join(label, "fp", "left").where((F.col("rows") > 1) | F.col("label").isNotNull())
@@ -362,7 +385,11 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     to = classes.join(least, "label", "left").select("fp", F.coalesce("least", "first").alias("component"))
     found = sets.join(to, "fp", "left")
     mine = F.when(F.col("n") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))
-    return found.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), mine).alias("component_id"))
+    rows = found.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), mine).alias("component_id"))
+    # A wordless row goes with the other rows of its id.
+    least = rows.groupBy("doc_id").agg(F.min("component_id").alias("least"), F.max("component_id").alias("most")) \
+        .where(F.col("least") < F.col("most")).select("doc_id", "least")
+    return rows.join(least, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("least", "component_id").alias("component_id"))
 
 
 def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, percent: int = PERCENT) -> DataFrame:

@@ -234,6 +234,13 @@ def test_jaccard_join(spark, docs, corpus, empty, monkeypatch):
     assert nearjoin.near_components(empty).count() == 0
 
 
+def test_jaccard_join_of_repeated_ids(spark):
+    x, y = (" ".join(f"{c}{i}" for i in range(30)) for c in "xy")
+    rows = [(5, x), (5, y), (2, y), (9, x), (9, ""), (7, None), (7, ""), (None, x), (8, y + " z"), (1, "a b c")]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert Counter(tuple(r) for r in nearjoin.near_components(d).collect()) == brute_components(rows)
+
+
 def test_components_of_long_paths(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 101), (101, 100), (7, 7), (200, 150)]
     got = {r.node: r.label for r in graph.components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}

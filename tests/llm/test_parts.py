@@ -3,6 +3,7 @@ import io
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -275,6 +276,26 @@ def test_html_raw_elements_keep_page_text(page, want):
     assert [b[0] for b in htmltext.blocks(page)] == want
 
 
+def test_html_buttons():
+    assert [b[0] for b in htmltext.blocks("<p>text here.<button>Share <svg><b>x</b></svg>this</button>More</p>")] == ["text here. More"]
+    assert [b[0] for b in htmltext.blocks("<h2><button>Question?</button></h2><p>a<button>b</p>")] == ["Question?", "ab"]
+
+
+@pytest.mark.parametrize("part", ["<a ", "<div x='", "<a '>'", "<a", "<svg>", "<div>", "<p>x<b>"])
+def test_html_scan_is_linear(part):
+    begun = time.process_time()
+    htmltext.blocks(part * (150_000 // len(part)) + "</b></i>" * 9)
+    assert time.process_time() - begun < 4
+
+
+def test_html_ends_of_tags():
+    for page in ('a<b c=">" d>e</b>', "<a '>x<b y='>'>z", "<i '><i '><u '>'>k", "<p x='a>b", '<q "\'">w<q \'">v>'):
+        ends, table = htmltext._TagEnds(page), htmltext._TagEnds(page)
+        table.table = table._ends()
+        assert [ends.after(i) for i in range(len(page))] == [table.after(i) for i in range(len(page))]
+    assert [b[0] for b in htmltext.blocks("<i '><i '><p '>'>k")] == ["'>k"]
+
+
 def test_labeller_gradient():
     model = htmltext.BlockLabeller(1)
     for k in model.p:
@@ -322,3 +343,38 @@ def test_labeller_on_pages_it_has_not_seen():
     page = ("<body><nav><ul><li><a href=/>Home</a><li><a href=/x>More</a></ul></nav><div class='cookie-notice'>We use cookies.</div><article><h1>A title</h1>"
             + "<p>First paragraph, with words.</p>" * 800 + "</article><div id=comments><p>Nice one, thanks.</p></div><footer>&copy; me</footer>")
     assert htmltext.main_texts(model, [page, None, ""]) == ["\n\n".join(["A title"] + ["First paragraph, with words."] * 800), "", ""]
+
+
+def test_labeller_at_any_depth_and_with_foreign_names():
+    model = htmltext.trained()
+    said = "<h1>A title</h1>" + "<p>First paragraph, with words and more of them.</p>" * 5
+    menu, foot = "<body><nav><ul><li><a href=/>Home</a><li><a href=/x>More</a></ul></nav>", "<footer>&copy; me</footer>"
+    want = "\n\n".join(["A title"] + ["First paragraph, with words and more of them."] * 5)
+    for depth in (0, 20, 120, 1000):
+        down, up = "<div>" * depth, "</div>" * depth
+        for page in (f"{menu}{down}<article>{said}</article>{up}{foot}", f"{menu}<article>{down}{said}{up}</article>{foot}",
+                     f"{menu}{'<font>' * depth}<article>{said}</article>{foot}"):
+            assert htmltext.main_texts(model, [page]) == [want]
+    grammar, right, every = htmltext._Grammar(78), 0, 0
+    for _ in range(150):
+        found, y = grammar.page()
+        if found and grammar.style != "named":
+            right, every = right + int((model.label([found])[0] == (y > 0)).sum()), every + len(y)
+    assert right / every > 0.95
+
+
+def test_partition_keys_of_unrelated_and_linked_sets():
+    r = np.random.default_rng(3)
+
+    def hashes(n):
+        return np.unique(r.integers(0, 1 << 64, n, dtype=np.uint64))
+    for n in (40, 300, 951):
+        keys = np.concatenate([np.unique(nearjoin.partition_keys(hashes(n))) for _ in range(1500)])
+        assert len(np.unique(keys)) == len(keys)
+    for n in (11, 20, 100, 951, 1300):
+        for _ in range(60):
+            x, away = hashes(n), int(r.integers(0, n // 10 + 1))
+            more = int((len(x) - away) * 100 // 90) - len(x)
+            y = np.unique(np.concatenate([r.choice(x, len(x) - away, replace=False), hashes(int(r.integers(0, more + 1)))]))
+            assert 100 * nearjoin.overlap(x, y) >= 90 * len(np.union1d(x, y))
+            assert np.array_equal(x, y) or len(np.intersect1d(nearjoin.partition_keys(x), nearjoin.partition_keys(y)))
