@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .frames import ship_package
 from ..session import reliable_checkpoint
 
 CURVES, DIMS, BITS = 16, 4, 10
@@ -219,6 +220,7 @@ def search(rows: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "em
            dims: int = DIMS, recall: float = RECALL, window: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score of the rows where ``is_query`` (a function of
     the id column) holds, against all other rows."""
+    ship_package(rows.sparkSession)
     r = clean(rows, id_col, vec_col)
     cls = reliable_checkpoint(classes(r, is_query(F.col("id")), k))
     top = cls.agg(F.max("norm2")).first()[0]

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import reliable_checkpoint
-from .frames import fresh
+from .frames import fresh, ship_package
 from .textkit import ALNUM_LOWER, each_text, words
 
 WORD = re.compile("[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -133,6 +133,7 @@ def find_contamination(docs: DataFrame, bench: DataFrame, text_col: str = "text"
     """``docs`` with one struct column of findings, and that column's name
     (``out``, with underscores if taken).  The benchmark is a stated, bounded
     set: at most ``block_bytes`` of it are in a task at once."""
+    ship_package(docs.sparkSession)
     if width < 1:
         raise ValueError("width must be at least one word")
     out = fresh(docs.columns, out)

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import reliable_checkpoint
-from .frames import crc_remainder, hash_share, written
+from .frames import crc_remainder, hash_share, ship_package, written
 from .textkit import as_long, each_text, pieces, words
 
 STATES = 8
@@ -377,6 +377,7 @@ def score(rows: DataFrame, model: Hmm, counts: DataFrame) -> DataFrame:
 def fitted_scores(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", symbols: int = SYMBOLS,
                   head: int = HEAD, **options) -> tuple[DataFrame, Vocabulary, Hmm]:
     """Scores of all rows under the model of those that are ``usable``."""
+    ship_package(docs.sparkSession)
     counts = reliable_checkpoint(count_words(docs.where(usable), text_col))
     v = vocabulary(counts, symbols, head)
     rows = prepared(docs, v, usable, id_col, text_col)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import fresh
+from .frames import fresh, ship_package
 
 # Element names by kind.
 BLOCK_TAGS = frozenset(
@@ -584,6 +584,7 @@ def main_texts(model: BlockLabeller, pages: list[str | None]) -> list[str]:
 
 def with_text(pages: DataFrame, html_col: str = "html", out: str = "text") -> tuple[DataFrame, str]:
     """``pages`` with a column of main texts, and its name."""
+    ship_package(pages.sparkSession)
     out = fresh(pages.columns, out)
     held = pages.sparkSession.sparkContext.broadcast(trained().p)
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .frames import crc_remainder, fresh, hash_share
+from .frames import crc_remainder, fresh, hash_share, ship_package
 from .textkit import mix64
 
 ORDER = 4
@@ -198,6 +198,7 @@ def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
           sample_docs: int = SAMPLE_DOCS) -> KneserNey:
     """Train on rows where ``usable`` holds; n-gram counts are summed by Spark,
     and what reaches the driver is bounded by the sample."""
+    ship_package(docs.sparkSession)
     spark = docs.sparkSession
     rows = docs.where(usable & F.col(lang_col).isNotNull())
     counts = {r.lang: r.n for r in rows.groupBy(F.col(lang_col).alias("lang")).agg(F.count("*").alias("n")).collect()}
@@ -242,6 +243,7 @@ def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
 
 def identify(docs: DataFrame, model: KneserNey, text_col: str = "text", out: str = "language") -> tuple[DataFrame, str]:
     """``docs`` with one struct column of findings, and its name."""
+    ship_package(docs.sparkSession)
     out = fresh(docs.columns, out)
     held = docs.sparkSession.sparkContext.broadcast(model)
 

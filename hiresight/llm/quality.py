@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .frames import crc_remainder, fresh, hash_share
+from .frames import crc_remainder, fresh, hash_share, ship_package
 from .textkit import each_text, shingle_hashes, word_hashes
 
 #: Whole positive texts, and whole unlabelled texts, that train.
@@ -153,6 +153,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
           usable: Column | None = None, sample: int = SAMPLE) -> PuModel | None:
     """Train on rows where ``usable`` holds; at most about twice ``sample`` rows
     of ``N_FEATURES`` numbers reach the driver."""
+    ship_package(docs.sparkSession)
     usable = usable_rows(id_col) if usable is None else usable
     ids = labels.where(usable & (F.col(label_col) == 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("positive_id")).distinct()
     n_pos = ids.count()
@@ -181,6 +182,7 @@ def usable_rows(id_col: str = "doc_id") -> Column:
 
 def with_scores(docs: DataFrame, model: PuModel | None, text_col: str = "text", out: str = "quality_score") -> tuple[DataFrame, str]:
     """``docs`` with a score column, and its name."""
+    ship_package(docs.sparkSession)
     out = fresh(docs.columns, out)
     if model is None:
         return docs.withColumn(out, F.lit(0.5)), out

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import reliable_checkpoint
-from .frames import crc_remainder, hash_share
+from .frames import crc_remainder, hash_share, ship_package
 from .textkit import ALNUM_LOWER, as_long, each_text, mix64, pieces, words
 
 #: Labelled whole texts per class that choose terms and serve as examples.
@@ -231,6 +231,7 @@ def telling_terms(found: DataFrame, n0: int, n1: int, max_terms: int) -> DataFra
 def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
            usable: Column | None = None, sample: int = SAMPLE, max_terms: int = MAX_TERMS, k: int = K) -> DataFrame:
     """doc_id, score and evidence (the neighbours) of every row of ``docs``."""
+    ship_package(docs.sparkSession)
     usable = usable_rows(id_col) if usable is None else usable
     terms = choose_terms(docs, labels, id_col, text_col, label_col, usable, sample, max_terms)
     if isinstance(terms, float):

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import reliable_checkpoint
-from .frames import new_folder
+from .frames import new_folder, ship_package
 
 MAGIC = b"\x1f\x8b\x08"
 FILE_BYTES = 128 << 20
@@ -82,6 +82,7 @@ def encode_record(page_id, url, payload: bytes, size: int, digest: str, refers_t
 
 def write_archives(records: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write rows of ``with_revisits``; the manifest of the files that count."""
+    ship_package(records.sparkSession)
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, top = fs.FileSystem.from_uri(folder)
         store.create_dir(top, recursive=True)
@@ -199,6 +200,7 @@ def members(file, size: int, start: int, end: int) -> Iterator[tuple[int, dict]]
 
 def read_archives(manifest: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """All records of the files in ``manifest`` (path, bytes), by byte ranges."""
+    ship_package(manifest.sparkSession)
     ranges = manifest.select("path", "bytes", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("bytes") - 1, F.lit(split_bytes).cast("bigint"))).alias("start")) \
         .where(F.col("bytes") > 0)
 

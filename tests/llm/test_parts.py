@@ -293,7 +293,7 @@ def test_html_ends_of_tags():
         ends, table = htmltext._TagEnds(page), htmltext._TagEnds(page)
         table.table = table._ends()
         assert [ends.after(i) for i in range(len(page))] == [table.after(i) for i in range(len(page))]
-    assert [b[0] for b in htmltext.blocks("<i '><i '><p '>'>k")] == ["'>k"]
+    assert [b[0] for b in htmltext.blocks("<i '><i '><p '>'>k")] == ["k"]
 
 
 def test_labeller_gradient():
