@@ -100,8 +100,8 @@ def mean_and_count(df: DataFrame, category_col: str, measure: str = C.DEFAULT_ME
 
 def stack_bucket_chart(size) -> F.Column:
     """V11 chart variant: 0-2 / 3-5 / 6-10 / 10+ with NULL as 0."""
-    s = F.coalesce(size.cast("double"), F.lit(0.0))
-    return F.when(s <= 2.5, "0-2").when(s <= 5.5, "3-5").when(s <= 10.5, "6-10").otherwise("10+")
+    return X.evaluated_once(F.coalesce(size.cast("double"), F.lit(0.0)),
+                            lambda s: F.when(s <= 2.5, "0-2").when(s <= 5.5, "3-5").when(s <= 10.5, "6-10").otherwise("10+"))
 
 
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
