@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import exprs as X
 from .cleaning import is_marker, non_currency_share
+from .quantiles import join_on_keys
 
 
 def missing_share(df: DataFrame, top_n: int | None = 20) -> DataFrame:
@@ -128,8 +129,8 @@ def stage_table(stages: Sequence[tuple[str, DataFrame]], **kw) -> DataFrame:
 
 def validate_clean(df: DataFrame, boolean_cols: Sequence[str] = ("salary_gross",), id_col: str = "vacancy_id",
                    age_col: str = "vacancy_age_days", markers: Iterable[str] | None = None, dropped_cols: Sequence[str] = ()) -> DataFrame:
-    """Q-2: invariants of the clean table in one aggregate, returned as one row: also
-    that none of the columns dropped for missing values is left."""
+    """Q-2: invariants of the clean table in one aggregate (and one of the ids alone),
+    returned as one row: also that none of the columns dropped for missing values is left."""
     from pyspark.sql import types as T
     bool_ok = all(isinstance(df.schema[c].dataType, T.BooleanType) for c in boolean_cols if c in df.columns)
     strings = X.string_columns(df)
@@ -138,6 +139,8 @@ def validate_clean(df: DataFrame, boolean_cols: Sequence[str] = ("salary_gross",
             (sum(left[1:], left[0]) if left else F.lit(0)).cast("long").alias("markers_left"),
             (F.count(age_col) > 0 if age_col in df.columns else F.lit(False)).alias("age_present"),
             non_currency_share(df).alias("non_rub_share")]
-    if id_col in df.columns:
-        aggs.append((F.count(F.lit(1)) - F.countDistinct(id_col)).cast("long").alias("duplicate_ids"))
-    return df.agg(*aggs).withColumns({"booleans_ok": F.lit(bool_ok), "dropped_left": F.lit(sum(c in df.columns for c in dropped_cols))})
+    out = df.agg(*aggs)
+    if id_col in df.columns:   # ids on their own: beside them every other sum would be shuffled once an id
+        ids = df.agg((F.count(F.lit(1)) - F.countDistinct(id_col)).cast("long").alias("duplicate_ids"))
+        out = join_on_keys(out, ids, [])
+    return out.withColumns({"booleans_ok": F.lit(bool_ok), "dropped_left": F.lit(sum(c in df.columns for c in dropped_cols))})
