@@ -9,10 +9,12 @@
     that isn't empty (more partitions make up for the empty ones);
     classes that share a key are chained through the key's least class (one edge
     per class, never all pairs).  The components of that chain hold every link.
-3.  Below ``PARTITIONS_FROM`` percent, keys chain many texts that only share common
-    shingles.  There classes first meet with bitmap signatures alone (a twentieth of
-    their arrays): pairs whose bound allows a link are chained anew, and the finer
-    components hold every link still; classes without such a partner go.
+3.  Below ``PARTITIONS_FROM`` percent, keys chain many texts that only share a line
+    or common shingles: most of a large table would be one component, to be met by
+    all pairs.  There keys are the shingles of the rarest words, and only the classes
+    that share a key meet, with bitmap signatures alone (a twentieth of their arrays),
+    each different set of such classes once: pairs whose bound allows a link are
+    chained, and the components hold every link still; classes without such a partner go.
 4.  Inside such a component, classes go into blocks by size band and hash, of
     bounded bytes, and pairs of blocks of equal or neighbouring bands are tiles.
     In a tile, hashed bitmap signatures bound each overlap from above: every bit
@@ -38,13 +40,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import reliable_checkpoint
-from .frames import hash_share, ship_package
+from .frames import hash_share, ship_package, written
 from .graph import components
-from .textkit import as_long, each_text, mix64, set_fingerprint, shingle_hashes, words
+from .textkit import as_long, each_text, mix64, set_fingerprint, shingle_hashes, word_hashes, words
 
 K = 3
 #: Links need 100 * intersection >= PERCENT * union.
@@ -84,16 +86,33 @@ def _size_bands(percent: int, top: int = 1 << 40) -> tuple[np.ndarray, np.ndarra
     return low, (100 - percent) * (high + high * 100 // percent) // (100 + percent) + 1
 
 
-def prefix_keys(h: np.ndarray, percent: int, common: np.ndarray) -> np.ndarray:
+def prefix_keys(h: np.ndarray, percent: int, common: np.ndarray, score: np.ndarray | None = None) -> np.ndarray:
     """The first hashes of a sorted array, rare ones before common ones: linked
-    arrays have one of them in common."""
+    arrays have one of them in common.  ``score``: of each hash, the same wherever
+    it occurs; hashes of low scores come first among rare and among common ones."""
     if not len(h):
         return np.empty(0, np.int64)
+    if score is not None:
+        h = h[np.argsort(score, kind="stable")]
     at = np.minimum(np.searchsorted(common, h), max(0, len(common) - 1))
     often = common[at] == h if len(common) else np.zeros(len(h), bool)
     return as_long(np.concatenate([h[~often], h[often]])[: len(h) - (-(-percent * len(h) // 100)) + 1])
 
 
+def scored_shingles(text: bytes | None, k: int, seen: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct hashes of a text's shingles, and of each the sum of its words'
+    weights (``seen``: sorted hashes of the words that have any)."""
+    ws = words(text)
+    h, first = np.unique(shingle_hashes(ws, k), return_index=True)
+    if not len(seen) or len(ws) <= k:
+        return h, np.zeros(len(h), np.int64)
+    w = word_hashes(ws)
+    at = np.minimum(np.searchsorted(seen, w), len(seen) - 1)
+    run = np.zeros(len(w) + 1, np.int64)
+    np.cumsum(np.where(seen[at] == w, weights[at], 0), out=run[1:])
+    return h, (run[k:] - run[:-k])[first]
+
+
 #: Partitions beyond the least number, tried in turn.
 SPARE_PARTITIONS = (0, *(4 ** i for i in range(1, 12)))
 
@@ -132,61 +151,87 @@ def partition_keys(h: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return as_long(np.concatenate(out)) if out else np.empty(0, np.int64)
 
 
-def with_sets(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """doc_id, n (set size), fp (fingerprint of the set)."""
-    @F.arrow_udf("struct<n:bigint,fp:bigint>")
+def with_sets(docs: DataFrame, id_col: str, text_col: str, k: int, signed: bool = False) -> DataFrame:
+    """doc_id, n (set size), fp (fingerprint of the set), and if ``signed`` its signature as set."""
+    fields = [("n", pa.int64()), ("fp", pa.int64()), *[("set", pa.binary())] * signed]
+
+    @F.arrow_udf(f"struct<n:bigint,fp:bigint{',set:binary' * signed}>")
     def sets(texts: pa.Array) -> pa.Array:
         found = (shingle_set(t, k) for t in each_text(texts))
-        return pa.array([{"n": len(h), "fp": set_fingerprint(h)} for h in found], pa.struct([("n", pa.int64()), ("fp", pa.int64())]))
+        return pa.array([(len(h), set_fingerprint(h), *[signature(h)] * signed) for h in found], pa.struct(fields))
 
-    return docs.select(F.col(id_col).alias("doc_id"), sets(F.col(text_col)).alias("s")).select("doc_id", "s.n", "s.fp")
+    return docs.select(F.col(id_col).alias("doc_id"), sets(F.col(text_col)).alias("s")).select("doc_id", *[f"s.{f}" for f, _ in fields])
 
 
-def common_shingles(docs: DataFrame, text_col: str, k: int) -> np.ndarray:
-    """Sorted hashes of shingles that several texts of a bounded sample hold."""
+def common_shingles(docs: DataFrame, text_col: str, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted hashes of shingles that several texts of a bounded sample hold; sorted
+    hashes of its repeated words, and the logarithms of their counts."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            u, n = np.unique(np.concatenate([np.empty(0, np.uint64), *[shingle_set(t, k) for t in each_text(batch.column(0))]]), return_counts=True)
-            yield pa.RecordBatch.from_pydict({"h": as_long(u), "n": n.astype(np.int64)})
+            none = np.empty(0, np.uint64)
+            found = [words(t) for t in each_text(batch.column(0))]
+            for word, hashes in ((False, [np.unique(shingle_hashes(ws, k)) for ws in found]), (True, [word_hashes(ws) for ws in found])):
+                u, n = np.unique(np.concatenate([none, *hashes]), return_counts=True)
+                yield pa.RecordBatch.from_pydict({"word": np.full(len(u), word), "h": as_long(u), "n": n.astype(np.int64)})
 
     share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
-    got = docs.where(hash_share([F.col(text_col)], share, seed=4)).select(text_col).mapInArrow(task, "h bigint, n bigint") \
-        .groupBy("h").agg(F.sum("n").alias("n")).where("n >= 3").orderBy(F.desc("n"), "h").limit(COMMON_SHINGLES).select("h").toPandas()
-    return np.sort(got["h"].to_numpy(np.int64).view(np.uint64))
+    got = reliable_checkpoint(docs.where(hash_share([F.col(text_col)], share, seed=4)).select(text_col).mapInArrow(task, "word boolean, h bigint, n bigint")
+                              .groupBy("word", "h").agg(F.sum("n").alias("n")).where("n >= 2"))
+    top = lambda which: got.where(which).orderBy(F.desc("n"), "h").limit(COMMON_SHINGLES).select("h", "n").toPandas()
+    often, seen = top("not word and n >= 3"), top("word")
+    w = seen["h"].to_numpy(np.int64).view(np.uint64)
+    weights = np.rint(16 * np.log2(seen["n"].to_numpy(np.float64))).astype(np.int64)
+    return np.sort(often["h"].to_numpy(np.int64).view(np.uint64)), np.sort(w), weights[np.argsort(w)]
 
 
 def tile_keys(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int, common: Broadcast | None) -> DataFrame:
-    """(key, fp) for every class; copies within a batch put theirs down once."""
+    """(key, fp, n) for every class; copies within a batch put theirs down once."""
+    def batch_of(found: list[tuple[np.ndarray, int, int]]) -> pa.RecordBatch:
+        each = [len(keys) for keys, _, _ in found]
+        return pa.RecordBatch.from_pydict({"key": np.concatenate([keys for keys, _, _ in found]), **{
+            c: np.repeat(np.array([x[i] for x in found], np.int64), each) for i, c in ((1, "fp"), (2, "n"))}})
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, fps, seen, rows = [], [], set(), 0
+            found, seen, rows = [], set(), 0
             for text in each_text(batch.column(0)):
-                h = shingle_set(text, k)
+                h, score = (shingle_set(text, k), None) if common is None else scored_shingles(text, k, *common.value[1:])
                 fp = set_fingerprint(h)
                 if len(h) and fp not in seen:
                     seen.add(fp)
-                    keys.append(partition_keys(h, percent) if common is None else prefix_keys(h, percent, common.value))
-                    fps.append(np.full(len(keys[-1]), fp, np.int64))
-                    rows += len(fps[-1])
+                    found.append((partition_keys(h, percent) if common is None else prefix_keys(h, percent, common.value[0], score), fp, len(h)))
+                    rows += len(found[-1][0])
                     if rows > KEY_ROWS:
-                        yield pa.RecordBatch.from_pydict({"key": np.concatenate(keys), "fp": np.concatenate(fps)})
-                        keys, fps, rows = [], [], 0
-            if keys:
-                yield pa.RecordBatch.from_pydict({"key": np.concatenate(keys), "fp": np.concatenate(fps)})
+                        yield batch_of(found)
+                        found, rows = [], 0
+            if found:
+                yield batch_of(found)
 
-    return docs.where(F.col(id_col).isNotNull()).select(text_col).mapInArrow(task, "key bigint, fp bigint")
+    return docs.where(F.col(id_col).isNotNull()).select(text_col).mapInArrow(task, "key bigint, fp bigint, n bigint")
 
 
 def candidate_chains(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
     """(u, v): each class that shares a key, with the least class of that key."""
-    common = None if percent >= PARTITIONS_FROM else docs.sparkSession.sparkContext.broadcast(common_shingles(docs, text_col, k))
-    keys = lambda: tile_keys(docs, id_col, text_col, k, percent, common)
+    keys = lambda: tile_keys(docs, id_col, text_col, k, percent, None)
     shared = keys().groupBy("key").agg(F.min("fp").alias("hub"), F.max("fp").alias("last")) \
         .where(F.col("hub") < F.col("last")).select("key", "hub")
     return keys().join(shared, "key").where(F.col("fp") != F.col("hub")) \
         .select(F.col("fp").alias("u"), F.col("hub").alias("v")).distinct()
 
 
+def key_groups(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
+    """(label, fp): the classes that share prefix keys and may be linked by their sizes.
+    A key's classes, by size, are cut where the next one is too large for a link; those
+    of all runs with the same least class are together, under that class."""
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, text_col, k))
+    by_size, run = Window.partitionBy("key").orderBy("n", "fp"), Window.partitionBy("key", "run")
+    apart = F.coalesce(F.lag("n").over(by_size) * 100 < F.col("n") * percent, F.lit(False)).cast("int")
+    return tile_keys(docs, id_col, text_col, k, percent, common) \
+        .withColumn("apart", apart).withColumn("run", F.sum("apart").over(by_size)) \
+        .select("fp", F.min("fp").over(run).alias("label"), F.max("fp").over(run).alias("last")) \
+        .where(F.col("label") < F.col("last")).select("label", "fp").distinct()
+
+
 def _blocks(nodes: DataFrame, percent: int, bytes_each: float = 8.0, rows_each: int = BLOCK_ROWS) -> DataFrame:
     """nodes (fp, label, n, doc_id) with their tiles: one row per tile.  Bands are
     a little wider than linked sizes can lie apart.  ``bytes_each``: of one shingle."""
@@ -270,14 +315,16 @@ def _tile_links(table: pa.Table, percent: int) -> pa.Table:
     return pa.table({"u": pa.array([own[a] for a, _ in found], pa.int64()), "v": pa.array([own[b] for _, b in found], pa.int64())})
 
 
-#: A signature has up to six bits a shingle; so many of them meet in a block.
-SIGNATURE_BYTES, SIGNATURE_ROWS = 0.75, 8192
+#: A signature has up to four bits a shingle; so many of them meet in a block.
+SIGNATURE_BYTES, SIGNATURE_ROWS = 0.5, 8192
+#: Tiles of signatures are dealt out in parts of about so many bytes, and so many rows.
+PART_BYTES, PART_ROWS = 1 << 20, 2048
 
 
 def signature(h: np.ndarray) -> bytes:
-    """A set's hashed bitmap of at least three bits a shingle; ``folded`` makes it narrower."""
+    """A set's hashed bitmap of at least two bits a shingle; ``folded`` makes it narrower."""
     bits = 256
-    while bits < 3 * len(h):
+    while bits < 2 * len(h):
         bits *= 2
     out = np.zeros(bits, np.uint8)
     out[(h & np.uint64(bits - 1)).astype(np.int64)] = 1
@@ -312,17 +359,37 @@ def possible_tile(maps: list[bytes], n: np.ndarray, side: np.ndarray, across: bo
 
 
 def _possible(table: pa.Table, percent: int) -> pa.Table:
-    fps = table.column("fp").to_numpy()
-    _, keep = np.unique(fps, return_index=True)
-    maps, n = table.column("set").take(pa.array(keep)).to_pylist(), table.column("n").to_numpy()[keep]
-    side, own = table.column("side").to_numpy()[keep], fps[keep]
-    found = possible_tile(maps, n, side, table.column("kind")[0].as_py() == "next", percent) if len(keep) > 1 else []
-    return pa.table({"u": pa.array([own[a] for a, _ in found], pa.int64()), "v": pa.array([own[b] for _, b in found], pa.int64())})
-
-
-def in_tiles(docs: DataFrame, tiles: DataFrame, id_col: str, text_col: str, k: int, pack) -> DataFrame:
-    """The rows of ``tiles`` with each class's set, as ``pack`` makes it of the sorted
-    hashes; a class's text is read once."""
+    """The forests of all tiles in ``table``."""
+    at = {c: table.column(c).to_numpy() for c in ("label", "at", "i", "j", "side", "fp", "n")}
+    across, u, v = table.column("kind").to_numpy(zero_copy_only=False) == "next", [], []
+    tile = (at["label"], at["at"], at["i"], at["j"], across)
+    order = np.lexsort((at["fp"], *tile))
+    new = np.zeros(len(order), bool)
+    for c in tile:
+        new[1:] |= c[order][1:] != c[order][:-1]
+    again = np.append(False, ~new[1:] & (at["fp"][order][1:] == at["fp"][order][:-1]))
+    order, starts = order[~again], np.flatnonzero(np.append(True, new[1:])[~again])
+    for rows in np.split(order, starts[1:]):
+        if len(rows) > 1:
+            own = at["fp"][rows]
+            found = possible_tile(table.column("set").take(pa.array(rows)).to_pylist(), at["n"][rows], at["side"][rows], bool(across[rows[0]]), percent)
+            u += [own[a] for a, _ in found]
+            v += [own[b] for _, b in found]
+    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+
+def possible_links(signed: DataFrame, tiles: DataFrame, percent: int) -> DataFrame:
+    """(u, v): forests of the pairs in each of ``tiles`` whose signatures allow a link.
+    Tiles are dealt out several at a time."""
+    rows, hashes = tiles.agg(F.count("*"), F.sum("n")).first()
+    parts = max(1, math.ceil((hashes or 0) * SIGNATURE_BYTES / PART_BYTES), math.ceil(rows / PART_ROWS))
+    places = tiles.withColumn("part", F.pmod(F.xxhash64("label", "kind", "at", "i", "j"), F.lit(parts)))
+    met = signed.select("doc_id", "fp", "set").join(F.broadcast(places) if rows <= BROADCAST_ROWS else places, ["doc_id", "fp"])
+    return met.groupBy("part").applyInArrow(lambda t: _possible(t, percent), "u bigint, v bigint")
+
+
+def in_tiles(docs: DataFrame, tiles: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
+    """The rows of ``tiles`` with each class's set; a class's text is read once."""
     wanted = reliable_checkpoint(tiles.select("doc_id", "fp").distinct())
     few = wanted.count() <= BROADCAST_ROWS
     ids = wanted.select(F.col("doc_id").alias("wanted_id"), F.col("fp").alias("wanted_fp"))
@@ -335,7 +402,7 @@ def in_tiles(docs: DataFrame, tiles: DataFrame, id_col: str, text_col: str, k: i
                 h = shingle_set(text, k)
                 if set_fingerprint(h) == fp:
                     fps.append(fp)
-                    packs.append(pack(h))
+                    packs.append(h.tobytes())
                     held += len(packs[-1])
                 if held > BLOCK_BYTES // 2:
                     yield pa.RecordBatch.from_pydict({"fp": fps, "set": pa.array(packs, pa.binary())})
@@ -352,16 +419,17 @@ def in_tiles(docs: DataFrame, tiles: DataFrame, id_col: str, text_col: str, k: i
 
 def links(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
     """(u, v) fingerprints: enough links to connect all classes that links connect."""
-    label = components(candidate_chains(docs, id_col, text_col, k, percent)).withColumnRenamed("node", "fp")
     first = sets.where(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
-    nodes = reliable_checkpoint(label.join(first, "fp"))
     if percent < PARTITIONS_FROM:
+        nodes = reliable_checkpoint(key_groups(docs, id_col, text_col, k, percent).join(first, "fp"))
         tiles = reliable_checkpoint(_blocks(nodes, percent, SIGNATURE_BYTES, SIGNATURE_ROWS))
-        met = in_tiles(docs, tiles, id_col, text_col, k, signature).groupBy("label", "kind", "at", "i", "j")
-        finer = components(met.applyInArrow(lambda t: _possible(t, percent), "u bigint, v bigint")).withColumnRenamed("node", "fp")
-        nodes = reliable_checkpoint(finer.join(nodes.drop("label"), "fp"))
+        chains = possible_links(sets, tiles, percent)
+    else:
+        chains = candidate_chains(docs, id_col, text_col, k, percent)
+    label = components(chains).withColumnRenamed("node", "fp")
+    nodes = reliable_checkpoint(label.join(first, "fp"))
     tiles = reliable_checkpoint(_blocks(nodes, percent))
-    members = in_tiles(docs, tiles, id_col, text_col, k, np.ndarray.tobytes)
+    members = in_tiles(docs, tiles, id_col, text_col, k)
     return members.groupBy("label", "kind", "at", "i", "j").applyInArrow(lambda t: _tile_links(t, percent), "u bigint, v bigint")
 
 
@@ -375,7 +443,7 @@ def same_document(sets: DataFrame) -> DataFrame:
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs``."""
     ship_package(docs.sparkSession)
-    sets = reliable_checkpoint(with_sets(docs, id_col, text_col, k))
+    sets = reliable_checkpoint(with_sets(docs, id_col, text_col, k)) if percent >= PARTITIONS_FROM else written(with_sets(docs, id_col, text_col, k, signed=True), "near-sets")
     label = components(links(docs, sets, id_col, text_col, k, percent).unionByName(same_document(sets))).withColumnRenamed("node", "fp")
     whole = sets.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     classes = whole.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")) \

@@ -241,6 +241,31 @@ def test_jaccard_join_of_repeated_ids(spark):
     assert Counter(tuple(r) for r in nearjoin.near_components(d).collect()) == brute_components(rows)
 
 
+def test_texts_that_share_lines_do_not_all_meet(spark, monkeypatch):
+    r, rows = random.Random(3), []
+    line = [" ".join(f"l{i}x{j}" for j in range(6)) for i in range(150)]
+    for i in range(150):                        # each shares a line with the text before and one with the text after
+        own = [f"o{i}x{j}" for j in range(6 + i % 5)]
+        rows.append((i, " ".join([line[i], *own, line[(i + 1) % 150]])))
+    for i in range(0, 150, 10):                 # near copies, at and under 80 percent
+        ws = rows[i][1].split()
+        rows += [(200 + i, " ".join([*ws, "more"])), (400 + i, " ".join(ws[:-3])), (600 + i, " ".join([*ws, *(f"t{i}x{j}" for j in range(r.randrange(2, 7)))]))]
+    rows += [(900 + n, " ".join(f"s{j}" for j in range(n))) for n in (1, 4, 5, 8, 9, 10, 12, 14, 17, 20, 24)]     # one in the other, at all sizes
+    d, most, blocks = spark.createDataFrame(rows, "doc_id bigint, text string"), [], nearjoin._blocks
+
+    def noted(nodes, *args):
+        most.append(nodes.groupBy("label").count().agg(F.max("count")).first()[0])
+        return blocks(nodes, *args)
+
+    monkeypatch.setattr(nearjoin, "_blocks", noted)
+    want = brute_components(rows, 5, 80)
+    assert Counter(tuple(x) for x in nearjoin.near_components(d, k=5, percent=80).collect()) == want
+    assert max(most) < 30                       # not all that lines chain, over 150
+    for name, least in (("SIGNATURE_ROWS", 2), ("PART_ROWS", 3), ("BROADCAST_ROWS", 0)):
+        monkeypatch.setattr(nearjoin, name, least)
+    assert Counter(tuple(x) for x in nearjoin.near_components(d, k=5, percent=80).collect()) == want
+
+
 def test_components_of_long_paths(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 101), (101, 100), (7, 7), (200, 150)]
     got = {r.node: r.label for r in graph.components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}

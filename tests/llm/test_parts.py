@@ -102,6 +102,27 @@ def test_linked_sets_share_a_prefix():
     assert n_linked > 100 and len(nearjoin.prefix_keys(a[:0], 80, a)) == 0
 
 
+def test_linked_sets_share_a_prefix_of_rare_words():
+    r, n_linked = np.random.default_rng(1), 0
+    names = [f"w{i}".encode() for i in range(300)]
+    seen = np.sort(textkit.word_hashes(names[:200]))
+    weights = r.integers(0, 100, 200)
+    for seed in range(300):
+        x = [names[i] for i in r.zipf(1.3, int(r.integers(1, 120))) % 300]
+        y = [w for i, w in enumerate(x) if seed % 5 or i != len(x) // 2] + [names[j] for j in range(seed % 4)]
+        (a, sa), (b, sb) = (nearjoin.scored_shingles(b" ".join(ws), 3, seen, weights) for ws in (x, y))
+        assert np.array_equal(a, nearjoin.shingle_set(b" ".join(x), 3)) and len(a) == len(sa)
+        _, i, j = np.intersect1d(a, b, return_indices=True)
+        if min(len(x), len(y)) > 3:
+            assert np.array_equal(sa[i], sb[j])
+        if 100 * len(i) >= 80 * len(np.union1d(a, b)):
+            n_linked += 1
+            assert set(nearjoin.prefix_keys(a, 80, a[::7], sa)) & set(nearjoin.prefix_keys(b, 80, a[::7], sb))
+    assert n_linked > 100
+    assert [len(x) for x in nearjoin.scored_shingles(None, 3, seen, weights)] == [0, 0]
+    assert not nearjoin.scored_shingles(b"a b c d", 3, seen[:0], weights[:0])[1].any()
+
+
 def roots(n, pairs):
     at = list(range(n))
     for a, b in pairs:
